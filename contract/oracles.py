@@ -175,7 +175,7 @@ ORACLES["semantic_mask"] = (
     f"{checked_sql(semantic_masked_sql(with_gazetteer(masked_sql(EMAILS, 'raw_email'))))}"
 )
 ORACLES["mask_vs_reference"] = (
-    f"SELECT doc_id, text AS original_email, upper(text) AS reference_masked_text, masked_email, final_check_status, "
+    f"SELECT doc_id, text AS original_email, replace(text, '@', '[AT]') AS reference_masked_text, masked_email, final_check_status, "
     f"text <> masked_email AS changed FROM "
     f"{checked_sql(masked_sql('(SELECT doc_id, text FROM documents ORDER BY doc_id LIMIT 100)', 'text'))}"
 )

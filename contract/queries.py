@@ -188,7 +188,7 @@ def mask_vs_reference(spark, sf_dir):
     """First 100 rows by key of a masked-text set (the limit is the operator)."""
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     masked_set = documents.select(
-        "doc_id", F.col("text").alias("unmasked_text"), F.upper("text").alias("masked_text")
+        "doc_id", F.col("text").alias("unmasked_text"), F.replace("text", F.lit("@"), F.lit("[AT]")).alias("masked_text")
     )
     sample = D.first_rows(masked_set, "doc_id", fixed.SAMPLE_ROWS)
     return S.mask_beside_reference(sample, "doc_id").select(

@@ -13,25 +13,39 @@ SPACE = f"[{SPACE_CHARS}]"
 START = f"(?<!{WORD})"  # word boundary in front of a word character
 END = f"(?!{WORD})"  # word boundary behind a word character
 
+
+def _fresh(lead: str, not_after: str = WORD) -> str:
+    """`lead` where no `not_after` character stands in front of it.
+
+    The look-behind comes second: tried first, it would run at every character of the text; this
+    way it only runs where the lead has matched.
+    """
+    return f"{lead}(?<!{not_after}{lead})"
+
+
 # An address may start or end on a character that is not a word character, so both kinds of
 # boundary are needed there.  The local part never contains "@": no need to back-track into it.
 _EMAIL = (
     rf"(?:{START}[a-zA-Z0-9_]|(?<={WORD})[.+-])[a-zA-Z0-9_.+-]*+@[a-zA-Z0-9-]++\.[a-zA-Z0-9-.]+"
     rf"(?:(?<=[a-zA-Z0-9]){END}|(?<=[.-])(?={WORD}))"
 )
+_GAP = f"[-{SPACE_CHARS}]?"
 
 PII = {
     "EMAIL": _EMAIL,
-    "PHONE": rf"{START}09{DIGIT}{{2}}[-{SPACE_CHARS}]?{DIGIT}{{3}}[-{SPACE_CHARS}]?{DIGIT}{{3}}{END}",
-    "TW_ID": rf"(?<![A-Za-z0-9])[A-Z][12]{DIGIT}{{8}}(?![A-Za-z0-9])",
-    "CARD": rf"{START}(?:{DIGIT}{{4}}[-{SPACE_CHARS}]?){{3}}{DIGIT}{{4}}{END}",
-    "IPV4": rf"{START}(?:{DIGIT}{{1,3}}\.){{3}}{DIGIT}{{1,3}}{END}",
-    "IPV6": rf"{START}(?:[0-9a-fA-F]{{1,4}}:){{2,7}}[0-9a-fA-F]{{1,4}}{END}",
+    "PHONE": rf"{_fresh('09')}{DIGIT}{{2}}{_GAP}{DIGIT}{{3}}{_GAP}{DIGIT}{{3}}{END}",
+    "TW_ID": rf"{_fresh('[A-Z][12]', '[A-Za-z0-9]')}{DIGIT}{{8}}(?![A-Za-z0-9])",
+    "CARD": rf"{_fresh(DIGIT + '{4}')}{_GAP}(?:{DIGIT}{{4}}{_GAP}){{2}}{DIGIT}{{4}}{END}",
+    "IPV4": rf"{_fresh(DIGIT)}{DIGIT}{{0,2}}\.(?:{DIGIT}{{1,3}}\.){{2}}{DIGIT}{{1,3}}{END}",
+    "IPV6": (
+        r"[0-9a-fA-F](?=[0-9a-fA-F]{0,3}:)" + rf"(?<!{WORD}[0-9a-fA-F])"
+        r"[0-9a-fA-F]{0,3}:(?:[0-9a-fA-F]{1,4}:){1,6}[0-9a-fA-F]{1,4}" + END
+    ),
     "URL": rf"https?://[^{SPACE_CHARS})]+",
-    "IBAN": rf"{START}[A-Z]{{2}}{DIGIT}{{2}}[A-Z0-9]{{10,30}}{END}",
-    "BIC": rf"{START}[A-Z]{{6}}[A-Z0-9]{{2}}(?:[A-Z0-9]{{3}})?{END}",
-    "ETH_ADDRESS": rf"{START}0x[a-fA-F0-9]{{40}}{END}",
-    "BTC_ADDRESS": rf"{START}[13][a-km-zA-HJ-NP-Z1-9]{{25,34}}{END}",
+    "IBAN": rf"{_fresh('[A-Z]{2}' + DIGIT + '{2}')}[A-Z0-9]{{10,30}}{END}",
+    "BIC": rf"{_fresh('[A-Z]{6}')}[A-Z0-9]{{2}}(?:[A-Z0-9]{{3}})?{END}",
+    "ETH_ADDRESS": rf"{_fresh('0x')}[a-fA-F0-9]{{40}}{END}",
+    "BTC_ADDRESS": rf"{_fresh('[13]')}[a-km-zA-HJ-NP-Z1-9]{{25,34}}{END}",
 }
 
 # A literal every match must contain.  `contains` on the raw bytes is far cheaper than a regex

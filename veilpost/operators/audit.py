@@ -4,8 +4,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed
-from ..functions.text import clean_tokens, longest_first, tokens_in_text
-from .score import rule_verdict, technique_id
+from ..functions.text import clean_tokens, longest_first, once, tokens_in_text
+from .score import rule_expression, technique_id
+from .stage import computed_once
 
 
 def perturb(text: Column, tokens: Column) -> Column:
@@ -25,56 +26,53 @@ def audit(
     The perturbed score is a constant; with `rescore` it is the rule's score of the perturbed text.
     The first status that applies counts: benign, no tokens, no token in the text, passed/failed.
     """
-    is_phishing = F.coalesce(F.col(f"{verdict}.is_phishing"), F.lit(False))
-    score = F.coalesce(F.col(f"{verdict}.risk_score"), F.lit(0.0))
-    none_present = F.array().cast("array<string>")
-    staged = (
-        df.withColumn("__tokens", clean_tokens(F.col(f"{verdict}.high_risk_tokens")))
-        .withColumn(
-            "__present",
-            F.when(is_phishing, tokens_in_text(F.col(text), F.col("__tokens"))).otherwise(none_present),
+    said = F.col(verdict)
+    is_phishing = F.coalesce(said["is_phishing"], F.lit(False))
+    score = F.coalesce(said["risk_score"], F.lit(0.0))
+
+    def result(tokens: Column, present: Column, necessity: Column) -> Column:
+        status = (
+            F.when(~is_phishing, F.lit("skipped_benign"))
+            .when(F.size(tokens) == 0, F.lit("skipped_no_tokens"))
+            .when(necessity.isNull(), F.lit("skipped_tokens_absent"))
+            .when(necessity["is_trustworthy"], F.lit("passed"))
+            .otherwise(F.lit("failed"))
         )
-        .withColumn("__perturbed", F.when(F.size("__present") > 0, perturb(F.col(text), F.col("__present"))))
-    )
-    if rescore:
-        staged = rule_verdict(staged, "__perturbed", "__rescored")
-        perturbed_score = F.col("__rescored.risk_score")
-    else:
-        perturbed_score = F.lit(fixed.PERTURBED_SCORE)
-    drop = score - perturbed_score
-    tested = F.size("__present") > 0
-    status = (
-        F.when(~is_phishing, F.lit("skipped_benign"))
-        .when(F.size("__tokens") == 0, F.lit("skipped_no_tokens"))
-        .when(~tested, F.lit("skipped_tokens_absent"))
-        .when(drop > fixed.TRUST_DROP, F.lit("passed"))
-        .otherwise(F.lit("failed"))
-    )
-    message = F.lit("")
-    for name, words in fixed.AUDIT_MESSAGES.items():
-        message = F.when(F.col("__status") == name, F.lit(words)).otherwise(message)
-    necessity = F.when(
-        tested,
-        F.struct(
-            F.col("__perturbed").alias("perturbed_text"),
-            perturbed_score.alias("perturbed_score"),
-            drop.alias("score_drop"),
-            (drop > fixed.TRUST_DROP).alias("is_trustworthy"),
-        ),
-    )
-    result = F.struct(
-        F.col("__tokens").alias("high_risk_tokens"),
-        F.col("__present").alias("tokens_in_text"),
-        necessity.alias("necessity"),
-        score.alias("risk_score"),
-        F.col("__status").alias("status"),
-        message.alias("message"),
-    )
-    return (
-        staged.withColumn("__status", status)
-        .withColumn(out, result)
-        .drop("__tokens", "__present", "__perturbed", "__status", "__rescored")
-    )
+        messages = F.create_map(*[F.lit(x) for pair in fixed.AUDIT_MESSAGES.items() for x in pair])
+        return once(
+            status,
+            lambda s: F.struct(
+                tokens.alias("high_risk_tokens"),
+                present.alias("tokens_in_text"),
+                necessity.alias("necessity"),
+                score.alias("risk_score"),
+                s.alias("status"),
+                F.element_at(messages, s).alias("message"),
+            ),
+        )
+
+    def necessity_of(perturbed: Column) -> Column:
+        again = rule_expression(perturbed)["risk_score"] if rescore else F.lit(fixed.PERTURBED_SCORE)
+        return once(
+            again,
+            lambda lowered: F.struct(
+                perturbed.alias("perturbed_text"),
+                lowered.alias("perturbed_score"),
+                (score - lowered).alias("score_drop"),
+                (score - lowered > fixed.TRUST_DROP).alias("is_trustworthy"),
+            ),
+        )
+
+    def with_present(tokens: Column, present: Column) -> Column:
+        tested = F.when(F.size(present) > 0, once(perturb(F.col(text), present), necessity_of))
+        return once(tested, lambda necessity: result(tokens, present, necessity))
+
+    def with_tokens(tokens: Column) -> Column:
+        none = F.array().cast("array<string>")
+        present = F.when(is_phishing, tokens_in_text(F.col(text), tokens)).otherwise(none)
+        return once(present, lambda found: with_present(tokens, found))
+
+    return computed_once(df, **{out: once(clean_tokens(said["high_risk_tokens"]), with_tokens)})
 
 
 # The wording of this template is our own; any other with the same seven slots can be passed in.

@@ -1,10 +1,11 @@
 """Matching every mail against a small reference table.
 
 Knowledge bases and gazetteers have tens of rows, mails have billions.  While the reference table
-is small enough (its rows are counted first) it travels inside the plan as one array value and the
-mails are never shuffled.  A larger table is cut into blocks of the same bounded size; mails meet
-every block through an equi-join on a salted block number, each (mail, block) pair keeps only its
-own partial answer, and the partial answers are merged per mail.  Both ways give the same rows.
+is small enough (rows and bytes are measured first) it travels inside the plan as one constant
+array and the mails are never shuffled.  A larger table is cut into blocks of the same bounded
+size; mails meet every block through an equi-join on block number and salt, each (mail, block) pair
+keeps only its own partial answer, and the partial answers are merged per mail.  Both ways give the
+same rows.
 """
 
 from collections.abc import Callable
@@ -13,24 +14,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_INLINE_ROWS = 2_000
-MAX_INLINE_BYTES = 16 << 20
+MAX_INLINE_BYTES = 4 << 20
 BLOCK_SALTS = 64
 
 
-def entry_array(table: DataFrame, order: str, fields: list[str]) -> Column:
-    """All rows of a small table as one array value, ordered, for use in any other plan."""
-    return table.agg(F.sort_array(F.collect_list(_entry(order, fields))).alias("entries")).scalar()
-
-
 def _entry(order: str, fields: list[str]) -> Column:
     return F.struct(F.col(order), *[F.col(f) for f in fields if f != order])
 
 
-def measure(table: DataFrame, order: str, fields: list[str], max_rows: int) -> tuple[int, int]:
-    """Rows and bytes of the entries, looking no further than one row beyond the limit."""
-    size = F.octet_length(F.to_json(_entry(order, fields)))
-    head = table.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
-    return head[0], head[1]
+def _inline_entries(table: DataFrame, order: str, fields: list[str], max_rows: int) -> Column | None:
+    """All rows of a small table as one constant array, ordered; None where the table is too large.
+
+    No more than one row beyond the limit is looked at.
+    """
+    head = table.limit(max_rows + 1).select(_entry(order, fields).alias("entry"))
+    packed = F.to_json(F.sort_array(F.collect_list("entry")))
+    rows, size, text = (
+        head.agg(F.count(F.lit(1)).alias("rows"), packed.alias("text"))
+        .select("rows", F.octet_length("text").alias("size"), "text")
+        .select(
+            "rows",
+            "size",
+            F.when((F.col("rows") <= max_rows) & (F.col("size") <= MAX_INLINE_BYTES), F.col("text")),
+        )
+        .first()
+    )
+    if text is None:
+        return None
+    entry_type = head.schema["entry"].dataType.simpleString()
+    return F.from_json(F.lit(text), f"array<{entry_type}>")
 
 
 def match_entries(
@@ -51,9 +63,9 @@ def match_entries(
     hits.  `merge(partial(a) ++ partial(b))` must equal `merge(partial(a ++ b))`, which holds for
     filters and for top-k.
     """
-    rows, size = measure(table, order, fields, max_rows)
-    if rows <= max_rows and size <= MAX_INLINE_BYTES:
-        return df.withColumn(out, merge(partial(entry_array(table, order, fields))))
+    inline = _inline_entries(table, order, fields, max_rows)
+    if inline is not None:
+        return df.withColumn(out, merge(partial(inline)))
 
     # Blocks are cut by a hash of the unique order key, so they come out even; aiming at half the
     # limit keeps each of them below it.

@@ -185,9 +185,9 @@ def pr_curve(
     )
     shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
     cuts = per_score.agg(F.percentile_approx("threshold", shares).alias("cuts")).scalar()
-    in_range = per_score.withColumn(
-        "__range", F.size(F.filter(cuts, lambda c: c <= F.col("threshold")))
-    )
+    # The place a score takes among the sorted cuts is its range; equal scores take equal places.
+    place = F.array_position(F.sort_array(F.array_append(cuts, F.col("threshold"))), F.col("threshold"))
+    in_range = per_score.withColumn("__range", place)
     from_above = W.orderBy(F.desc("__range"))
     ahead = from_above.rowsBetween(W.unboundedPreceding, -1)
     everything = from_above.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)

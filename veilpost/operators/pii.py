@@ -1,7 +1,7 @@
 """Structured PII: masking in a fixed order, findings, residual check.
 
-Each type is counted and replaced in the text as the earlier types left it, so masking is a chain
-of columns.  All of it is row work: one scan, no shuffle.
+Each type is counted and replaced in the text as the earlier types left it, so masking is a chain.
+All of it is row work: one scan, no shuffle.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .. import fixed
 from ..functions import patterns as P
 from ..schemas import FINDING, RESIDUAL
+from .stage import computed_once
 
 
 def mask_tag(pii_type: str) -> str:
@@ -37,32 +38,31 @@ def mask_type(df: DataFrame, pii_type: str, text: str, masked: str, count: str)
 def mask_structured(
     df: DataFrame, text: str = "raw_email", masked: str = "masked_email", findings: str = "detected_pii"
 ) -> DataFrame:
-    """All types in masking order; `findings` lists the types with at least one hit."""
-    kept = [F.col(c) for c in df.columns]
-    current, counts = text, {}
+    """All types in masking order; `findings` lists the types with at least one hit.
+
+    Text and counts pass through `computed_once`, so a filter on anything made from them does not
+    repeat the chain.
+    """
+    chain, current, counts = df, text, []
     for step, pii_type in enumerate(fixed.MASKING_ORDER):
-        counts[pii_type] = f"__n_{step}"
-        df = mask_type(df, pii_type, current, f"__t_{step}", counts[pii_type])
+        chain = mask_type(chain, pii_type, current, f"__t_{step}", f"__n_{step}")
         current = f"__t_{step}"
+        counts.append(f"__n_{step}")
+    state = F.struct(F.col(current).alias("text"), F.array(*counts).alias("counts"))
+    done = computed_once(chain, __mask=state).select(*df.columns, "__mask")
     found = F.array(
         *[
-            F.when(
-                F.col(counts[t]) > 0,
-                F.struct(
-                    F.lit(t).alias("type"),
-                    F.lit(fixed.METHOD_STRUCTURED).alias("method"),
-                    F.col(counts[t]).alias("count"),
-                    F.lit(mask_tag(t)).alias("masked_as"),
-                ),
+            F.struct(
+                F.lit(t).alias("type"),
+                F.lit(fixed.METHOD_STRUCTURED).alias("method"),
+                F.get("__mask.counts", F.lit(i)).alias("count"),
+                F.lit(mask_tag(t)).alias("masked_as"),
             )
-            for t in fixed.MASKING_ORDER
+            for i, t in enumerate(fixed.MASKING_ORDER)
         ]
     )
-    return df.select(
-        *kept,
-        F.col(current).alias(masked),
-        F.array_compact(found).cast(f"array<{FINDING}>").alias(findings),
-    )
+    hits = F.filter(found, lambda f: f["count"] > 0).cast(f"array<{FINDING}>")
+    return done.withColumn(masked, F.col("__mask.text")).withColumn(findings, hits).drop("__mask")
 
 
 def residual_check(
@@ -146,7 +146,8 @@ def coverage(df: DataFrame, before: str, after: str) -> DataFrame:
 def finding_totals(df: DataFrame, findings: str = "detected_pii") -> DataFrame:
     """Mails and matches per type; at most one partial row per type leaves a task."""
     return (
-        df.select(F.explode(findings).alias("f"))
+        df.select(F.explode_outer(findings).alias("f"))
+        .where(F.col("f").isNotNull())
         .groupBy(F.col("f.type").alias("type"))
         .agg(F.count(F.lit(1)).alias("mails"), F.sum("f.count").alias("matches"))
     )

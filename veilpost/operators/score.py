@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions import patterns as P
-from ..functions.text import clean_tokens, contains_any, first_filled, phrase_hits, strip
+from ..functions.text import clean_tokens, contains_any, first_filled, once, phrase_hits, strip
 from ..schemas import VERDICT
+from .stage import computed_once
 
 _PHRASES = [phrase for phrase, _ in fixed.SIGNALS]
 
@@ -25,51 +26,56 @@ def _technique_route(lowered: Column) -> Column:
     return chain.otherwise(F.lit(default))
 
 
-def rule_verdict(df: DataFrame, text: str, out: str = "rule") -> DataFrame:
-    """Add the verdict of the phrase-weight rule on `text` as one struct.
+def rule_expression(text: Column) -> Column:
+    """The verdict of the phrase-weight rule as one struct.
 
     The text is lowered once and every phrase looked up once; score and tokens both read the list
     of hits.  Weights are added as doubles in table order, since the sum decides a strict cut.
     """
-    hits = F.col("__hits")
-    score = reduce(
-        lambda acc, i: acc + F.when(F.get(hits, F.lit(i)), F.lit(fixed.SIGNALS[i][1])).otherwise(F.lit(0.0)),
-        range(len(_PHRASES)),
-        F.lit(0.0),
-    )
-    tokens = F.array_compact(
-        F.array(*[F.when(F.get(hits, F.lit(i)), F.lit(p)) for i, p in enumerate(_PHRASES)])
-    )
-    scored = (
-        df.withColumn("__lowered", F.lower(text))
-        .withColumn("__hits", phrase_hits(F.col("__lowered"), _PHRASES))
-        .withColumn("__tokens", tokens)
-        .withColumn("__score", F.least(F.greatest(score, F.lit(0.0)), F.lit(fixed.SCORE_CAP)))
-    )
-    verdict = F.struct(
-        (F.col("__score") >= fixed.PHISHING_CUT).alias("is_phishing"),
-        F.col("__score").alias("risk_score"),
-        _technique_route(F.col("__lowered")).alias("mitre_technique"),
-        F.format_string(fixed.WHY_RULE, F.size("__tokens")).alias("why_malicious_context"),
-        F.slice("__tokens", 1, fixed.MAX_TOKENS).alias("high_risk_tokens"),
+
+    def verdict(low: Column, score: Column, tokens: Column) -> Column:
+        return F.struct(
+            (score >= fixed.PHISHING_CUT).alias("is_phishing"),
+            score.alias("risk_score"),
+            _technique_route(low).alias("mitre_technique"),
+            F.format_string(fixed.WHY_RULE, F.size(tokens)).alias("why_malicious_context"),
+            F.slice(tokens, 1, fixed.MAX_TOKENS).alias("high_risk_tokens"),
+        )
+
+    def from_hits(low: Column, hits: Column) -> Column:
+        total = reduce(
+            lambda acc, i: acc + F.when(F.get(hits, F.lit(i)), F.lit(fixed.SIGNALS[i][1])).otherwise(F.lit(0.0)),
+            range(len(_PHRASES)),
+            F.lit(0.0),
+        )
+        capped = F.least(F.greatest(total, F.lit(0.0)), F.lit(fixed.SCORE_CAP))
+        tokens = F.filter(
+            F.array(*[F.when(F.get(hits, F.lit(i)), F.lit(p)) for i, p in enumerate(_PHRASES)]),
+            lambda t: t.isNotNull(),
+        )
+        return once(capped, lambda score: once(tokens, lambda found: verdict(low, score, found)))
+
+    return once(
+        F.lower(text),
+        lambda low: once(phrase_hits(low, _PHRASES), lambda hits: from_hits(low, hits)),
     )
-    return scored.withColumn(out, verdict).drop("__lowered", "__hits", "__tokens", "__score")
+
+
+def rule_verdict(df: DataFrame, text: str, out: str = "rule") -> DataFrame:
+    """Add the rule's verdict on `text`."""
+    return computed_once(df, **{out: rule_expression(F.col(text))})
 
 
 def fallback_score(df: DataFrame, text: str, out: str = "fallback_score") -> DataFrame:
     """Keyword preset score of the benchmark; the rule score where no preset word occurs."""
-    lowered = F.col("__fallback_lowered")
-    return (
-        rule_verdict(df, text, "__rule")
-        .withColumn("__fallback_lowered", F.lower(text))
-        .withColumn(
-            out,
-            F.when(contains_any(lowered, fixed.FALLBACK_PHISHING_WORDS), F.lit(fixed.FALLBACK_PHISHING_SCORE))
-            .when(contains_any(lowered, fixed.FALLBACK_BENIGN_WORDS), F.lit(fixed.FALLBACK_BENIGN_SCORE))
-            .otherwise(F.col("__rule.risk_score")),
+    def preset(low: Column) -> Column:
+        return (
+            F.when(contains_any(low, fixed.FALLBACK_PHISHING_WORDS), F.lit(fixed.FALLBACK_PHISHING_SCORE))
+            .when(contains_any(low, fixed.FALLBACK_BENIGN_WORDS), F.lit(fixed.FALLBACK_BENIGN_SCORE))
+            .otherwise(rule_expression(F.col(text))["risk_score"])
         )
-        .drop("__rule", "__fallback_lowered")
-    )
+
+    return computed_once(df, **{out: once(F.lower(text), preset)})
 
 
 def normalize_score(score: Column) -> Column:

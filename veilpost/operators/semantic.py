@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions import patterns as P
-from ..functions.text import count_literal, longest_first, strip
+from ..functions.text import count_literal, longest_first, once, strip
 from ..schemas import FINDING, SEMANTIC_ITEM
 from .lookup import MAX_INLINE_ROWS, match_entries
+from .stage import computed_once
 
 
 def detect_with_gazetteer(
@@ -114,15 +115,13 @@ def mask_items(
             F.array_append(state["found"], found).cast(f"array<{FINDING}>").alias("found"),
         )
 
-    folded = F.aggregate("__items", start, step)
-    any_item = F.size("__items") > 0
-    with_state = df.withColumn("__items", valid_items(F.col(text), F.col(items))).withColumn(
-        "__state", F.when(any_item, folded)
-    )
+    def masked_with(usable: Column) -> Column:
+        return F.when(F.size(usable) > 0, F.aggregate(usable, start, step)).otherwise(start)
+
+    usable = valid_items(F.col(text), F.col(items))
     return (
-        with_state.withColumn(text, F.coalesce("__state.text", text))
-        .withColumn(
-            findings, F.when(any_item, F.concat(findings, "__state.found")).otherwise(F.col(findings))
-        )
-        .drop("__items", "__state")
+        computed_once(df, __state=once(usable, masked_with))
+        .withColumn(text, F.col("__state.text"))
+        .withColumn(findings, F.concat(findings, "__state.found"))
+        .drop("__state")
     )
