@@ -7,6 +7,10 @@ kind of personal data, all picked by the document's number.
 
 from pyspark.sql import DataFrame, SparkSession
 
+from veilpost.sources.readers import read_spread
+
+TABLE_KEYS = {"documents": "doc_id", "labels": "doc_id", "pages": "page_id", "embeddings": "vec_id"}
+
 _SUBJECTS = [
     "Weekly sync agenda", "URGENT: verify your account", "Invoice overdue", "Quarterly report",
     "Wire transfer request", "Password reset", "Team lunch", "Payment reminder", "Your parcel",
@@ -138,12 +142,14 @@ def email_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run_shared(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """Run a shared SQL text in Spark, its tables bound to the parquet files it names."""
-    names = [n for n in ("documents", "labels", "conversations", "pages") if "{" + n + "}" in sql]
-    tables = {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
+    tables = {n: read_table(spark, sf_dir, n) for n in TABLE_KEYS if "{" + n + "}" in sql}
     return spark.sql(sql, **tables)
 
 
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return read_spread(spark, f"{sf_dir}/{name}.parquet", TABLE_KEYS[name])
+
+
 def duck(sql: str) -> str:
     """The same text for DuckDB, where the tables are views of their own name."""
-    names = ("documents", "labels", "conversations", "pages")
-    return sql.format(**{n: n for n in names})
+    return sql.format(**{n: n for n in TABLE_KEYS})

@@ -108,7 +108,7 @@ for _type in fixed.PII_PATTERNS:
 @query
 def pii_pages(spark, sf_dir):
     """Masking of whole web pages: markup, scripts and non-Latin text."""
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    pages = inputs.read_table(spark, sf_dir, "pages")
     return S.redact(pages, "html").select("page_id", "masked_email", "final_check_status")
 
 
@@ -119,7 +119,7 @@ def pii_finding_totals(spark, sf_dir):
 
 @query
 def pii_coverage(spark, sf_dir):
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("text")
+    documents = inputs.read_table(spark, sf_dir, "documents").select("text")
     return pii.coverage(pii.mask_structured(documents, "text"), "text", "masked_email")
 
 
@@ -186,7 +186,7 @@ def pluggable_detector(spark, sf_dir):
 @query
 def mask_vs_reference(spark, sf_dir):
     """First 100 rows by key of a masked-text set (the limit is the operator)."""
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    documents = inputs.read_table(spark, sf_dir, "documents")
     masked_set = documents.select(
         "doc_id", F.col("text").alias("unmasked_text"), F.replace("text", F.lit("@"), F.lit("[AT]")).alias("masked_text")
     )
@@ -627,7 +627,7 @@ def operating_point(spark, sf_dir):
 
 def _centroids(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """All embeddings, and one mean vector per label as their knowledge base (ten rows)."""
-    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    vectors = inputs.read_table(spark, sf_dir, "embeddings")
     dims = vectors.select(F.size("embedding")).first()[0]
     means = F.array(*[F.avg(F.get("embedding", F.lit(i))) for i in range(dims)])
     return vectors, vectors.groupBy("label").agg(means.alias("center"))
@@ -696,8 +696,8 @@ def extracted_indicators(spark, sf_dir):
 
 @query
 def kb_upsert(spark, sf_dir):
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    documents = inputs.read_table(spark, sf_dir, "documents")
+    pages = inputs.read_table(spark, sf_dir, "pages")
     current = documents.select(
         F.col("source").alias("id"), (F.col("doc_id") * 2).alias("version"), F.md5("text").alias("payload")
     )

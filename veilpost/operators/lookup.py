@@ -13,6 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .stage import computed_once
+
 MAX_INLINE_ROWS = 2_000
 MAX_INLINE_BYTES = 4 << 20
 BLOCK_SALTS = 64
@@ -22,27 +24,21 @@ def _entry(order: str, fields: list[str]) -> Column:
     return F.struct(F.col(order), *[F.col(f) for f in fields if f != order])
 
 
-def _inline_entries(table: DataFrame, order: str, fields: list[str], max_rows: int) -> Column | None:
-    """All rows of a small table as one constant array, ordered; None where the table is too large.
+def pack_small(table: DataFrame, order: str, fields: list[str], max_rows: int) -> tuple[str, str] | None:
+    """All rows of a small table, ordered, as JSON text with its Spark type; None if it is too large.
 
     No more than one row beyond the limit is looked at.
     """
     head = table.limit(max_rows + 1).select(_entry(order, fields).alias("entry"))
-    packed = F.to_json(F.sort_array(F.collect_list("entry")))
-    rows, size, text = (
-        head.agg(F.count(F.lit(1)).alias("rows"), packed.alias("text"))
-        .select("rows", F.octet_length("text").alias("size"), "text")
-        .select(
-            "rows",
-            "size",
-            F.when((F.col("rows") <= max_rows) & (F.col("size") <= MAX_INLINE_BYTES), F.col("text")),
+    fits = (F.col("rows") <= max_rows) & (F.octet_length("text") <= MAX_INLINE_BYTES)
+    text = (
+        head.agg(
+            F.count(F.lit(1)).alias("rows"), F.to_json(F.sort_array(F.collect_list("entry"))).alias("text")
         )
-        .first()
+        .select(F.when(fits, F.col("text")))
+        .first()[0]
     )
-    if text is None:
-        return None
-    entry_type = head.schema["entry"].dataType.simpleString()
-    return F.from_json(F.lit(text), f"array<{entry_type}>")
+    return None if text is None else (text, f"array<{head.schema['entry'].dataType.simpleString()}>")
 
 
 def match_entries(
@@ -56,16 +52,19 @@ def match_entries(
     out: str,
     max_rows: int = MAX_INLINE_ROWS,
     salts: int = BLOCK_SALTS,
+    whole: Callable[[str, str], Column] | None = None,
 ) -> DataFrame:
     """Add `out = merge(partial(entries))` to every row of `df`.
 
     `partial` turns an array of entries into an array of hits; `merge` orders and cuts an array of
     hits.  `merge(partial(a) ++ partial(b))` must equal `merge(partial(a ++ b))`, which holds for
-    filters and for top-k.
+    filters and for top-k.  `key` must be unique in `df`, `order` in `table`.  `whole` may give a
+    faster way to the same answer for a small table, from its JSON text and type.
     """
-    inline = _inline_entries(table, order, fields, max_rows)
-    if inline is not None:
-        return df.withColumn(out, merge(partial(inline)))
+    packed = pack_small(table, order, fields, max_rows)
+    if packed is not None:
+        answer = whole(*packed) if whole else merge(partial(F.from_json(F.lit(packed[0]), packed[1])))
+        return computed_once(df, **{out: answer})
 
     # Blocks are cut by a hash of the unique order key, so they come out even; aiming at half the
     # limit keeps each of them below it.

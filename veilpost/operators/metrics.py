@@ -183,7 +183,7 @@ def pr_curve(
     per_score = df.where(F.col(score).isNotNull()).groupBy(F.col(score).alias("threshold")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count(F.lit(1)).alias("n")
     )
-    shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+    shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges + 1)])
     cuts = per_score.agg(F.percentile_approx("threshold", shares).alias("cuts")).scalar()
     # The place a score takes among the sorted cuts is its range; equal scores take equal places.
     place = F.array_position(F.sort_array(F.array_append(cuts, F.col("threshold"))), F.col("threshold"))

@@ -27,12 +27,15 @@ def count_type(text, pii_type: str) -> Column:
     return F.when(F.contains(text, F.lit(literal)), scanned).when(text.isNotNull(), F.lit(0))
 
 
-def mask_type(df: DataFrame, pii_type: str, text: str, masked: str, count: str) -> DataFrame:
-    """Add `count` and `masked` for one type; only rows with a hit pay for the replacement."""
+def _masked(text: str, pii_type: str, count: str) -> Column:
+    """The text with one type masked; only rows with a hit pay for the replacement."""
     replaced = F.regexp_replace(text, P.PII[pii_type], F.lit(mask_tag(pii_type)))
-    return df.withColumn(count, count_type(text, pii_type)).withColumn(
-        masked, F.when(F.col(count) > 0, replaced).otherwise(F.col(text))
-    )
+    return F.when(F.col(count) > 0, replaced).otherwise(F.col(text))
+
+
+def mask_type(df: DataFrame, pii_type: str, text: str, masked: str, count: str) -> DataFrame:
+    """Add `count` and `masked` for one type."""
+    return df.withColumn(count, count_type(text, pii_type)).withColumn(masked, _masked(text, pii_type, count))
 
 
 def mask_structured(
@@ -40,16 +43,17 @@ def mask_structured(
 ) -> DataFrame:
     """All types in masking order; `findings` lists the types with at least one hit.
 
-    Text and counts pass through `computed_once`, so a filter on anything made from them does not
-    repeat the chain.
+    The chain is one select whose columns refer to those before them.  Text and counts pass through
+    `computed_once`, so a filter on anything made from them does not repeat the chain.
     """
-    chain, current, counts = df, text, []
+    current, links, counts = text, [], []
     for step, pii_type in enumerate(fixed.MASKING_ORDER):
-        chain = mask_type(chain, pii_type, current, f"__t_{step}", f"__n_{step}")
-        current = f"__t_{step}"
-        counts.append(f"__n_{step}")
+        count, after = f"__n_{step}", f"__t_{step}"
+        links += [count_type(current, pii_type).alias(count), _masked(current, pii_type, count).alias(after)]
+        current = after
+        counts.append(count)
     state = F.struct(F.col(current).alias("text"), F.array(*counts).alias("counts"))
-    done = computed_once(chain, __mask=state).select(*df.columns, "__mask")
+    done = computed_once(df.select("*", *links), __mask=state).select(*df.columns, "__mask")
     found = F.array(
         *[
             F.struct(

@@ -1,5 +1,10 @@
 """Retrieval: nearest knowledge-base rows, indicator ranking, context and prompt texts."""
 
+import json
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +19,26 @@ def squared_l2(a: Column, b: Column) -> Column:
     return F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t)
 
 
+def _nearest_of(centers: np.ndarray, k: int):
+    """Pandas UDF: the k nearest centers of each vector, by distance and then by position."""
+
+    @F.pandas_udf("array<struct<distance:double,at:int>>")
+    def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            found = pd.Series([[] for _ in range(len(batch))], index=batch.index, dtype=object)
+            given = batch[batch.notna()]
+            if len(given) and len(centers):
+                rows = np.stack(given.to_list()).astype("float64")
+                squares = [np.einsum("ij,ij->i", rows - c, rows - c) for c in centers]
+                distances = np.stack(squares, axis=1)
+                first = np.argsort(distances, axis=1, kind="stable")[:, :k]
+                for at, row, places in zip(given.index, distances, first):
+                    found[at] = [{"distance": row[p], "at": int(p)} for p in places]
+            yield found
+
+    return search
+
+
 def nearest(
     df: DataFrame,
     kb: DataFrame,
@@ -25,7 +50,11 @@ def nearest(
     out: str = "nearest",
     max_rows: int = MAX_INLINE_ROWS,
 ) -> DataFrame:
-    """Exact k nearest rows of `kb` by squared L2 as `array<struct<distance, id>>`; id breaks ties."""
+    """Exact k nearest rows of `kb` by squared L2 as `array<struct<distance, id>>`; id breaks ties.
+
+    Distances to a small knowledge base are matrix work on Arrow batches: numpy is some hundred
+    times faster at it than lambdas over arrays.
+    """
     table = kb.select(F.col(kb_id).alias("id"), F.col(kb_vector).alias("kb_vector"))
 
     def partial(entries: Column) -> Column:
@@ -37,7 +66,17 @@ def nearest(
     def merge(hits: Column) -> Column:
         return F.slice(F.sort_array(hits), 1, k)
 
-    return match_entries(df, table, key, "id", ["kb_vector"], partial, merge, out, max_rows)
+    def whole(text: str, entry_type: str) -> Column:
+        centers = np.array([e["kb_vector"] for e in json.loads(text)], dtype="float64")
+        ids = F.transform(F.from_json(F.lit(text), entry_type), lambda e: e["id"])
+        return F.transform(
+            _nearest_of(centers, k)(F.col(vector)),
+            lambda n: F.struct(n["distance"].alias("distance"), F.get(ids, n["at"]).alias("id")),
+        )
+
+    return match_entries(
+        df, table, key, "id", ["kb_vector"], partial, merge, out, max_rows, whole=whole
+    )
 
 
 def rank_by_indicators(

@@ -17,6 +17,7 @@ def build_session(app: str = "veilpost", master: str | None = None, **conf) -> S
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
     }
     settings.update(conf)
     for key, value in settings.items():

@@ -8,6 +8,17 @@ from .. import schemas
 from ..operators.datasets import first_rows
 
 
+def read_spread(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """Parquet, spread over the cores where the files give fewer tasks than there are cores.
+
+    A file of one row group is one task, however many cores wait.  Large inputs have more splits
+    than cores and are left alone: their rows are never shuffled.
+    """
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_json(spark: SparkSession, path: str, schema: StructType, array_file: bool = False) -> DataFrame:
     """JSON lines, or with `array_file` files holding one JSON array each (not splittable)."""
     return spark.read.schema(schema).option("multiLine", array_file).json(path)
