@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from veilpost import fixed
 from veilpost.operators import pii
-from veilpost.plans.screening import redact
+from veilpost.plans.screening import redact, screen
 
 EDGES = [
     "電話0912345678。",
@@ -87,13 +87,26 @@ def test_second_pass_changes_nothing_on_pass_rows(spark):
     assert again.where(F.col("twice") != F.col("masked_email")).count() == 0
 
 
+def copies(df, name: str) -> int:
+    return df._jdf.queryExecution().optimizedPlan().toString().count(name + "(")
+
+
 def test_filter_on_result_does_not_repeat_the_chain(spark):
     """Without a barrier the pushed filter would hold thousands of copies of the patterns."""
     df = spark.createDataFrame([(1, "x")], "email_id int, raw_email string")
     filtered = pii.mask_structured(df).where("size(detected_pii) > 0 and masked_email like '%a%'")
-    plan = filtered._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("regexp_replace") == len(fixed.MASKING_ORDER)
-    assert plan.count("regexp_extract_all") == len(fixed.MASKING_ORDER)
+    assert copies(filtered, "regexp_replace") == copies(filtered, "regexp_extract_all") == len(fixed.MASKING_ORDER)
+
+
+def test_filters_on_screening_results_evaluate_each_text_once(spark):
+    df = spark.createDataFrame([(1, "x")], "email_id int, raw_email string")
+    whole = screen(df)
+    filtered = whole.where(
+        "privacy.final_check_status = 'FAIL' and verdict.is_phishing and audit.status = 'failed' and email_id > 0"
+    )
+    assert copies(filtered, "regexp_extract_all") == copies(whole, "regexp_extract_all") == 2 * len(fixed.PII_PATTERNS)
+    assert copies(filtered, "lower") == copies(whole, "lower")
+    assert "Exchange" not in filtered._jdf.queryExecution().executedPlan().toString()
 
 
 def test_null_text(spark):

@@ -59,6 +59,10 @@ REQUIRED_LITERAL = {
     "ETH_ADDRESS": "0x",
 }
 
+# Types whose matches never hold a line break and whose literal stands on few lines of a mail: only
+# those lines are scanned.
+LINE_BOUND = ("EMAIL", "IPV6")
+
 # Header patterns: any letter case, "." stops at "\n" only.
 FROM_LINE = rf"(?iud)From:{SPACE}*(.+)"
 SUBJECT_LINE = rf"(?iud)Subject:{SPACE}*(.+)"

@@ -20,17 +20,34 @@ def mask_tag(pii_type: str) -> str:
 def count_type(text, pii_type: str) -> Column:
     """Number of matches of one type; rows without the type's required literal are not scanned."""
     text = F.col(text) if isinstance(text, str) else text
-    scanned = F.regexp_count(text, F.lit(P.PII[pii_type]))
     literal = P.REQUIRED_LITERAL.get(pii_type)
+    pattern = F.lit(P.PII[pii_type])
     if literal is None:
-        return scanned
-    return F.when(F.contains(text, F.lit(literal)), scanned).when(text.isNotNull(), F.lit(0))
+        return F.regexp_count(text, pattern)
+    scanned = text
+    if pii_type in P.LINE_BOUND:
+        lines = F.filter(F.split(text, "\n"), lambda line: F.contains(line, F.lit(literal)))
+        scanned = F.array_join(lines, "\n")
+    has_literal = F.contains(text, F.lit(literal))
+    return F.when(has_literal, F.regexp_count(scanned, pattern)).when(text.isNotNull(), F.lit(0))
 
 
 def _masked(text: str, pii_type: str, count: str) -> Column:
     """The text with one type masked; only rows with a hit pay for the replacement."""
-    replaced = F.regexp_replace(text, P.PII[pii_type], F.lit(mask_tag(pii_type)))
-    return F.when(F.col(count) > 0, replaced).otherwise(F.col(text))
+
+    def replaced(part) -> Column:
+        return F.regexp_replace(part, P.PII[pii_type], F.lit(mask_tag(pii_type)))
+
+    whole = F.col(text)
+    if pii_type in P.LINE_BOUND:
+        literal = F.lit(P.REQUIRED_LITERAL[pii_type])
+        lines = F.transform(
+            F.split(whole, "\n"), lambda line: F.when(F.contains(line, literal), replaced(line)).otherwise(line)
+        )
+        masked = F.array_join(lines, "\n")
+    else:
+        masked = replaced(whole)
+    return F.when(F.col(count) > 0, masked).otherwise(whole)
 
 
 def mask_type(df: DataFrame, pii_type: str, text: str, masked: str, count: str) -> DataFrame:
@@ -83,10 +100,8 @@ def residual_check(
         ]
     )
     left = F.filter(left, lambda r: r["count"] > 0).cast(f"array<{RESIDUAL}>")
-    return df.withColumn(residual, left).withColumn(
-        status,
-        F.when(F.size(residual) > 0, F.lit(fixed.STATUS_FAIL)).otherwise(F.lit(fixed.STATUS_PASS)),
-    )
+    passed = F.when(F.size(residual) > 0, F.lit(fixed.STATUS_FAIL)).otherwise(F.lit(fixed.STATUS_PASS))
+    return computed_once(df, **{residual: left}).withColumn(status, passed)
 
 
 def finding_texts(findings: Column) -> Column:
