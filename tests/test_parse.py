@@ -16,6 +16,7 @@ MAILS = {
     "wide_space": "From: 　a@b.c　\nSubject:　s　\n　body　",
     "line_separator": "Subject: a b\x85c\nbody",
     "separators": "Subject: \x1c s \x1d\nbody\x1f",
+    "long_s": "From: x@y.z\n\u017fubject: old\nbody",
     "urgent": "URGENT only",
     "flags": "please pay: wire transfer 緊急",
 }

@@ -11,7 +11,7 @@ from . import patterns as P
 
 def strip(text) -> Column:
     """Trim every kind of white space on both ends (`trim` only knows the blank)."""
-    return F.regexp_replace(text, P.STRIP, "")
+    return F.btrim(text, F.lit(P.SPACE_LIST))
 
 
 def first_group(text, pattern: str) -> Column:
