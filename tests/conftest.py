@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -12,7 +13,12 @@ SF_DIR = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", "local[4]", **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g"})
+    settings = {
+        "spark.sql.shuffle.partitions": "4",
+        "spark.driver.memory": "4g",
+        "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="veilpost-warehouse-"),
+    }
+    session = build_session("tests", "local[4]", **settings)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

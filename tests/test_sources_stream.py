@@ -4,6 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from veilpost.operators.datasets import pending
 from veilpost.plans.screening import screen
 from veilpost.sources import readers, writers
 from veilpost.streaming.incremental import mail_stream, screen_available
@@ -39,6 +40,19 @@ def test_report_sink(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "errors")).first().type == "FP"
 
 
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    mails = spark.range(200).select(F.col("id").alias("email_id"), F.lit("text").alias("raw_email"))
+    writers.save_bucketed(mails, "mails_b", buckets=4)
+    writers.save_bucketed(mails.where("email_id < 50").select("email_id"), "done_b", buckets=4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = pending(spark.table("mails_b"), spark.table("done_b"))
+        assert "Exchange" not in left._jdf.queryExecution().executedPlan().toString()
+        assert left.count() == 150
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_stream_takes_up_where_it_stopped(spark, sf_dir, tmp_path):
     """New files only on the second run; both runs together equal the batch result."""
     source = tmp_path / "in"

@@ -17,7 +17,6 @@ from .stage import computed_once
 
 MAX_INLINE_ROWS = 2_000
 MAX_INLINE_BYTES = 4 << 20
-BLOCK_SALTS = 64
 
 
 def _entry(order: str, fields: list[str]) -> Column:
@@ -51,7 +50,6 @@ def match_entries(
     merge: Callable[[Column], Column],
     out: str,
     max_rows: int = MAX_INLINE_ROWS,
-    salts: int = BLOCK_SALTS,
     whole: Callable[[str, str], Column] | None = None,
 ) -> DataFrame:
     """Add `out = merge(partial(entries))` to every row of `df`.
@@ -72,6 +70,8 @@ def match_entries(
         F.count(F.lit(1)), F.sum(F.octet_length(F.to_json(_entry(order, fields))))
     ).first()
     n_blocks = 2 * max(-(-total // max_rows), -(-volume // MAX_INLINE_BYTES))
+    # Together, blocks and salts give every shuffle partition work of its own.
+    salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // n_blocks + 1
     blocks = (
         table.groupBy(F.pmod(F.xxhash64(order), F.lit(n_blocks)).cast("int").alias("__block"))
         .agg(F.sort_array(F.collect_list(_entry(order, fields))).alias("__entries"))

@@ -218,8 +218,11 @@ def attach_scores(records: DataFrame, scores: DataFrame, key: str, score: str =
 
 
 def apply_overrides(df: DataFrame, overrides: DataFrame, key: str = "email_id", verdict: str = "verdict") -> DataFrame:
-    """Officer approvals by mail: an approved alert is suppressed, other phishing stays an alert."""
-    approvals = overrides.groupBy(key).agg(F.bool_or("approved").alias("__approved"))
+    """Officer approvals by mail: an approved alert is suppressed, other phishing stays an alert.
+
+    Only the approvals are joined, which are few enough on most days for Spark to broadcast them.
+    """
+    approvals = overrides.where("approved").select(key).distinct().withColumn("__approved", F.lit(True))
     phishing = F.col(f"{verdict}.is_phishing")
     action = (
         F.when(phishing & F.coalesce("__approved", F.lit(False)), F.lit("SUPPRESSED"))
