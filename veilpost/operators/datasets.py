@@ -50,20 +50,16 @@ def split_sample(sample: DataFrame, first: int = fixed.FEWSHOT_PER_CLASS) -> Dat
 
 
 def build_fewshot(sample: DataFrame, text: str = "email_text", label: str = "email_type") -> DataFrame:
-    """Example rows (email, label, technique, reason), phishing and benign side by side."""
-    examples = split_sample(sample).where(F.col("part") == "fewshot")
-
-    def side(kind: str, row: tuple) -> DataFrame:
-        return examples.where(F.col(label) == kind).select(
-            "email_id",
-            F.substring(text, 1, fixed.FEWSHOT_CHARS).alias("email"),
-            F.lit(row[0]).alias("label"),
-            F.lit(row[1]).alias("technique"),
-            F.lit(row[2]).alias("reason"),
-        )
-
-    return side(fixed.CLASS_PHISHING, fixed.FEWSHOT_PHISHING).unionByName(
-        side(fixed.CLASS_BENIGN, fixed.FEWSHOT_BENIGN)
+    """Example rows (email, label, technique, reason) of both classes, in one pass over the sample."""
+    phishing = F.col(label) == fixed.CLASS_PHISHING
+    tags = [
+        F.when(phishing, F.lit(p)).otherwise(F.lit(b)).alias(name)
+        for name, p, b in zip(("label", "technique", "reason"), fixed.FEWSHOT_PHISHING, fixed.FEWSHOT_BENIGN)
+    ]
+    return (
+        split_sample(sample)
+        .where(F.col("part") == "fewshot")
+        .select("email_id", F.substring(text, 1, fixed.FEWSHOT_CHARS).alias("email"), *tags)
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import fixed
+from ..session import fresh_dir
 
 
 def _ratio(top: Column, bottom: Column) -> Column:
@@ -176,13 +177,17 @@ def pr_curve(
 ) -> DataFrame:
     """Precision and recall at every distinct score, then the end point (1, 0) without a threshold.
 
-    Mails are first counted per distinct score.  The running totals over the scores are made of two
+    Mails are first counted per distinct score, and the counts are written to the shared folder: three
+    later steps read them, and the mails are scored once.  The running totals over the scores are made of two
     parts: totals of whole score ranges (at most `ranges` + 1 rows in one task) and running totals
     inside a range.  The ranges hold equal shares of the distinct scores.
     """
     per_score = df.where(F.col(score).isNotNull()).groupBy(F.col(score).alias("threshold")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count(F.lit(1)).alias("n")
     )
+    counts = fresh_dir(df.sparkSession, "scores")
+    per_score.write.parquet(counts)
+    per_score = df.sparkSession.read.parquet(counts)
     shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges + 1)])
     cuts = per_score.agg(F.percentile_approx("threshold", shares).alias("cuts")).scalar()
     # The place a score takes among the sorted cuts is its range; equal scores take equal places.
