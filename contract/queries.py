@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilpost import fixed
-from veilpost.functions.text import clean_tokens, first_filled, tokens_in_text
+from veilpost.functions.text import clean_tokens, tokens_in_text
 from veilpost.operators import audit as A
 from veilpost.operators import datasets as D
 from veilpost.operators import embed as E
