@@ -3,6 +3,7 @@
 import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -25,6 +26,18 @@ def build_session(app: str = "veilpost", master: str | None = None, **conf) -> S
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from where the driver did.
+
+    On a cluster the package is installed on every node or given as `--py-files`.
+    """
+    root = str(Path(__file__).resolve().parent.parent)
+    settings = spark.sparkContext.environment
+    paths = [p for p in settings.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        settings["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by `spark.checkpoint.dir`; a local one is set up only where it is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
