@@ -7,10 +7,18 @@ from pyspark.sql import functions as F
 
 from veilpost.session import ship_package
 
-from . import fingerprint, packing, sharding
+from . import fingerprint, language_model, packing, sharding, substrings
 from .tables import documents, ranks_file
 
 
+def op2_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 2
+    scored = language_model.score_documents(documents(spark, sf_dir), ~F.coalesce(held_out, F.lit(False)))
+    return scored.select(
+        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op4_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select(
         "doc_id",
@@ -25,6 +33,11 @@ def op4_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_repeats(documents(spark, sf_dir))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_with_next(documents(spark, sf_dir))
 
@@ -43,7 +56,9 @@ def _shipped(query):
 
 
 _OPERATORS = {
+    "op2_backoff_automaton": op2_backoff_automaton,
     "op4_histogram_shards": op4_histogram_shards,
+    "op6_repeated_passages": op6_repeated_passages,
     "op9_fingerprints": op9_fingerprints,
     "op10_pack_windows": op10_pack_windows,
 }
