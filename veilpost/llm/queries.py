@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from veilpost.session import ship_package
 
-from . import fingerprint, language_model, packing, sharding, substrings
+from . import fingerprint, language_model, near_duplicates, packing, sharding, substrings
 from .tables import documents, ranks_file
 
 
@@ -38,6 +38,10 @@ def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(documents(spark, sf_dir))
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_with_next(documents(spark, sf_dir))
 
@@ -59,6 +63,7 @@ _OPERATORS = {
     "op2_backoff_automaton": op2_backoff_automaton,
     "op4_histogram_shards": op4_histogram_shards,
     "op6_repeated_passages": op6_repeated_passages,
+    "op8_near_duplicates": op8_near_duplicates,
     "op9_fingerprints": op9_fingerprints,
     "op10_pack_windows": op10_pack_windows,
 }
