@@ -2,13 +2,13 @@
 
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilpost.session import ship_package
 
-from . import fingerprint, language_model, near_duplicates, packing, sharding, substrings
-from .tables import documents, ranks_file
+from . import fingerprint, language_model, near_duplicates, packing, sharding, substrings, toxicity
+from .tables import documents, labels, ranks_file
 
 
 def op2_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,19 @@ def op2_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def not_held_out(column: str = "doc_id") -> Column:
+    """Rows whose labels may be learned from."""
+    return F.coalesce(F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(5)) != 0, F.lit(True))
+
+
+def op3_nearest_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    scorer = toxicity.fit(docs, labels(spark, sf_dir), not_held_out())
+    scored = toxicity.score_documents(docs, scorer)
+    predicted = (F.col("score") >= 0.5).cast("int")
+    return scored.select("doc_id", (~not_held_out()).alias("held_out"), "score", predicted.alias("predicted"), "evidence")
+
+
 def op4_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select(
         "doc_id",
@@ -61,6 +74,7 @@ def _shipped(query):
 
 _OPERATORS = {
     "op2_backoff_automaton": op2_backoff_automaton,
+    "op3_nearest_examples": op3_nearest_examples,
     "op4_histogram_shards": op4_histogram_shards,
     "op6_repeated_passages": op6_repeated_passages,
     "op8_near_duplicates": op8_near_duplicates,

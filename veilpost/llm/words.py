@@ -16,6 +16,9 @@ _powers: dict[tuple[int, bool], np.ndarray] = {}
 
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Also ends a word: every ASCII sign that is no letter or digit.
+IS_SIGN = IS_SPACE.copy()
+IS_SIGN[[b for b in range(128) if not chr(b).isalnum()]] = True
 _BYTE = np.random.Generator(np.random.PCG64(20)).integers(0, 2**64, 256, np.uint64)
 _LOWER = _BYTE.copy()
 _LOWER[65:91] = _BYTE[97:123]
@@ -90,10 +93,10 @@ def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[places[0] : places[-1]], places - places[0]
 
 
-def split_words(column) -> Words:
-    """Words of every text of a string column."""
+def split_words(column, ends_word: np.ndarray = IS_SPACE) -> Words:
+    """Words of every text of a string column, cut at the bytes that `ends_word` marks."""
     data, places = text_bytes(column)
-    inside = ~IS_SPACE[data]
+    inside = ~ends_word[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     ends = inside.copy()
