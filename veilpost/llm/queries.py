@@ -5,12 +5,18 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veilpost.operators.stage import computed_once
 from veilpost.session import ship_package
 
-from . import fingerprint, language_model, near_duplicates, packing, sharding, substrings, toxicity
+from . import fingerprint, language_model, near_duplicates, outliers, packing, personal_data, sharding, substrings, toxicity
+from .exchange import save
 from .tables import documents, labels, ranks_file
 
 
+def op1_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.judge(documents(spark, sf_dir))
+
+
 def op2_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 2
     scored = language_model.score_documents(documents(spark, sf_dir), ~F.coalesce(held_out, F.lit(False)))
@@ -51,6 +57,21 @@ def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op7_voted_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    # Candidates hold no text, so the second pass reads them instead of finding them again.
+    candidates = save(personal_data.with_candidates(docs).drop("text"), "candidates")
+    model = personal_data.fit(candidates)
+    found = computed_once(candidates, spans=personal_data.spans(model))
+    strict = F.filter("spans", lambda s: s["strict"])
+    return found.select(
+        "doc_id",
+        *[personal_data.strict_count(kind).alias(f"n_{kind}") for kind in personal_data.STRICT],
+        F.sha2(personal_data.spans_text(strict), 256).alias("base_sha256"),
+        personal_data.spans_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(documents(spark, sf_dir))
 
@@ -73,10 +94,12 @@ def _shipped(query):
 
 
 _OPERATORS = {
+    "op1_robust_outliers": op1_robust_outliers,
     "op2_backoff_automaton": op2_backoff_automaton,
     "op3_nearest_examples": op3_nearest_examples,
     "op4_histogram_shards": op4_histogram_shards,
     "op6_repeated_passages": op6_repeated_passages,
+    "op7_voted_spans": op7_voted_spans,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_fingerprints": op9_fingerprints,
     "op10_pack_windows": op10_pack_windows,
