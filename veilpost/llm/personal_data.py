@@ -267,3 +267,21 @@ def masked(text: Column, spans_: Column) -> Column:
         return F.concat(F.array_join(state["parts"], ""), F.substring(text, state["at"].cast("int"), F.lit(2**31 - 1)))
 
     return F.when(F.size(spans_) > 0, F.aggregate(spans_, first, step, whole)).otherwise(text)
+
+
+def mask_documents(docs: DataFrame, model: dict, text: str = "text", chars: str = "n_chars") -> DataFrame:
+    """`docs` with its spans masked, columns as they were; `chars`, if it is a column, follows the text."""
+    # Columns go by number meanwhile, so none of them can clash with those added here.
+    numbered = docs.toDF(*[f"__column_{i}" for i in range(len(docs.columns))])
+    place = docs.columns.index(text)
+    found = computed_once(with_candidates(numbered, f"__column_{place}"), __found=spans(model))
+    changed = computed_once(found, __masked=masked(F.col(f"__column_{place}"), F.col("__found")))
+    out = []
+    for i, (name, kind) in enumerate(docs.dtypes):
+        column = F.col(f"__column_{i}")
+        if name == text:
+            column = F.col("__masked")
+        elif name == chars:
+            column = F.when(F.size("__found") > 0, F.char_length("__masked").cast(kind)).otherwise(column)
+        out.append(column.alias(name))
+    return changed.select(*out)

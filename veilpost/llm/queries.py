@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from veilpost.operators.stage import computed_once
 from veilpost.session import ship_package
 
-from . import fingerprint, language_model, near_duplicates, outliers, packing, personal_data, sharding, substrings, toxicity
+from . import fingerprint, language_model, near_duplicates, outliers, packing, personal_data, pieces, sharding, substrings, toxicity
 from .exchange import save
-from .tables import documents, labels, ranks_file
+from .tables import documents, labels, pieces_file, ranks_file
 
 
 def op1_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,6 +52,19 @@ def op4_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_suffix_array_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    encoded = pieces.encode_documents(docs, pieces_file())
+    decoded = pieces.decode_documents(encoded, pieces_file())
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_ids"),
+        "ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+    )
+
+
 def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.remove_repeats(documents(spark, sf_dir))
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -98,6 +111,7 @@ _OPERATORS = {
     "op2_backoff_automaton": op2_backoff_automaton,
     "op3_nearest_examples": op3_nearest_examples,
     "op4_histogram_shards": op4_histogram_shards,
+    "op5_suffix_array_pieces": op5_suffix_array_pieces,
     "op6_repeated_passages": op6_repeated_passages,
     "op7_voted_spans": op7_voted_spans,
     "op8_near_duplicates": op8_near_duplicates,

@@ -60,7 +60,12 @@ def _sketch(size: int, n: int, width: int):
         got = Windows(table, size)
         block = table.column("block")[0].as_py()
         # A document adds one to a window's count however often it holds it, so only other documents make it repeated.
-        keys = np.unique(np.stack([got.key, got.number[got.doc].view(np.uint64)]), axis=1)[0] if len(got.key) else got.key
+        number = got.number[got.doc]
+        order = np.lexsort((number, got.key))
+        keys, number = got.key[order], number[order]
+        new = np.ones(len(keys), bool)
+        new[1:] = (keys[1:] != keys[:-1]) | (number[1:] != number[:-1])
+        keys = keys[new]
         out = []
         for row in range(DEPTH):
             cells, counts = np.unique(_cells(keys, row, width), return_counts=True)
@@ -136,12 +141,14 @@ def removed_words(table: pa.Table, back: pa.Table, size: int, n: int, width: int
 
 def _over_repeats(docs: DataFrame, key: str, text: str, size: int, work, schema: StructType) -> DataFrame:
     """`work(table, words, removed)` for every block of rows."""
-    rows = docs.withColumn("key", F.col(key).cast("long")).withColumnRenamed(text, "text") if text != "text" else docs.withColumn("key", F.col(key).cast("long"))
+    others = [c for c in docs.columns if c not in (key, text)]
+    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"), *others)
     blocks, n = save_blocks(rows, "key", "text")
     width = max(1 << 10, CELLS_PER_WINDOW * n * (1 << 20))
-    up = blocks.groupBy("block").applyInArrow(_sketch(size, n, width), PIECE)
+    slim = blocks.select("key", "text", "block")
+    up = slim.groupBy("block").applyInArrow(_sketch(size, n, width), PIECE)
     cells = save(ask(up, lambda bucket: 2, _sum_cells), "sketch")
-    known = blocks.select("key", "text", "block").groupBy("block").cogroup(cells.groupBy("block"))
+    known = slim.groupBy("block").cogroup(cells.groupBy("block"))
     owners = save(ask(known.applyInArrow(_exact(size, n, width), PIECE), lambda bucket: 3, _least_document), "window-owners")
 
     def apply(table: pa.Table, back: pa.Table) -> pa.Table:
@@ -168,8 +175,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", siz
         schema = schema.add(field)
 
     def work(table: pa.Table, words: Words, removed: np.ndarray) -> pa.Table:
-        n_removed = np.add.reduceat(np.append(removed, False), np.minimum(words.first[:-1], len(removed))) if len(words.first) > 1 else np.zeros(0)
-        n_removed = np.where(words.counts > 0, n_removed, 0).astype(np.int64)
+        n_removed = np.diff(np.append(0, np.cumsum(removed))[words.first])
         whole = table.column("text").to_pylist()
         kept = [kept_text(words, removed, d) for d in range(table.num_rows)]
         return pa.table(
@@ -183,3 +189,32 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", siz
         )
 
     return _over_repeats(docs.select(key, text), key, text, size, work, schema)
+
+
+def cut_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", chars: str = "n_chars", size: int = WINDOW) -> DataFrame:
+    """`docs` with repeated passages cut out of the texts, columns as they were.
+
+    A text that loses nothing stays as it is, one that loses all its words goes with its row; `chars`, if
+    it is a column, follows the text.
+    """
+    schema = docs.schema
+    # The row travels as one column, so no column of its own can clash with those added here.
+    wrapped = docs.select(F.struct(*[docs[f"`{c}`"].alias(c) for c in docs.columns]).alias("row"), F.col(key), F.col(text).alias("text"))
+
+    def work(table: pa.Table, words: Words, removed: np.ndarray) -> pa.Table:
+        lost = np.diff(np.append(0, np.cumsum(removed))[words.first])
+        keep = np.flatnonzero((lost == 0) | (lost < words.counts))
+        whole = table.column("text").to_pylist()
+        texts = [kept_text(words, removed, d).decode() if lost[d] else whole[d] for d in keep]
+        rows = table.column("row").combine_chunks().take(pa.array(keep))
+        columns = {}
+        for field in schema:
+            column = rows.field(field.name) if not isinstance(rows, pa.ChunkedArray) else rows.chunk(0).field(field.name)
+            if field.name == text:
+                column = pa.array(texts, column.type)
+            elif field.name == chars:
+                column = pa.array([len(t) if lost[d] else c for d, t, c in zip(keep, texts, column.to_pylist())], column.type)
+            columns[field.name] = column
+        return pa.table(columns)
+
+    return _over_repeats(wrapped, key, "text", size, work, schema)
