@@ -1,44 +1,30 @@
-"""Connected components of a graph given by its edges, by alternating star contraction."""
+"""Connected components of a graph given by its edges."""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .exchange import save
 
-
-def _both_ways(edges: DataFrame) -> DataFrame:
-    return edges.select("a", "b").union(edges.select(F.col("b"), F.col("a")))
-
-
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Hang every larger neighbour of a node on the least node of its neighbourhood."""
-    near = _both_ways(edges)
-    least = near.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-    return near.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-
-
-def _small_star(edges: DataFrame) -> DataFrame:
-    """Hang a node and its smaller neighbours on the least of them."""
-    down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
-    hung = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m")))
-    return hung.where("a <> b").distinct()
+HOPS = 2
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of the edges (a, b), component being its least reachable node.
 
-    The smallest node of a neighbourhood is found with partial sums, so a node that a third of the graph
-    hangs on is not gathered anywhere.  Each round is written out and ends the lineage.
+    Every node carries the least number it has heard of.  In a round it first takes over what that node
+    has heard of, which halves the depth of chains, and then hears from its neighbours.  Neighbours
+    are heard with partial minima, so a node that a third of the graph hangs on is not gathered
+    anywhere.  Each round is written out and ends the lineage; a round without a change is the last.
     """
-    edges = save(edges.select("a", "b").where("a <> b").distinct(), "edges")
-    last = None
+    both = save(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b"), "edges")
+    labels = save(both.groupBy("a").agg(F.least("a", F.min("b")).alias("component")).withColumnRenamed("a", "node"), "labels")
     while True:
-        edges = save(_small_star(_large_star(edges)), "edges")
-        # A forest of stars does not change any more; two sums tell a changed set of edges from an equal one.
-        now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if now == last:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
-                edges.select(F.col("b"), F.col("b")).distinct()
-            )
-        last = now
+        ahead = labels.select(F.col("node").alias("component"), F.col("component").alias("further"))
+        heard = labels.join(ahead, "component").select("node", F.least("component", "further").alias("component"), F.col("component").alias("was"))
+        for _ in range(HOPS):
+            told = both.join(heard, both["a"] == heard["node"]).select(both["b"].alias("node"), "component", F.lit(None).cast("long").alias("was"))
+            heard = told.union(heard).groupBy("node").agg(F.min("component").alias("component"), F.max("was").alias("was"))
+        result = save(heard, "labels")
+        if result.where("component <> was").isEmpty():
+            return result.select("node", "component")
+        labels = result.select("node", "component")

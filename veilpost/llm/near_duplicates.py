@@ -148,7 +148,8 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def _texts_of(docs: DataFrame, ids: DataFrame, key: str, text: str) -> DataFrame:
     rows = docs.select(_number(key).alias("doc"), F.col(text).alias("text"))
-    return save(rows.join(ids.distinct(), "doc", "left_semi").distinct(), "candidate-texts")
+    # One plan at every size: the ids grow with the corpus and are never sent to all executors.
+    return save(rows.join(ids.distinct().hint("merge"), "doc", "left_semi"), "candidate-texts")
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -156,8 +157,13 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 
 def _unresolved(entries: DataFrame, links: DataFrame) -> DataFrame:
-    """(bucket, doc) of buckets with two or more members besides the hub that are not all in one component with it."""
-    comp = components(links).withColumnsRenamed({"node": "doc"})
+    """(bucket, doc) of buckets with two or more members besides the hub that are not all known to be linked.
+
+    Members are known to be linked if their least linked hubs, followed once more, are the same.
+    """
+    hub = links.groupBy("b").agg(F.min("a").alias("a"))
+    further = hub.select(F.col("b").alias("a"), F.col("a").alias("further"))
+    comp = hub.join(further, "a", "left").select(F.col("b").alias("doc"), F.coalesce("further", "a").alias("component"))
     placed = entries.join(comp, "doc", "left").select("bucket", "doc", F.coalesce("component", "doc").alias("component"))
     mixed = (
         placed.groupBy("bucket")
