@@ -27,6 +27,8 @@ WINDOW = 13
 DEPTH = 2
 #: Sketch cells per window of the corpus, in each row of the sketch.
 CELLS_PER_WINDOW = 4
+#: Smaller than other blocks: a block's windows take several arrays of 8 bytes per word.
+BLOCK_BYTES = 4 << 20
 _LAST = 2**63 - 1
 
 
@@ -143,8 +145,9 @@ def _over_repeats(docs: DataFrame, key: str, text: str, size: int, work, schema:
     """`work(table, words, removed)` for every block of rows."""
     others = [c for c in docs.columns if c not in (key, text)]
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"), *others)
-    blocks, n = save_blocks(rows, "key", "text")
-    width = max(1 << 10, CELLS_PER_WINDOW * n * (1 << 20))
+    blocks, n = save_blocks(rows, "key", "text", BLOCK_BYTES)
+    # A byte in eight begins a window at most.
+    width = max(1 << 10, CELLS_PER_WINDOW * n * (BLOCK_BYTES // 8))
     slim = blocks.select("key", "text", "block")
     up = slim.groupBy("block").applyInArrow(_sketch(size, n, width), PIECE)
     cells = save(ask(up, lambda bucket: 2, _sum_cells), "sketch")
