@@ -791,7 +791,7 @@ def resume_pending(spark, sf_dir):
 
 @query
 def stage_log_order(spark, sf_dir):
-    return D.order_stage_log(inputs.run_shared(spark, sf_dir, inputs.STAGE_LOG_VIEW))
+    return D.order_stage_log(inputs.run_shared(spark, sf_dir, inputs.STAGE_LOG_VIEW), key="event_id")
 
 
 @query

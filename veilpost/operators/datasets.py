@@ -108,11 +108,16 @@ def stage_rank(stage: Column, status: Column) -> tuple[Column, Column]:
     )
 
 
-def order_stage_log(log: DataFrame, stage: str = "stage", status: str = "status") -> DataFrame:
-    """Stage log by stage order, then status; unknown values last."""
+def order_stage_log(
+    log: DataFrame, stage: str = "stage", status: str = "status", key: str | None = None
+) -> DataFrame:
+    """Stage log by stage order, then status, then `key`; unknown values last.
+
+    A unique key defines the order of equals and lets the sort spread over more tasks than there are stages.
+    """
     stage_position, status_position = stage_rank(F.col(stage), F.col(status))
     return (
         log.withColumn("stage_position", stage_position)
         .withColumn("status_position", status_position)
-        .orderBy("stage_position", "status_position")
+        .orderBy("stage_position", "status_position", *([key] if key else []))
     )

@@ -41,17 +41,18 @@ def kb_text(name: Column, description: Column, indicators: Column) -> Column:
 
 
 def upsert(current: DataFrame, incoming: DataFrame, key: str = "id", version: str = "version") -> DataFrame:
-    """Union in which the highest version per key wins.
+    """Union in which the highest version per key wins, and of equal versions the incoming row.
 
     `row_number() = 1` makes Spark keep one row per key and task before the shuffle, so a key that
     was written very often does not pile up in one task.
     """
-    newest_first = W.partitionBy(key).orderBy(F.desc(version))
+    newest_first = W.partitionBy(key).orderBy(F.desc(version), F.desc("__side"))
     return (
-        current.unionByName(incoming)
+        current.withColumn("__side", F.lit(0))
+        .unionByName(incoming.withColumn("__side", F.lit(1)))
         .withColumn("__rank", F.row_number().over(newest_first))
         .where(F.col("__rank") == 1)
-        .drop("__rank")
+        .drop("__rank", "__side")
     )
 
 

@@ -177,12 +177,15 @@ def pr_curve(
 ) -> DataFrame:
     """Precision and recall at every distinct score, then the end point (1, 0) without a threshold.
 
+    Missing and NaN scores reach no threshold, as in the other metrics.
+
     Mails are first counted per distinct score, and the counts are written to the shared folder: three
     later steps read them, and the mails are scored once.  The running totals over the scores are made of two
     parts: totals of whole score ranges (at most `ranges` + 1 rows in one task) and running totals
     inside a range.  The ranges hold equal shares of the distinct scores.
     """
-    per_score = df.where(F.col(score).isNotNull()).groupBy(F.col(score).alias("threshold")).agg(
+    reached = F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double"))
+    per_score = df.where(reached).groupBy(F.col(score).alias("threshold")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count(F.lit(1)).alias("n")
     )
     counts = fresh_dir(df.sparkSession, "scores")

@@ -100,6 +100,9 @@ def parse_reply(reply: Column) -> Column:
 
     Code fences are dropped.  The whole reply counts when it is an object with all five fields;
     otherwise the slice from the first { to the last } counts, whatever fields it has.
+
+    Models type loosely: flags and scores may come as text or numbers, and a single token as a text.  A
+    field that is there but cannot be read makes the reply an error, never a benign verdict.
     """
     clean = strip(F.replace(F.replace(reply, F.lit("```json"), F.lit("")), F.lit("```"), F.lit("")))
     wanted = F.array(*[F.lit(f) for f in fixed.VERDICT_FIELDS])
@@ -107,7 +110,27 @@ def parse_reply(reply: Column) -> Column:
     sliced = F.nullif(F.regexp_extract(clean, P.OBJECT_SLICE, 0), F.lit(""))
     readable = F.json_object_keys(sliced).isNotNull()
     source = F.when(complete, clean).when(readable, sliced)
-    parsed = F.from_json(source, VERDICT)
+    loose = F.from_json(source, "struct<" + ",".join(f"{f}:string" for f in fixed.VERDICT_FIELDS) + ">")
+    flag = F.lower(F.trim(loose["is_phishing"]))
+    is_phishing = F.when(flag.isin("true", "1", "1.0"), True).when(flag.isin("false", "0", "0.0"), False)
+    risk_score = loose["risk_score"].try_cast("double")
+    unread = (loose["is_phishing"].isNotNull() & is_phishing.isNull()) | (
+        loose["risk_score"].isNotNull() & risk_score.isNull()
+    )
+    tokens = F.when(
+        F.json_array_length(loose["high_risk_tokens"]).isNotNull(),
+        F.from_json(loose["high_risk_tokens"], "array<string>"),
+    ).when(loose["high_risk_tokens"].isNotNull(), F.array(loose["high_risk_tokens"]))
+    parsed = F.when(
+        source.isNotNull() & ~unread,
+        F.struct(
+            is_phishing.alias("is_phishing"),
+            risk_score.alias("risk_score"),
+            loose["mitre_technique"].alias("mitre_technique"),
+            loose["why_malicious_context"].alias("why_malicious_context"),
+            tokens.alias("high_risk_tokens"),
+        ).cast(VERDICT),
+    )
     failed = F.struct(
         F.lit(None).cast("boolean").alias("is_phishing"),
         F.lit(0.0).alias("risk_score"),
@@ -120,25 +143,36 @@ def parse_reply(reply: Column) -> Column:
     return F.struct(verdict.alias("verdict"), error.alias("error"))
 
 
+def replies_or_errors(
+    reply_of: Callable[[pd.Series], pd.Series], batch: pd.Series, error_chars: int | None = 100
+) -> tuple[list, list]:
+    """The replies of a plug-in, and for each row that it fails on its error (cut to `error_chars`)."""
+    try:
+        return list(reply_of(batch)), [None] * len(batch)
+    except Exception as failure:  # one mail must not decide about others
+        if len(batch) == 1:
+            return [None], [str(failure)[:error_chars]]
+    rows = [replies_or_errors(reply_of, batch.iloc[i : i + 1], error_chars) for i in range(len(batch))]
+    return [r[0] for r, _ in rows], [e[0] for _, e in rows]
+
+
 def score_with_model(
     df: DataFrame, reply_of: Callable[[pd.Series], pd.Series], prompt: str = "prompt", out: str = "model"
 ) -> DataFrame:
     """Ask a plug-in scorer for one reply text per prompt and parse it.
 
-    A batch that raises is marked with its error on every row, so the rule takes over for it.
+    A batch that raises is asked again row by row, so only the mails that raise are marked with their
+    error and go to the rule, whatever the size of batches.
     """
 
     @F.pandas_udf("reply string, error string")
     def ask(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            try:
-                replies, error = list(reply_of(batch)), None
-            except Exception as failure:
-                replies, error = [None] * len(batch), str(failure)[:100]
-            yield pd.DataFrame(
-                {"reply": pd.Series(replies, dtype=object), "error": pd.Series([error] * len(batch), dtype=object)}
-            )
+            replies, errors = replies_or_errors(reply_of, batch)
+            yield pd.DataFrame({"reply": pd.Series(replies, dtype=object), "error": pd.Series(errors, dtype=object)})
 
+    # Not deterministic: no filter may copy the call.
+    ask = ask.asNondeterministic()
     asked = df.withColumn("__asked", ask(prompt)).withColumn("__parsed", parse_reply(F.col("__asked.reply")))
     return asked.withColumn(
         out,

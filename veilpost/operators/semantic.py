@@ -11,6 +11,7 @@ from ..functions import patterns as P
 from ..functions.text import count_literal, longest_first, once, strip
 from ..schemas import FINDING, SEMANTIC_ITEM
 from .lookup import MAX_INLINE_ROWS, match_entries
+from .score import replies_or_errors
 from .stage import computed_once
 
 
@@ -43,18 +44,25 @@ def detect_with_model(
     reply_of: Callable[[pd.Series], pd.Series],
     text: str = "masked_email",
     out: str = "semantic_items",
+    error_out: str | None = None,
 ) -> DataFrame:
-    """Ask a plug-in for one reply text per mail, batch by batch; a failing batch yields no items."""
+    """Ask a plug-in for one reply text per mail, batch by batch.
 
-    @F.pandas_udf("string")
-    def ask(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    A batch that raises is asked again row by row; only the mails that raise yield no items.  Their
+    errors go to the column `error_out`, if one is named.
+    """
+
+    @F.pandas_udf("reply string, error string")
+    def ask(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            try:
-                yield pd.Series(list(reply_of(batch)), dtype=object)
-            except Exception:  # detection must never stop masking
-                yield pd.Series([None] * len(batch), dtype=object)
+            replies, errors = replies_or_errors(reply_of, batch)
+            yield pd.DataFrame({"reply": pd.Series(replies, dtype=object), "error": pd.Series(errors, dtype=object)})
 
-    return df.withColumn("__reply", ask(text)).withColumn(out, parse_item_list(F.col("__reply"))).drop("__reply")
+    # Not deterministic: no filter may copy the call.
+    asked = df.withColumn("__asked", ask.asNondeterministic()(text))
+    if error_out:
+        asked = asked.withColumn(error_out, F.col("__asked.error"))
+    return asked.withColumn(out, parse_item_list(F.col("__asked.reply"))).drop("__asked")
 
 
 def no_items(df: DataFrame, out: str = "semantic_items") -> DataFrame:
@@ -64,15 +72,15 @@ def no_items(df: DataFrame, out: str = "semantic_items") -> DataFrame:
 def parse_item_list(reply: Column) -> Column:
     """Items of a reply that is a JSON list, or that holds one between its first [ and last ].
 
-    Anything else gives an empty list: an object, a bare value or text that is not JSON.
+    Anything else gives an empty list: an object, a bare value or text that is not JSON.  Elements that
+    are no objects are skipped.
     """
     whole = strip(reply)
     is_json = F.json_array_length(whole).isNotNull() | F.json_object_keys(whole).isNotNull()
     candidate = F.when(is_json, whole).otherwise(F.regexp_extract(reply, P.LIST_SLICE, 0))
-    listed = F.when(
-        F.json_array_length(candidate).isNotNull(), F.from_json(candidate, f"array<{SEMANTIC_ITEM}>")
-    )
-    items = F.filter(listed, lambda i: i.isNotNull())
+    elements = F.when(F.json_array_length(candidate).isNotNull(), F.from_json(candidate, "array<string>"))
+    objects = F.filter(elements, lambda e: F.json_object_keys(e).isNotNull())
+    items = F.filter(F.transform(objects, lambda e: F.from_json(e, SEMANTIC_ITEM)), lambda i: i.isNotNull())
     return F.coalesce(items, F.array().cast(f"array<{SEMANTIC_ITEM}>"))
 
 
