@@ -41,17 +41,26 @@ class Lattice:
 
 
 def sort_suffixes(codes: np.ndarray, depth: int) -> np.ndarray:
-    """Places of all suffixes, ordered by their first `depth` characters at least, by prefix doubling."""
-    _, rank = np.unique(codes, return_inverse=True)
-    rank = rank + 1
-    length = 1
+    """Places of all suffixes, ordered by their first `depth` characters at least.
+
+    As many characters as fit are packed into one number; from there prefix lengths double.
+    """
+    present = np.zeros(int(codes.max(initial=0)) + 1, np.int64)
+    present[codes] = 1
+    dense = np.cumsum(present)[codes]
+    bits = int(dense.max(initial=1)).bit_length()
+    length = min(depth, 62 // bits)
+    padded = np.append(dense, np.zeros(length, np.int64))
+    key = np.zeros(len(codes), np.int64)
+    for i in range(length):
+        key = (key << bits) | padded[i : i + len(codes)]
     while length < depth:
+        _, rank = np.unique(key, return_inverse=True)
         ahead = np.zeros(len(rank), np.int64)
-        ahead[:-length] = rank[length:]
-        _, rank = np.unique(rank * np.int64(len(rank) + 2) + ahead, return_inverse=True)
-        rank = rank + 1
+        ahead[:-length] = rank[length:] + 1
+        key = rank * np.int64(len(rank) + 2) + ahead
         length *= 2
-    return np.argsort(rank, kind="stable")
+    return np.argsort(key, kind="stable")
 
 
 class Pieces:
@@ -79,7 +88,7 @@ class Pieces:
         alone = "" if any("\n" in t for t in self.number) else "\n"
         self.unit = re.compile(f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" + (f"|{alone}" if alone else ""))
         self.raw = {i: t.replace(SPACE, " ").encode() for i, t in enumerate(self.text)} | {i: bytes([b]) for b, i in self.byte.items()}
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}  # ids as 32-bit numbers
 
         words = sorted(self.number)
         self.ids = np.array([self.number[w] for w in words], np.int64)
@@ -184,7 +193,7 @@ class Pieces:
             ids: list[int] = []
             for a, z in self._relax_long(unit):
                 ids += [self.number[unit[a:z]]] if z - a > 1 else self._single(unit[a])
-            self.known[unit] = np.array(ids, np.int32)
+            self.known[unit] = np.array(ids, "<i4").tobytes()
         units = [u for u in units if len(u) <= LONG]
         if not units:
             return
@@ -201,16 +210,18 @@ class Pieces:
             if len(ids) == 1:
                 table[ord(c)] = ids[0]
         number = np.where(at[starts] >= 0, at[starts], table[codes[starts]])
-        edges = np.searchsorted(starts, ends - 1)
+        edges = np.searchsorted(starts, ends - 1).tolist()
+        raw = number.astype("<i4").tobytes()
+        unread = np.append(0, np.cumsum(number < 0)).tolist()
         begin = 0
-        for unit, stop in zip(units, edges.tolist()):
-            ids = number[begin:stop]
-            if (ids < 0).any():
+        for unit, stop in zip(units, edges):
+            if unread[stop] == unread[begin]:
+                self.known[unit] = raw[4 * begin : 4 * stop]
+            else:
                 full: list[int] = []
-                for place, i in zip(starts[begin:stop], ids):
+                for place, i in zip(starts[begin:stop], number[begin:stop]):
                     full += [int(i)] if i >= 0 else singles[chr(codes[place])]
-                ids = np.array(full)
-            self.known[unit] = ids.astype(np.int32)
+                self.known[unit] = np.array(full, "<i4").tobytes()
             begin = stop + 1
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -220,8 +231,7 @@ class Pieces:
         cut = [self.unit.findall(self.lead + t.replace(" ", SPACE)) if t else [] for t in texts]
         new = sorted({u for units in cut for u in units} - self.known.keys())
         self.learn(new)
-        none = np.zeros(0, np.int32)
-        return [np.concatenate([self.known[u] for u in units]) if units else none for units in cut]
+        return [np.frombuffer(b"".join(map(self.known.__getitem__, units)), "<i4") for units in cut]
 
     def decode(self, ids) -> str:
         text = b"".join([self.raw[i] for i in ids]).decode("utf-8", "replace")
