@@ -27,7 +27,7 @@ LONG = 48
 #: Ends every unit: no text of whole characters holds it.
 _END = "\ud800"
 _SLICE = 1024
-_CHARS = 8 << 20
+_CHARS = 4 << 20
 _models: dict[str, "Pieces"] = {}
 
 
