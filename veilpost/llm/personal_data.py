@@ -12,7 +12,8 @@ Candidates are found row by row, nothing is shuffled but counts of vote patterns
 be no more than kinds x 3^labelers.
 
 Defined results: a null or empty text has no spans; places are code points, ends exclusive; repeated
-rows get equal spans; with no candidates at all the model is empty.  Everything is DataFrame expressions.
+rows get equal spans; with no candidates at all the model is empty.  All work on rows is DataFrame expressions; the
+estimation is plain arithmetic on the driver over those bounded counts.
 """
 
 import math
