@@ -376,10 +376,22 @@ def normalized(raw: str) -> str:
 
 
 ORACLES["normalize_verdict"] = f"SELECT email_id, {normalized('raw_email')}, error AS gemini_error FROM {STORED}"
+# Mails whose stored verdict is missing are judged by the rule on their masked text.
+_KEPT = {n: f"CASE WHEN error IS NULL THEN {n} END AS {n}" for n in ("email_body", "sender_domain")}
+_RULED_MASKED = rule_sql(
+    checked_sql(masked_sql(f"(SELECT * REPLACE ({', '.join(_KEPT.values())}) FROM {STORED})", "raw_email")), "masked_email", "r_"
+)
 ORACLES["cached_verdict"] = (
     f"SELECT email_id, final_check_status, coalesce(nullif(email_body, ''), masked_email) AS analysis_text, "
-    f"{normalized('masked_email')}, CAST(NULL AS VARCHAR) AS gemini_error "
-    f"FROM {checked_sql(masked_sql(f'(SELECT * FROM {STORED} WHERE error IS NULL)', 'raw_email'))}"
+    f"coalesce(nullif(email_body, ''), masked_email, '') AS email_body, coalesce(nullif(sender_domain, ''), 'not_extracted') AS sender_domain, "
+    f"CASE WHEN error IS NULL THEN coalesce(is_phishing, false) ELSE r_is_phishing END AS is_phishing, "
+    f"CASE WHEN error IS NULL THEN {norm_score('score_text')} ELSE r_risk_score END AS risk_score, "
+    f"CASE WHEN error IS NULL THEN coalesce(mitre_technique, 'UNKNOWN') ELSE r_mitre_technique END AS mitre_technique, "
+    f"CASE WHEN error IS NULL THEN coalesce(why_malicious_context, 'No forensic context returned.') "
+    f"ELSE 'Gemini unavailable (no_stored_verdict) — ' || r_why_malicious_context END AS why_malicious_context, "
+    f"CASE WHEN error IS NULL THEN {joined(clean('high_risk_tokens'))} ELSE {joined('r_high_risk_tokens')} END AS high_risk_tokens, "
+    f"CASE WHEN error IS NULL THEN 'gemini' ELSE 'heuristic_fallback' END AS verdict_source, "
+    f"CASE WHEN error IS NOT NULL THEN 'no_stored_verdict' END AS gemini_error FROM {_RULED_MASKED}"
 )
 
 _ERR = "no_model_configured"
@@ -514,8 +526,8 @@ _QUALITY = (
 )
 ORACLES["quality_metrics"] = _QUALITY
 ORACLES["quality_report"] = (
-    f"SELECT total, TP, TN, FP, FN, round(precision, 3) AS precision, round(recall, 3) AS recall, "
-    f"round(f1_score, 3) AS f1_score, round(accuracy, 3) AS accuracy FROM ({_QUALITY})"
+    f"SELECT total, TP, TN, FP, FN, round_even(precision, 3) AS precision, round_even(recall, 3) AS recall, "
+    f"round_even(f1_score, 3) AS f1_score, round_even(accuracy, 3) AS accuracy FROM ({_QUALITY})"
 )
 ORACLES["sink_report"] = ORACLES["quality_report"]
 ORACLES["error_rows"] = (
@@ -622,6 +634,40 @@ ORACLES["context_strings"] = (
     f"FROM {EMAILS} e"
 )
 
+# The plug-in of this query answers where a technique of the T1566 family is among the nearest.
+_NUMBERED = ", ".join(f"({q(k)}, {i})" for i, k in enumerate(fixed.CUSTOM_INDICATORS))
+_SQUARES = " + ".join(f"pow(({a}) - ({b}), 2)" for a, b in (("e.email_id % 7", "k.n % 7"), ("e.email_id % 5", "k.n % 5")))
+
+
+def _nearest_sql(kb: str, k: int, value: str, separator: str) -> str:
+    return (
+        f"(SELECT email_id, string_agg({value}, '{separator}' ORDER BY rank) AS found FROM (SELECT e.email_id, k.*, "
+        f"row_number() OVER (PARTITION BY e.email_id ORDER BY {_SQUARES}, k.id) AS rank FROM documents_ids e CROSS JOIN {kb} k) "
+        f"WHERE rank <= {k} GROUP BY 1)"
+    )
+
+
+_IN_CONTEXT = (
+    f"(SELECT m.*, t.found AS ids, x.found AS labels FROM {checked_sql(masked_sql(EMAILS, 'raw_email'))} m JOIN "
+    + _nearest_sql(f"(SELECT id, n FROM (VALUES {_NUMBERED}) c(id, n))", 2, "id", ",")
+    + " t ON t.email_id = m.email_id JOIN "
+    + _nearest_sql(
+        f"(SELECT email_id AS id, email_id AS n, CASE email_type WHEN 'Phishing Email' THEN 'phishing' ELSE 'benign' END AS label "
+        f"FROM {_SAMPLE} WHERE sample_rank <= 20)", 3, "label", ",",
+    )
+    + " x ON x.email_id = m.email_id)"
+)
+_ANSWERED = "contains(ids, 'T1566')"
+ORACLES["screen_with_context"] = (
+    f"WITH documents_ids AS (SELECT doc_id AS email_id FROM documents) SELECT email_id, "
+    f"CASE WHEN {_ANSWERED} THEN true ELSE is_phishing END AS is_phishing, "
+    f"CASE WHEN {_ANSWERED} THEN 0.9::DOUBLE ELSE risk_score END AS risk_score, "
+    f"CASE WHEN {_ANSWERED} THEN string_split(ids, ',')[1] ELSE mitre_technique END AS mitre_technique, "
+    f"CASE WHEN {_ANSWERED} THEN ids || '|' || labels ELSE 'Gemini unavailable (parse_failed) — ' || why_malicious_context END AS why_malicious_context, "
+    f"CASE WHEN {_ANSWERED} THEN 'gemini' ELSE 'heuristic_fallback' END AS verdict_source, "
+    f"CASE WHEN NOT {_ANSWERED} THEN 'parse_failed' END AS gemini_error FROM {rule_sql(_IN_CONTEXT, 'masked_email')}"
+)
+
 # --- data sets, resume, order, sinks ----------------------------------------------------------------
 
 ORACLES["class_filter"] = f"SELECT email_id, email_type FROM {_TYPED} WHERE email_type = 'Phishing Email'"

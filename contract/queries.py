@@ -1,5 +1,8 @@
 """The registered queries: each runs an operator over whole tables and returns flat columns."""
 
+import json
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -759,6 +762,39 @@ def judge_prompt(spark, sf_dir):
     )
 
 
+def _answer_from_context(prompts):
+    """Names the techniques and labels that the prompt lists, or answers nothing of use."""
+    replies = []
+    for prompt in prompts:
+        context = prompt.rsplit("Known techniques close to this mail:", 1)[1]
+        ids = re.findall(r"^- (\S+): ", context, re.MULTILINE)
+        labels = re.findall(r"^Label: (\w+), Reason: ", context, re.MULTILINE)
+        verdict = {"is_phishing": True, "risk_score": 0.9, "mitre_technique": (ids or ["none"])[0]}
+        verdict |= {"why_malicious_context": f"{','.join(ids)}|{','.join(labels)}", "high_risk_tokens": ["click"]}
+        replies.append(json.dumps(verdict) if any("T1566" in i for i in ids) else "cannot tell")
+    return replies
+
+
+@query
+def screen_with_context(spark, sf_dir):
+    """The whole flow with retrieval: given vectors, nearest techniques and examples, prompt, plug-in, rule."""
+
+    def placed(number: Column) -> Column:
+        return F.array((number % 7).cast("float"), (number % 5).cast("float")).alias("vector")
+
+    numbered = [(i, k, v) for i, (k, v) in enumerate(fixed.CUSTOM_INDICATORS.items())]
+    techniques = spark.createDataFrame(numbered, "n int, id string, description string")
+    examples = D.build_fewshot(D.sample_per_class(typed_mails(spark, sf_dir)))
+    scorer = S.score_in_context(
+        techniques.select("id", "description", placed(F.col("n"))),
+        examples.select(F.col("email_id").alias("id"), "email", "label", "reason", placed(F.col("email_id"))),
+        _answer_from_context,
+    )
+    screened = S.screen(mails(spark, sf_dir).select("*", placed(F.col("email_id"))), score=scorer)
+    fields = ["is_phishing", "risk_score", "mitre_technique", "why_malicious_context", "verdict_source", "gemini_error"]
+    return screened.select("email_id", *[f"verdict.{f}" for f in fields])
+
+
 # --- data sets, resume, order, sinks ----------------------------------------------------------------
 
 

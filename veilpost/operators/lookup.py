@@ -51,13 +51,18 @@ def match_entries(
     out: str,
     max_rows: int = MAX_INLINE_ROWS,
     whole: Callable[[str, str], Column] | None = None,
+    reads: list[str] | None = None,
 ) -> DataFrame:
     """Add `out = merge(partial(entries))` to every row of `df`.
 
     `partial` turns an array of entries into an array of hits; `merge` orders and cuts an array of
     hits.  `merge(partial(a) ++ partial(b))` must equal `merge(partial(a ++ b))`, which holds for
-    filters and for top-k.  `key` must be unique in `df`, `order` in `table`.  `whole` may give a
+    filters and for top-k.  `order` must be unique in `table`.  `whole` may give a
     faster way to the same answer for a small table, from its JSON text and type.
+
+    `reads` are the columns of `df` that `partial` looks at (all, if not given); only they meet the
+    blocks.  Answers go back by key and a digest of these columns, so rows that share a key, or have
+    none, keep answers of their own.
     """
     packed = pack_small(table, order, fields, max_rows)
     if packed is not None:
@@ -77,15 +82,22 @@ def match_entries(
         .agg(F.sort_array(F.collect_list(_entry(order, fields))).alias("__entries"))
         .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     )
-    spread = df.withColumn("__salt", F.pmod(F.xxhash64(key), F.lit(salts)).cast("int")).withColumn(
-        "__block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))
+    looked_at = [c for c in dict.fromkeys(reads or df.columns)]
+    digest = F.sha2(F.to_json(F.struct(F.col(key).alias("__key"), *looked_at), {"ignoreNullFields": "false"}), 256)
+    spread = (
+        df.select(*looked_at, digest.alias("__row"))
+        .withColumn("__salt", F.pmod(F.xxhash64("__row"), F.lit(salts)).cast("int"))
+        .withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
     )
+    # Rows of one digest have the same hits in a block, so any of them stands for all.
     hits = (
         spread.join(blocks, ["__block", "__salt"])
-        .select(F.col(key), merge(partial(F.col("__entries"))).alias("__hits"))
+        .select("__row", "__block", merge(partial(F.col("__entries"))).alias("__hits"))
         .where(F.size("__hits") > 0)
-        .groupBy(key)
+        .groupBy("__row", "__block")
+        .agg(F.first("__hits").alias("__hits"))
+        .groupBy("__row")
         .agg(merge(F.flatten(F.collect_list("__hits"))).alias(out))
     )
     no_hit = F.coalesce(F.col(out), F.array().cast(hits.schema[out].dataType))
-    return df.join(hits, key, "left").withColumn(out, no_hit)
+    return df.withColumn("__row", digest).join(hits, "__row", "left").withColumn(out, no_hit).drop("__row")

@@ -52,8 +52,9 @@ def quality(df: DataFrame, predicted: str = "is_phishing", actual: str = "true_l
 
 
 def rounded_report(report: DataFrame, digits: int = 3) -> DataFrame:
+    """Rates cut to `digits`; a tie goes to the even digit."""
     rates = ("precision", "recall", "f1_score", "accuracy")
-    return report.select(*[F.round(c, digits).alias(c) if c in rates else F.col(c) for c in report.columns])
+    return report.select(*[F.bround(c, digits).alias(c) if c in rates else F.col(c) for c in report.columns])
 
 
 def error_rows(df: DataFrame, predicted: str = "is_phishing", actual: str = "true_label") -> DataFrame:

@@ -19,21 +19,37 @@ def squared_l2(a: Column, b: Column) -> Column:
     return F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t)
 
 
-def _nearest_of(centers: np.ndarray, k: int):
-    """Pandas UDF: the k nearest centers of each vector, by distance and then by position."""
+def _nearest_of(centers: list[np.ndarray], k: int):
+    """Pandas UDF: the k nearest centers of each vector, by distance and then by position.
+
+    Squares are added from the first component to the last, as `squared_l2` adds them, so both give the
+    same doubles.  Centers of another length are no neighbours.
+    """
+    by_length = {}
+    for at, center in enumerate(centers):
+        by_length.setdefault(len(center), []).append(at)
+    grids = {size: (np.array(at), np.stack([centers[i] for i in at])) for size, at in by_length.items()}
+
+    def nearest_rows(rows: np.ndarray):
+        places, grid = grids[rows.shape[1]]
+        distances = np.zeros((len(rows), len(grid)))
+        for one, other in zip(rows.T, grid.T):
+            distances += np.square(one[:, None] - other[None, :])
+        first = np.argsort(distances, axis=1, kind="stable")[:, :k]
+        for row, chosen in zip(distances, first):
+            yield [{"distance": row[p], "at": int(places[p])} for p in chosen]
 
     @F.pandas_udf("array<struct<distance:double,at:int>>")
     def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             found = pd.Series([[] for _ in range(len(batch))], index=batch.index, dtype=object)
             given = batch[batch.notna()]
-            if len(given) and len(centers):
-                rows = np.stack(given.to_list()).astype("float64")
-                squares = [np.einsum("ij,ij->i", rows - c, rows - c) for c in centers]
-                distances = np.stack(squares, axis=1)
-                first = np.argsort(distances, axis=1, kind="stable")[:, :k]
-                for at, row, places in zip(given.index, distances, first):
-                    found[at] = [{"distance": row[p], "at": int(p)} for p in places]
+            lengths = given.map(len)
+            for size in set(lengths) & grids.keys():
+                rows = given[lengths == size]
+                stacked = np.stack(rows.to_list()).astype("float64").reshape(len(rows), size)
+                for at, neighbours in zip(rows.index, nearest_rows(stacked)):
+                    found[at] = neighbours
             yield found
 
     return search
@@ -49,33 +65,42 @@ def nearest(
     kb_vector: str = "vector",
     out: str = "nearest",
     max_rows: int = MAX_INLINE_ROWS,
+    carry: list[str] = (),
 ) -> DataFrame:
     """Exact k nearest rows of `kb` by squared L2 as `array<struct<distance, id>>`; id breaks ties.
 
+    `carry` adds further columns of `kb` to the structs.  Vectors that are NULL or hold NULL, on either side,
+    and vectors of different lengths are no neighbours.
+
     Distances to a small knowledge base are matrix work on Arrow batches: numpy is some hundred
     times faster at it than lambdas over arrays.
     """
-    table = kb.select(F.col(kb_id).alias("id"), F.col(kb_vector).alias("kb_vector"))
+    def complete(v: Column) -> Column:
+        return F.when(F.forall(v, lambda x: x.isNotNull()), v.cast("array<double>"))
+
+    table = kb.select(F.col(kb_id).alias("id"), complete(F.col(kb_vector)).alias("kb_vector"), *carry).where(
+        "kb_vector IS NOT NULL"
+    )
+    given = complete(F.col(vector))
+
+    def hit(distance: Column, e: Column) -> Column:
+        return F.struct(distance.alias("distance"), e["id"].alias("id"), *[e[c].alias(c) for c in carry])
 
     def partial(entries: Column) -> Column:
-        return F.transform(
-            entries,
-            lambda e: F.struct(squared_l2(F.col(vector), e["kb_vector"]).alias("distance"), e["id"].alias("id")),
-        )
+        hits = F.transform(entries, lambda e: hit(squared_l2(given, e["kb_vector"]), e))
+        return F.filter(hits, lambda h: h["distance"].isNotNull())
 
     def merge(hits: Column) -> Column:
         return F.slice(F.sort_array(hits), 1, k)
 
     def whole(text: str, entry_type: str) -> Column:
-        centers = np.array([e["kb_vector"] for e in json.loads(text)], dtype="float64")
-        ids = F.transform(F.from_json(F.lit(text), entry_type), lambda e: e["id"])
-        return F.transform(
-            _nearest_of(centers, k)(F.col(vector)),
-            lambda n: F.struct(n["distance"].alias("distance"), F.get(ids, n["at"]).alias("id")),
-        )
+        centers = [np.array(e["kb_vector"], dtype="float64") for e in json.loads(text)]
+        entries = F.from_json(F.lit(text), entry_type)
+        found = _nearest_of(centers, k)(given)
+        return F.transform(found, lambda n: hit(n["distance"], F.get(entries, n["at"])))
 
     return match_entries(
-        df, table, key, "id", ["kb_vector"], partial, merge, out, max_rows, whole=whole
+        df, table, key, "id", ["kb_vector", *carry], partial, merge, out, max_rows, whole=whole, reads=[vector]
     )
 
 
@@ -109,7 +134,7 @@ def rank_by_indicators(
     def merge(hits: Column) -> Column:
         return F.slice(F.sort_array(hits), 1, k)
 
-    ranked = match_entries(df, phrases, key, "id", ["phrases"], partial, merge, out, max_rows)
+    ranked = match_entries(df, phrases, key, "id", ["phrases"], partial, merge, out, max_rows, reads=[text])
     return ranked.withColumn(
         out, F.transform(out, lambda r: F.struct(r["id"].alias("id"), (-r["neg_hits"]).alias("hits")))
     )

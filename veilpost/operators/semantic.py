@@ -29,7 +29,7 @@ def detect_with_gazetteer(
         return F.filter(entries, lambda e: F.contains(F.col(text), e["value"]))
 
     matched = match_entries(
-        df, gazetteer, key, "item_no", ["type", "value"], partial, F.sort_array, out, max_rows
+        df, gazetteer, key, "item_no", ["type", "value"], partial, F.sort_array, out, max_rows, reads=[text]
     )
     return matched.withColumn(
         out,

@@ -13,10 +13,20 @@ from .. import fixed
 from ..operators.audit import audit
 from ..operators.parse import analysis_text, parse_mail
 from ..operators.pii import mask_structured, normalize_privacy, residual_check
-from ..operators.score import fallback_score, normalize_verdict, parse_reply, route_failures, used_fallback
+from ..operators.retrieve import example_context, judge_prompt, nearest, technique_context
+from ..operators.score import (
+    fallback_score,
+    normalize_score,
+    normalize_verdict,
+    parse_reply,
+    route_failures,
+    score_with_model,
+    used_fallback,
+)
 from ..operators.semantic import mask_items, no_items
 
 NO_MODEL = "no_model_configured"
+NO_STORED_VERDICT = "no_stored_verdict"
 
 
 def redact(
@@ -26,9 +36,9 @@ def redact(
 
     `detect` adds `semantic_items` from `masked_email`; without it only structured PII is masked.
     """
-    masked = mask_structured(df, raw)
+    masked = mask_structured(df, raw, scan="__scan")
     masked = mask_items(detect(masked)) if detect else no_items(masked)
-    return residual_check(masked)
+    return residual_check(masked, scan="__scan").drop("__scan")
 
 
 def without_model(df: DataFrame, error: Column | str = NO_MODEL) -> DataFrame:
@@ -65,33 +75,79 @@ def screen(
     return audit(judged, rescore=rescore).select(*kept, "privacy", "verdict", "analysis_text", "audit")
 
 
+def score_in_context(
+    techniques: DataFrame,
+    examples: DataFrame,
+    reply_of: Callable,
+    vector: str = "vector",
+    key: str = "email_id",
+    **prompt_options,
+) -> Callable[[DataFrame], DataFrame]:
+    """A `score` for `screen`: asks a plug-in with the nearest techniques and examples in the prompt.
+
+    `techniques` has (id, description, vector), `examples` (id, email, label, reason, vector); mails carry
+    one `vector` each, which serves both searches.  Small knowledge bases move no mail.
+    """
+    lines = {
+        "__techniques": (techniques, fixed.TOP_TECHNIQUES, ["description"]),
+        "__examples": (examples, fixed.TOP_EXAMPLES, ["email", "label", "reason"]),
+    }
+
+    def score(df: DataFrame) -> DataFrame:
+        for out, (kb, k, texts) in lines.items():
+            df = nearest(df, kb, k, key=key, vector=vector, out=out, carry=texts)
+        named = F.transform(
+            "__techniques", lambda t: F.struct(t["id"].alias("technique"), t["description"].alias("description"))
+        )
+        prompt = judge_prompt(
+            F.col("parsed"), technique_context(named), example_context(F.col("__examples")), **prompt_options
+        )
+        return score_with_model(df.withColumn("prompt", prompt), reply_of).drop(*lines, "prompt")
+
+    return score
+
+
 def integrate(privacy: DataFrame, verdict: DataFrame, key: str = "email_id") -> DataFrame:
-    """Both results of one mail in one row, for steps that were stored apart."""
-    return privacy.join(verdict, key).withColumn(
-        "analysis_text", analysis_text(F.col("verdict.email_body"), F.col("privacy.masked_email"))
+    """Both results of one mail in one row, for steps that were stored apart.
+
+    No mail is lost: without a verdict that struct is NULL, and without a privacy record the mail has
+    one whose status is FAIL.
+    """
+    fields = privacy.schema["privacy"].dataType.fields
+    unchecked = F.struct(
+        *[
+            F.lit(fixed.STATUS_FAIL if f.name == "final_check_status" else None).cast(f.dataType).alias(f.name)
+            for f in fields
+        ]
+    )
+    return (
+        privacy.join(verdict, key, "full")
+        .withColumn("privacy", F.coalesce("privacy", unchecked))
+        .withColumn("analysis_text", analysis_text(F.col("verdict.email_body"), F.col("privacy.masked_email")))
     )
 
 
 def screen_with_stored(df: DataFrame, stored: DataFrame, raw: str = "raw_email", key: str = "email_id") -> DataFrame:
     """Masking now, verdicts from an earlier run.  A stored body wins over the masked text.
 
-    Only mails that have a stored verdict come out.
+    Mails without a stored verdict are judged by the rule, with an error that says so.
     """
-    fields = F.struct(
-        "email_body",
-        "sender_domain",
+    verdict = F.struct(
         "is_phishing",
-        "risk_score",
+        normalize_score(F.col("risk_score")).alias("risk_score"),
         "mitre_technique",
         "why_malicious_context",
         "high_risk_tokens",
-        F.lit(None).cast("string").alias("verdict_source"),
-        F.lit(None).cast("string").alias("gemini_error"),
     )
+    saved = stored.select(key, F.struct("email_body", "sender_domain").alias("__saved"), verdict.alias("__verdict"))
     private = normalize_privacy(redact(df, raw), fixed.SOURCE_PRIVACY_CACHED, raw)
-    joined = private.join(stored.select(key, fields.alias("stored")), key)
+    missing = F.when(F.col("__verdict").isNull(), F.lit(NO_STORED_VERDICT))
+    joined = private.join(saved, key, "left").withColumn(
+        "model", F.struct(F.col("__verdict").alias("verdict"), missing.alias("error"))
+    )
     return (
-        joined.withColumn("verdict", normalize_verdict(F.col("stored"), F.col("masked_email")))
+        route_failures(joined, "masked_email", parsed="__saved")
+        .withColumn("verdict", normalize_verdict(F.col("routed"), F.col("masked_email")))
         .withColumn("analysis_text", analysis_text(F.col("verdict.email_body"), F.col("masked_email")))
         .withColumn("verdict", F.col("verdict").withField("raw_email", F.col(raw)))
         .select(key, "privacy", "verdict", "analysis_text")
