@@ -19,7 +19,8 @@ CPUS = os.environ.get("BENCH_CPUS", "8")
 HEADLINE = [
     "pii_mask", "pii_coverage", "semantic_mask", "parse_mail", "heuristic_verdict", "screen_mail",
     "audit_status", "token_spans", "quality_metrics", "alpha_sweep", "pr_curve", "knn_top2",
-    "indicator_match", "fewshot_build", "kb_build", "resume_pending",
+    "indicator_match", "fewshot_build", "kb_build", "resume_pending", "screen_with_context",
+    "cached_verdict", "apply_overrides", "attach_scores", "benchmark_batch", "tfidf_retrieval", "screen_stream",
 ]
 
 

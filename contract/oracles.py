@@ -8,6 +8,9 @@ taken out again.  Two markers per side let two matches touch.
 
 from veilpost import fixed
 
+from veilpost.operators.audit import FEEDBACK_TEMPLATE
+from veilpost.operators.retrieve import JUDGE_TEMPLATE
+
 from . import inputs
 from .inputs import duck
 
@@ -174,6 +177,11 @@ ORACLES["semantic_mask"] = (
     f"SELECT email_id, masked_email, {finding_text('detected')} AS detected_pii, final_check_status FROM "
     f"{checked_sql(semantic_masked_sql(with_gazetteer(masked_sql(EMAILS, 'raw_email'))))}"
 )
+_FALCON = "CASE WHEN contains(masked_email, 'Falcon') THEN [{'type': 'PROJECT', 'value': 'Falcon'}] END AS items"
+ORACLES["pluggable_detector"] = (
+    f"SELECT email_id, masked_email, CAST(len(coalesce(items, [])) AS INTEGER) AS n_items FROM "
+    f"{semantic_masked_sql(f'(SELECT *, {_FALCON} FROM ' + masked_sql(EMAILS, 'raw_email') + ')')}"
+)
 ORACLES["mask_vs_reference"] = (
     f"SELECT doc_id, text AS original_email, replace(text, '@', '[AT]') AS reference_masked_text, masked_email, final_check_status, "
     f"text <> masked_email AS changed FROM "
@@ -361,6 +369,16 @@ ORACLES["failure_routing"] = (
     routed({"is_phishing": "is_phishing", "risk_score": norm_score("score_text"), "mitre_technique": "mitre_technique"})
     + f"FROM {_ROUTED_RULE}"
 )
+_URGENT = f"contains({body('raw_email')}, 'urgent')"
+ORACLES["pluggable_scorer"] = (
+    f"SELECT email_id, CASE WHEN {_URGENT} THEN {body('raw_email')} ELSE raw_email END AS email_body, {domain('raw_email')} AS sender_domain, "
+    f"CASE WHEN {_URGENT} THEN true ELSE is_phishing END AS is_phishing, CASE WHEN {_URGENT} THEN 9.0::DOUBLE ELSE risk_score END AS risk_score, "
+    f"CASE WHEN {_URGENT} THEN 'T1534' ELSE mitre_technique END AS mitre_technique, "
+    f"CASE WHEN {_URGENT} THEN 'urgent' ELSE 'Gemini unavailable (parse_failed) — ' || why_malicious_context END AS why_malicious_context, "
+    f"CASE WHEN {_URGENT} THEN 'urgent' ELSE {joined('high_risk_tokens')} END AS high_risk_tokens, "
+    f"CASE WHEN {_URGENT} THEN 'gemini' ELSE 'heuristic_fallback' END AS verdict_source, "
+    f"CASE WHEN NOT {_URGENT} THEN 'parse_failed' END AS gemini_error FROM {RULED}"
+)
 ORACLES["fallback_flag"] = f"SELECT email_id, error IS NOT NULL AS used_fallback FROM {STORED}"
 
 
@@ -497,6 +515,42 @@ ORACLES["token_spans"] = (
     f"FROM (SELECT *, {_PIECES} AS pieces FROM (SELECT email_id, raw_email, unnest(high_risk_tokens) AS token FROM {RULED})))"
 )
 
+
+
+def filled(template: str, slots: list[str]) -> str:
+    """SQL for a text with its slots filled in."""
+    parts = template.split("%s")
+    assert len(parts) == len(slots) + 1
+    pieces = [q(parts[0])]
+    for slot, rest in zip(slots, parts[1:]):
+        pieces += [f"({slot})", q(rest)]
+    return " || ".join(pieces)
+
+
+_ID_OF = "coalesce(nullif(regexp_extract(mitre_technique, 'T[0-9]{4}(?:\\.[0-9]{3})?'), ''), 'UNKNOWN')"
+_LISTED = "CASE WHEN len(found) > 0 THEN array_to_string(found, ', ') ELSE 'N/A' END"
+_EXCERPT = "CASE WHEN length(analysis_text) <= 600 THEN analysis_text ELSE analysis_text[1:600] || '...' END"
+_FEEDBACK = filled(
+    FEEDBACK_TEMPLATE.replace("%.2f", "0.40"),
+    [_ID_OF, "coalesce(mitre_technique, 'null')", _LISTED, _EXCERPT, _LISTED, _ID_OF],
+)
+_STATUS = audit_columns("").format(p="0.15::DOUBLE")
+ORACLES["adversarial_prompt"] = (
+    f"SELECT email_id, {_FEEDBACK} AS prompt FROM (SELECT *, {_STATUS} AS status FROM {_PERTURBED}) WHERE status = 'failed'"
+)
+_ESCAPED = "raw_email"
+for _plain, _entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):
+    _ESCAPED = f"replace({_ESCAPED}, {q(_plain)}, {q(_entity)})"
+# The phrases of the rule hold letters, blanks and full stops only.
+_ALTERNATIVES = (
+    "array_to_string(list_transform(list_sort(list_transform(high_risk_tokens, lambda t, i: {'k': -length(t), 'i': i, 't': t})), "
+    "lambda s: replace(s.t, '.', '[.]')), '|')"
+)
+ORACLES["highlight_tokens"] = (
+    f"SELECT email_id, CASE WHEN len(high_risk_tokens) > 0 THEN regexp_replace({_ESCAPED}, '(' || {_ALTERNATIVES} || ')', '<mark>\\1</mark>', 'gi') "
+    f"ELSE {_ESCAPED} END AS marked FROM {RULED}"
+)
+
 # --- metrics -----------------------------------------------------------------------------------
 
 
@@ -634,6 +688,16 @@ ORACLES["context_strings"] = (
     f"FROM {EMAILS} e"
 )
 
+_PROMPT = filled(
+    JUDGE_TEMPLATE,
+    [
+        domain("raw_email"), subject("raw_email"), "CAST(has_urgency_keywords AS VARCHAR)", "CAST(has_money_request AS VARCHAR)",
+        body("raw_email"), "technique_lines", "example_lines",
+    ],
+)
+ORACLES["judge_prompt"] = (
+    f"SELECT email_id, {_PROMPT} AS prompt FROM (SELECT *, {FLAGS} FROM {EMAILS}) JOIN ({ORACLES['context_strings']}) USING (email_id)"
+)
 # The plug-in of this query answers where a technique of the T1566 family is among the nearest.
 _NUMBERED = ", ".join(f"({q(k)}, {i})" for i, k in enumerate(fixed.CUSTOM_INDICATORS))
 _SQUARES = " + ".join(f"pow(({a}) - ({b}), 2)" for a, b in (("e.email_id % 7", "k.n % 7"), ("e.email_id % 5", "k.n % 5")))
