@@ -29,7 +29,9 @@ LONG = 48
 #: Ends every unit: no text of whole characters holds it.
 _END = "\ud800"
 _SLICE = 1024
-_CHARS = 4 << 20
+_CHARS = 3 << 19
+#: Units remembered per worker, about 200 bytes each.
+_KNOWN = 600_000
 _models: dict[str, "Pieces"] = {}
 
 
@@ -81,7 +83,7 @@ def sort_suffixes(codes: np.ndarray, depth: int) -> Suffixes:
         ahead[:-length] = rank[length:] + 1
         key = rank * np.int64(len(rank) + 2) + ahead
         length *= 2
-    places = np.argsort(key)
+    places = np.argsort(key).astype(np.int32)
     return Suffixes(places, head[places], dense, bits, packed)
 
 
@@ -176,12 +178,12 @@ class Pieces:
         suffixes = sort_suffixes(codes, self.depth)
         low, high = self._ranges(codes, suffixes)
         counts = high - low
-        piece = np.repeat(np.arange(len(counts)), counts)
+        piece = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
         start = gather(suffixes.places, low, counts)
         order = np.argsort(start)
         start, piece = start[order], piece[order]
         end = (start + self.sizes[piece]).astype(np.int32)
-        return Lattice(start.astype(np.int32), end, self.ids[piece].astype(np.int32))
+        return Lattice(start, end, self.ids[piece].astype(np.int32))
 
     def _relax(self, length: int, lattice: Lattice, unit_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Join symbols, in every unit its best edge per round; gives symbol borders and the pieces at them."""
@@ -281,12 +283,12 @@ class Pieces:
 
     def encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and where each text's begin (with the end of the last)."""
-        if len(self.known) > 1_000_000:
+        if len(self.known) > _KNOWN:
             self.forget()
         cut = [self.unit.findall(self.lead + t.replace(" ", SPACE)) if t else [] for t in texts]
         counts = np.array([0, *map(len, cut)], np.int64)
         met = pa.array([*chain.from_iterable(cut)], pa.string()).dictionary_encode()
-        distinct = met.dictionary.to_pylist()
+        distinct = met.dictionary.to_numpy(zero_copy_only=False).tolist()
         self.learn([u for u in distinct if u not in self.known])
         number = np.array([self.known[u] for u in distinct], np.int64)[met.indices.to_numpy()]
         size = self.size[number]
@@ -317,16 +319,26 @@ def vocabulary(path: str) -> Pieces:
     return _models[path]
 
 
-def encode_documents(docs: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
-    """All columns of `docs` with the ids of its whole texts; no shuffle."""
+def encode_documents(
+    docs: DataFrame, path: str, text: str = "text", out: str = "ids", decoded: str | None = None
+) -> DataFrame:
+    """All columns of `docs` with the ids of its whole texts; no shuffle.
+
+    `decoded` names a column for the texts that the ids decode to, made in the same pass.
+    """
     schema = StructType([*docs.schema.fields]).add(out, ArrayType(IntegerType(), False))
+    if decoded:
+        schema = schema.add(decoded, "string")
 
     def work(batches):
         model = vocabulary(path)
         for batch in _bounded(batches, text):
             ids, ends = model.encode_flat([t or "" for t in batch.column(text).to_pylist()])
             lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], schema.names)
+            columns = [*batch.columns, lists]
+            if decoded:
+                columns.append(pa.array(model.decode_flat(ids, ends), pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     return docs.mapInArrow(work, schema)
 
@@ -352,7 +364,7 @@ def decode_documents(docs: DataFrame, path: str, ids: str = "ids", out: str = "d
 def _bounded(batches, text: str):
     """Slices of few rows and, unless one text alone is longer, of few characters."""
     for whole in batches:
-        sizes = np.cumsum([len(t or "") for t in whole.column(text).to_pylist()])
+        sizes = np.cumsum(pc.fill_null(pc.utf8_length(whole.column(text)), 0).to_numpy())
         begin = 0
         while begin < whole.num_rows:
             done = sizes[begin - 1] if begin else 0

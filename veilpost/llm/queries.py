@@ -54,9 +54,8 @@ def op4_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_suffix_array_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    encoded = pieces.encode_documents(docs, pieces_file())
-    decoded = pieces.decode_documents(encoded, pieces_file())
-    return decoded.select(
+    encoded = pieces.encode_documents(docs, pieces_file(), decoded="decoded")
+    return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_ids"),
         "ids",
