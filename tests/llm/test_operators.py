@@ -158,6 +158,10 @@ def test_pieces(table, rows, nothing):
     got = pieces.decode_documents(encoded, pieces_file()).collect()
     want = [(i, t, library.encode(t or ""), t or "") for i, t in rows]
     assert ordered((r.doc_id, r.text, list(r.ids), r.decoded) for r in got) == ordered(want)
+    once = pieces.encode_documents(encoded.select("doc_id", "text"), pieces_file(), decoded="decoded").collect()
+    assert ordered((r.doc_id, r.text, list(r.ids), r.decoded) for r in once) == ordered(want)
+    missing = encoded.selectExpr("doc_id", "IF(text = '', NULL, ids) AS ids", "text")
+    assert all(r.decoded is None for r in pieces.decode_documents(missing, pieces_file()).where("ids IS NULL").collect())
     assert pieces.encode_documents(nothing.select("doc_id", "text"), pieces_file()).count() == 0
 
 
