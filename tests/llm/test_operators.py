@@ -131,6 +131,21 @@ def test_toxicity(spark, nothing):
     assert toxicity.score_documents(nothing.select("doc_id", "text"), empty).count() == 0
 
 
+def test_toxicity_of_few_labels_uses_every_word(spark):
+    """Words too rare among few labels for any test of significance still make texts near."""
+    rows = [(i, f"{'nasty' if i % 4 == 0 else 'kind'} own{i} t{i % 4}") for i in range(40)] + [(100, "nasty"), (101, "kind"), (102, "unheard")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(40)], "doc_id long, toxic int")
+    scorer = toxicity.fit(docs, labels, F.lit(True))
+    assert len(scorer.terms) == 46
+    # Frequencies are those of all documents, labelled or not: "kind" is in 30 examples and one more text.
+    held = dict(zip(scorer.terms.tolist(), toxicity._frequencies(docs, "text", scorer.terms)[1].tolist()))
+    assert max(held.values()) == 31
+    by = {r.doc_id: r for r in toxicity.score_documents(docs, scorer).collect()}
+    assert by[100].score > by[101].score and by[100].evidence and by[101].evidence and not by[102].evidence
+    assert by[100].evidence[0] % 4 == 0 and by[0].evidence[0] == 0 and by[1].evidence[0] == 1
+
+
 def test_shards(table, rows, nothing):
     got = sharding.shard_documents(table.select("doc_id", "text", "key"), shards=4).collect()
     assert ordered((r.doc_id, r.text, r["size"]) for r in got) == ordered((i, t, len((t or "").encode()) + 1) for i, t in rows)

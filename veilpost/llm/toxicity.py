@@ -1,19 +1,25 @@
-"""Toxicity from the nearest labelled examples by exact TF-IDF cosine.
-
-Fitting takes at most MAX_EXAMPLES labelled rows, those of least hash of their number, and the MAX_TERMS
-terms that say most about the label there (chi-square).  Examples of one vector form a point that
-carries its counts of both labels.  Points lie in blocks; an inverted index holds, for each term, its
-weight in every point and its greatest weight in every block.  A query opens blocks by falling bound
-and stops when no unopened block can hold a nearer point, so its neighbours are exact.
-Their labels vote by cosine; a monotone map fitted on left-out examples turns votes into
-probabilities.  Texts are scored where they lie: nothing is shuffled, and the index has a fixed bound.
-
-Defined results: a null or empty text, or one without any known term, gets the rate among examples
+"""Toxicity from the nearest labelled examples by exact TF-IDF cosine over all words.
+
+Fitting takes at most MAX_EXAMPLES labelled rows, those of least hash of their number.  Every word of a
+text counts: its weight is (1 + log count) times its IDF over all documents times a gain, which is 1
+plus what the examples surely say about the label there (the log odds ratio, less three standard
+errors).  A word that no example holds lengthens the vector only, at the IDF of a word that one more
+example would bring.  Examples of one vector form a point that carries its counts of both labels.
+
+Points lie in blocks.  Postings of all but the COMMON most frequent words are added up for every
+point; for the common ones a block has its greatest weights, and is opened for a query only if its bound
+reaches the query's neighbours found so far.  What is left is computed anew in double precision, so
+neighbours are exact.  Their labels vote by cosine; a monotone map fitted on left-out examples turns
+votes into probabilities.  Texts are scored where they lie: only counts of words that examples hold are
+shuffled, and the index has a fixed bound of examples.
+
+Defined results: a null or empty text, or one without any known word, gets the rate among examples
 without one; a null label is no label; a document labelled more than once is toxic if any label says
 so; without examples every score is 0.  Repeated rows get equal scores.
 """
 
-from dataclasses import dataclass, field
+import hashlib
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -21,17 +27,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
 
+from .exchange import pack_ints, unpack_ints
 from .words import IS_SIGN, split_words
 
 MAX_EXAMPLES = 20_000
-MAX_TERMS = 4_096
-LEAST_DOCS = 5
-LEAST_CHI_SQUARE = 25.0
+#: Gain of a word per unit of log odds ratio, and the standard errors taken off before.
+GAIN, ERRORS = 3.0, 3.0
+#: Words met by block, being in too many points for postings.
+COMMON = 256
 NEIGHBOURS = 25
 PRIOR = 2.0
 BLOCK = 64
 EVIDENCE = 3
 _SLICE = 512
+#: Queries that go through the index together, and more than single precision can lose of a cosine.
+_TOGETHER, _SLACK = 64, 1e-4
 
 
 def _terms(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -54,97 +64,177 @@ def _examples(docs: DataFrame, labels: DataFrame, key: str, text: str, train: Co
     return rows.groupBy(F.xxhash64(text).alias("h")).agg(F.min(key).alias(key), F.first(text).alias("text"), F.max("toxic").alias("toxic"))
 
 
-def _chosen_terms(examples: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the terms kept, ascending, and the documents that hold each."""
+def _frequencies(docs: DataFrame, text: str, terms: np.ndarray) -> tuple[int, np.ndarray]:
+    """How many documents there are, and how many hold each of the terms (ascending); counted in every task first."""
+    known = docs.sparkSession.sparkContext.broadcast(terms)
 
     def count(batches):
-        for batch in batches:
-            doc, term, _ = _terms(batch.column("text"))
-            toxic = np.asarray(batch.column("toxic"))[doc]
-            distinct, place = np.unique(term, return_inverse=True)
-            columns = [pa.array(distinct.view(np.int64)), pa.array(np.bincount(place, minlength=len(distinct))), pa.array(np.bincount(place, toxic, minlength=len(distinct)).astype(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, ["term", "n", "a"])
-
-    docs, toxic = examples.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    if not 0 < toxic < docs:
-        return np.zeros(0, np.uint64), np.zeros(0)
-    n, a, size, hits = F.col("n").cast("double"), F.col("a").cast("double"), float(docs), float(toxic)
-    table = examples.select("text", "toxic").mapInArrow(count, "term long, n long, a long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("a").alias("a"))
-    cross = a * (F.lit(size - hits) - n + a) - (n - a) * (F.lit(hits) - a)
-    chi = F.lit(size) * cross * cross / (n * F.lit(hits) * (F.lit(size) - n) * F.lit(size - hits))
-    best = table.where((n >= LEAST_DOCS) & (n < size)).withColumn("chi", chi).where(F.col("chi") >= LEAST_CHI_SQUARE)
-    rows = best.orderBy(F.desc("chi"), "term").limit(MAX_TERMS).collect()
-    terms = np.array([r.term for r in rows], np.int64).view(np.uint64)
-    order = np.argsort(terms)
-    return terms[order], np.array([r.n for r in rows], float)[order]
-
-
-def _vectors(column, terms: np.ndarray, idf: np.ndarray) -> list[tuple[tuple[int, ...], tuple[float, ...]]]:
-    """Unit TF-IDF vectors of texts over the kept terms, as (term numbers, weights)."""
+        held, rows = np.zeros(len(known.value), np.int64), 0
+        for whole in batches:
+            rows += whole.num_rows
+            for at in range(0, whole.num_rows, _SLICE):
+                _, term, _ = _terms(whole.slice(at, _SLICE).column(0))
+                place, hit = _places(known.value, term)
+                held += np.bincount(place[hit], minlength=len(held))
+        some = np.flatnonzero(held)
+        columns = [pa.array(np.append(some, -1)), pa.array(np.append(held[some], rows))]
+        yield pa.RecordBatch.from_arrays(columns, ["place", "n"])
+
+    table = docs.select(text).mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    place, n = np.asarray(table.column("place")), np.asarray(table.column("n"))
+    held = np.zeros(len(terms), np.int64)
+    held[place[place >= 0]] = n[place >= 0]
+    return int(n[place < 0].sum()), held
+
+
+def _places(terms: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of every term among the ascending `terms`, and whether it is there."""
+    if not len(terms):
+        return np.zeros(len(term), np.int64), np.zeros(len(term), bool)
+    place = np.minimum(np.searchsorted(terms, term), len(terms) - 1)
+    return place, terms[place] == term
+
+
+def _gain(size: int, hits: float, held: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """One for words that say nothing sure about the label, more for others; no word gets less."""
+    cells = [toxic, hits - toxic, held - toxic, size - hits - held + toxic]
+    a, b, c, d = (cell + 0.5 for cell in cells)
+    return 1 + GAIN * np.maximum(0, np.abs(np.log(a * d / (b * c))) - ERRORS * np.sqrt(1 / a + 1 / b + 1 / c + 1 / d))
+
+
+def _weigh(doc: np.ndarray, place: np.ndarray, hit: np.ndarray, count: np.ndarray, n_docs: int, weights: np.ndarray, other: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Unit vectors as (term numbers, weights); words that are not hit have the weight `other` and only count for the length."""
+    each = np.full(len(place), other)
+    each[hit] = weights[place[hit]]
+    each *= 1 + np.log(count)
+    norm = np.sqrt(np.bincount(doc, each * each, minlength=n_docs))
+    doc, place, each = doc[hit], place[hit].astype(np.int32), each[hit]
+    each = np.round(each / norm[doc], 9).astype(np.float32)
+    edges = np.searchsorted(doc, np.arange(n_docs + 1))
+    return [(place[a:z], each[a:z]) for a, z in zip(edges[:-1], edges[1:])]
+
+
+def _vectors(column, terms: np.ndarray, weights: np.ndarray, other: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Unit vectors of texts over all their words."""
     doc, term, count = _terms(column)
-    place = np.searchsorted(terms, term)
-    hit = np.flatnonzero(terms[np.minimum(place, len(terms) - 1)] == term) if len(terms) else np.zeros(0, int)
-    doc, place = doc[hit], place[hit]
-    weight = (1 + np.log(count[hit])) * idf[place]
-    order = np.lexsort((place, doc))
-    doc, place, weight = doc[order], place[order], weight[order]
-    norm = np.sqrt(np.bincount(doc, weight * weight, minlength=len(column)))
-    weight = np.round(weight / norm[doc], 9)
-    edges = np.searchsorted(doc, np.arange(len(column) + 1))
-    place, weight = place.tolist(), weight.tolist()
-    return [(tuple(place[a:z]), tuple(weight[a:z])) for a, z in zip(edges[:-1], edges[1:])]
+    return _weigh(doc, *_places(terms, term), count, len(column), weights, other)
+
+
+def _name(terms: np.ndarray, weights: np.ndarray) -> bytes:
+    """What a vector is known by: 128 bits of hash, or nothing for an empty one."""
+    return hashlib.blake2b(terms.tobytes() + weights.tobytes(), digest_size=16).digest() if len(terms) else b""
+
+
+def _spans(first: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Places of runs that begin at `first`, one after the other."""
+    ends = np.cumsum(length)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + length, length)
 
 
 @dataclass
 class Index:
-    """Block-max inverted index over points."""
+    """Block-max index over points, given as (ascending term numbers, weights)."""
 
     points: list
     n: np.ndarray
     toxic: np.ndarray
     ids: list
-    postings: dict = field(default_factory=dict)
-    block_max: dict = field(default_factory=dict)
 
     def __post_init__(self):
-        blocks = -(-len(self.points) // BLOCK)
-        held: dict[int, list] = {}
-        for number, (terms, weights) in enumerate(self.points):
-            for term, weight in zip(terms, weights):
-                held.setdefault(term, []).append((number, weight))
-        for term, entries in held.items():
-            numbers, weights = np.array([e[0] for e in entries]), np.array([e[1] for e in entries])
-            most = np.zeros(blocks)
-            np.maximum.at(most, numbers // BLOCK, weights)
-            self.postings[term], self.block_max[term] = (numbers, weights), most
+        self.lengths = np.array([len(t) for t, _ in self.points], np.int64)
+        self.terms = np.concatenate([np.zeros(0, np.int32), *(np.asarray(t, np.int32) for t, _ in self.points)])
+        self.weights = np.concatenate([np.zeros(0, np.float32), *(np.asarray(w, np.float32) for _, w in self.points)])
+        self.points = range(len(self.lengths))
+        self.first = None
+
+    def __getstate__(self):
+        """Packed, as it goes to every executor; what follows from it is built there."""
+        steps = np.diff(self.terms.view(np.uint32), prepend=np.uint32(0))
+        return self.n, self.toxic, self.ids, self.lengths, pack_ints(steps), pack_ints(self.weights.view(np.uint32))
+
+    def __setstate__(self, state):
+        self.n, self.toxic, self.ids, self.lengths, steps, weights = state
+        self.terms = np.cumsum(unpack_ints(steps).astype(np.uint32), dtype=np.uint32).view(np.int32)
+        self.weights = unpack_ints(weights).astype(np.uint32).view(np.float32)
+        self.points = range(len(self.lengths))
+        self.first = None
+
+    def _build(self):
+        lengths = self.lengths
+        self.first = np.append(0, np.cumsum(lengths))
+        self.width = int(self.terms.max()) + 1 if len(self.terms) else 0
+        blocks = -(-len(lengths) // BLOCK)
+        held = np.bincount(self.terms, minlength=self.width)
+        common = np.sort(np.argsort(-held, kind="stable")[:COMMON])
+        self.slot = np.full(self.width, -1, np.int32)
+        self.slot[common] = np.arange(len(common))
+        point, slot = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths), self.slot[self.terms]
+        dense = np.zeros((blocks, len(common), BLOCK), np.float32)
+        often = slot >= 0
+        dense[point[often] // BLOCK, slot[often], point[often] % BLOCK] = self.weights[often]
+        self.dense, self.block_max = dense, np.ascontiguousarray(dense.max(axis=2).T) if blocks else np.zeros((len(common), 0), np.float32)
+        rare = np.flatnonzero(~often)
+        rare = rare[np.argsort(self.terms[rare], kind="stable")]
+        self.edges = np.searchsorted(self.terms[rare], np.arange(self.width + 1))
+        self.posting, self.posting_weight = point[rare], self.weights[rare]
+
+    def vector(self, point: int) -> tuple[np.ndarray, np.ndarray]:
+        if self.first is None:
+            self._build()
+        a, z = self.first[point], self.first[point + 1]
+        return self.terms[a:z], self.weights[a:z]
 
     def nearest(self, vector, k: int, without: int = -1) -> list[tuple[int, float]]:
         """Points by falling cosine until they hold `k` examples, with all of equal cosine; `without` leaves one example of a point out."""
-        lists = [(self.postings[t], self.block_max[t], w) for t, w in zip(*vector) if t in self.postings]
-        if not lists:
+        return self.nearest_of([vector], k, [without])[0]
+
+    def nearest_of(self, vectors: list, k: int, without: list[int]) -> list[list[tuple[int, float]]]:
+        """`nearest` of several vectors at once."""
+        if self.first is None:
+            self._build()
+        vectors = [(np.asarray(t, np.int64), np.asarray(w, np.float64)) for t, w in vectors]
+        known = [t < self.width for t, _ in vectors]
+        vectors = [(t[ok], w[ok]) for (t, w), ok in zip(vectors, known)]
+        row = np.repeat(np.arange(len(vectors)), [len(t) for t, _ in vectors])
+        term, weight = (np.concatenate(x) for x in zip(*vectors))
+        slot = self.slot[term] if self.width else np.zeros(0, np.int32)
+        often = slot >= 0
+        query = np.zeros((len(vectors), self.block_max.shape[0]), np.float32)
+        query[row[often], slot[often]] = weight[often]
+        row, term, weight = row[~often], term[~often], weight[~often]
+        length = self.edges[term + 1] - self.edges[term]
+        at = _spans(self.edges[term], length)
+        blocks = self.block_max.shape[1]
+        cell = np.repeat(row * (blocks * BLOCK), length) + self.posting[at]
+        cosine = np.bincount(cell, self.posting_weight[at] * np.repeat(weight, length), minlength=len(vectors) * blocks * BLOCK)
+        cosine = cosine.astype(np.float32).reshape(len(vectors), blocks, BLOCK)
+        # One point of each of k + 1 blocks is as near as this at least.
+        most = cosine.max(axis=2)
+        least = np.partition(most, blocks - k - 1, axis=1)[:, blocks - k - 1] if blocks > k else np.zeros(len(vectors), np.float32)
+        opened = most + query @ self.block_max + _SLACK >= least[:, None]
+        cosine[~opened] = 0
+        for block in np.flatnonzero(opened.any(axis=0)):
+            asked = np.flatnonzero(opened[:, block])
+            cosine[asked, block] += query[asked] @ self.dense[block]
+        flat, exact = cosine.reshape(len(vectors), -1), np.zeros(self.width)
+        return [self._ranked(flat[i], exact, *vectors[i], k, without[i]) for i in range(len(vectors))]
+
+    def _ranked(self, rough: np.ndarray, exact: np.ndarray, term: np.ndarray, weight: np.ndarray, k: int, without: int) -> list[tuple[int, float]]:
+        least = np.partition(rough, len(rough) - k - 1)[len(rough) - k - 1] - _SLACK if len(rough) > k else 0.0
+        at = np.flatnonzero((rough > 0) & (rough >= least))
+        if not len(at):
             return []
-        bound = sum(w * most for _, most, w in lists)
-        found_at, found_cos, have = np.zeros(0, int), np.zeros(0), 0
-        order = [b for b in np.argsort(-bound, kind="stable") if bound[b] > 0]
-        for step, block in enumerate(order):
-            low = block * BLOCK
-            cosine = np.zeros(BLOCK)
-            for (numbers, weights), _, w in lists:
-                a, z = np.searchsorted(numbers, (low, low + BLOCK))
-                cosine[numbers[a:z] - low] += w * weights[a:z]
-            hit = np.flatnonzero(cosine > 0)
-            found_at, found_cos = np.append(found_at, hit + low), np.append(found_cos, np.round(cosine[hit], 9))
-            if step + 1 < len(order):
-                ahead = bound[order[step + 1]] + 1e-8
-                have = sum(self.n[p] - (p == without) for p, c in zip(found_at, found_cos) if c > ahead)
-                if have >= k:
-                    break
+        length = self.first[at + 1] - self.first[at]
+        places = _spans(self.first[at], length)
+        exact[term] = weight
+        cosine = np.round(np.add.reduceat(exact[self.terms[places]] * self.weights[places], np.cumsum(length) - length), 9)
+        exact[term] = 0
         out, have, last = [], 0, 0.0
-        for i in np.lexsort((found_at, -found_cos)):
-            if have >= k and found_cos[i] < last:
+        for i in np.lexsort((at, -cosine)):
+            if have >= k and cosine[i] < last or cosine[i] <= 0:
                 break
-            out.append((int(found_at[i]), float(found_cos[i])))
-            have, last = have + self.n[found_at[i]] - (found_at[i] == without), found_cos[i]
+            out.append((int(at[i]), float(cosine[i])))
+            have, last = have + self.n[at[i]] - (at[i] == without), cosine[i]
         return out
 
 
@@ -163,83 +253,135 @@ def _pool_adjacent(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndar
 class Scorer:
     """Votes of the nearest examples, as probabilities; a vector met before in the task is looked up."""
 
-    def __init__(self, terms: np.ndarray, idf: np.ndarray, index: Index, rate: float, bare: float):
-        self.terms, self.idf, self.index, self.rate, self.bare = terms, idf, index, rate, bare
+    def __init__(self, terms: np.ndarray, weights: np.ndarray, other: float, index: Index, rate: float, bare: float):
+        self.terms, self.weights, self.other, self.index, self.rate, self.bare = terms, weights, other, index, rate, bare
         self.places, self.heights = np.zeros(1), np.zeros(1)
         self.known: dict = {}
-        self._calibrate()
-
-    def vote(self, vector, without: int = -1, label: int = 0) -> tuple[float, list[int]]:
-        near = self.index.nearest(vector, NEIGHBOURS, without)
-        weight, toxic = PRIOR, PRIOR * self.rate
-        for point, cosine in near:
-            weight += cosine * cosine * (self.index.n[point] - (point == without))
-            toxic += cosine * cosine * (self.index.toxic[point] - (point == without) * label)
-        return float(toxic / weight), [self.index.ids[p] for p, _ in near[:EVIDENCE]]
-
-    def _calibrate(self):
-        x, y, w = [], [], []
-        for point, vector in enumerate(self.index.points):
-            for label, count in ((1, self.index.toxic[point]), (0, self.index.n[point] - self.index.toxic[point])):
-                if count:
-                    x.append(self.vote(vector, point, label)[0])
-                    y.append(label)
-                    w.append(count)
-        if x:
-            self.places, self.heights = _pool_adjacent(np.array(x), np.array(y, float), np.array(w, float))
-
-    def __call__(self, vector) -> tuple[float, list[int]]:
-        if vector not in self.known:
-            if len(self.known) > 200_000:
-                self.known.clear()
-            if vector[0]:
-                vote, evidence = self.vote(vector)
-                fitted = float(np.interp(vote, self.places, self.heights)) if len(self.index.points) else vote
+        self.shared = None
+
+    def __getstate__(self):
+        steps = np.diff(self.terms, prepend=np.uint64(0))
+        return pack_ints(steps), pack_ints(self.weights.view(np.uint64)), self.other, self.index, self.rate, self.bare
+
+    def __setstate__(self, state):
+        steps, weights, *others = state
+        self.__init__(np.cumsum(unpack_ints(steps), dtype=np.uint64), unpack_ints(weights).view(np.float64), *others)
+
+    def votes(self, vectors: list, without: list[int], labels: list[int]) -> list[tuple[float, list[int]]]:
+        out = []
+        for near, own, label in zip(self.index.nearest_of(vectors, NEIGHBOURS, without), without, labels):
+            weight, toxic = PRIOR, PRIOR * self.rate
+            for point, cosine in near:
+                weight += cosine * cosine * (self.index.n[point] - (point == own))
+                toxic += cosine * cosine * (self.index.toxic[point] - (point == own) * label)
+            out.append((float(toxic / weight), [self.index.ids[p] for p, _ in near[:EVIDENCE]]))
+        return out
+
+    def left_out(self, points: list[int]) -> tuple[list[float], list[int], list[float]]:
+        """Votes on one example of each point and label that the others give, the label, and how many examples are alike."""
+        toxic = self.index.toxic
+        cases = [(p, label, n) for p in points for label, n in ((1, toxic[p]), (0, self.index.n[p] - toxic[p])) if n]
+        got = self.votes([self.index.vector(p) for p, _, _ in cases], [p for p, _, _ in cases], [label for _, label, _ in cases])
+        return [g[0] for g in got], [c[1] for c in cases], [float(c[2]) for c in cases]
+
+    def __call__(self, vectors: list) -> list[tuple[float, list[int]]]:
+        names = [_name(t, w) for t, w in vectors]
+        if len(self.known) > 100_000:
+            self.known.clear()
+        self.known[b""] = (self.bare, [])
+        new = {name: v for name, v in zip(names, vectors) if name not in self.known}
+        for at in range(0, len(new), _TOGETHER):
+            part = list(new.items())[at : at + _TOGETHER]
+            for (name, _), (vote, evidence) in zip(part, self.votes([v for _, v in part], [-1] * len(part), [0] * len(part))):
+                fitted = float(np.interp(vote, self.places, self.heights))
                 # A little of the vote itself keeps the order inside a step.
-                self.known[vector] = (min(1.0, max(0.0, 0.98 * fitted + 0.02 * vote)), evidence)
-            else:
-                self.known[vector] = (self.bare, [])
-        return self.known[vector]
+                self.known[name] = (min(1.0, max(0.0, 0.98 * fitted + 0.02 * vote)), evidence)
+        return [self.known[name] for name in names]
+
+
+def _bags(examples: DataFrame, key: str) -> pa.Table:
+    """(id, toxic, terms, counts) of every example, the words as packed numbers."""
+
+    def bags(batches):
+        for whole in batches:
+            for at in range(0, whole.num_rows, _SLICE):
+                batch = whole.slice(at, _SLICE)
+                doc, term, count = _terms(batch.column("text"))
+                edges = np.searchsorted(doc, np.arange(batch.num_rows + 1))
+                packed = [pa.array([x[a:z].tobytes() for a, z in zip(edges[:-1], edges[1:])], pa.binary()) for x in (term, count.astype(np.int32))]
+                columns = [batch.column(key).cast(pa.int64()), batch.column("toxic"), *packed]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "toxic", "terms", "counts"])
+
+    schema = "id long, toxic int, terms binary, counts binary"
+    return examples.select(key, "text", "toxic").mapInArrow(bags, schema).toArrow()  # MAX_EXAMPLES at most
+
+
+def _unpacked(column: pa.ChunkedArray, kind) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all rows of a packed column, and how many each row has."""
+    rows = column.to_pylist()
+    lengths = np.array([len(r) for r in rows], np.int64) // np.dtype(kind).itemsize
+    return np.frombuffer(b"".join(rows), kind), lengths
 
 
 def fit(docs: DataFrame, labels: DataFrame, train: Column, key: str = "doc_id", text: str = "text") -> Scorer:
     """Learn from the labels for which `train` (a condition on the key) holds."""
-    examples = _examples(docs, labels.select(key, "toxic"), key, text, train)
-    terms, held = _chosen_terms(examples)
-    size = examples.count()
-    idf = np.log((1 + size) / (1 + held)) + 1
-
-    def vectors(batches):
-        for batch in batches:
-            got = _vectors(batch.column("text"), terms, idf)
-            columns = [batch.column(key).cast(pa.int64()), batch.column("toxic"), pa.array([list(v[0]) for v in got], pa.list_(pa.int64())), pa.array([list(v[1]) for v in got], pa.list_(pa.float64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "toxic", "terms", "weights"])
-
-    schema = "id long, toxic int, terms array<long>, weights array<double>"
-    rows = examples.select(key, "text", "toxic").mapInArrow(vectors, schema).collect()  # MAX_EXAMPLES at most
+    spark = docs.sparkSession
+    bags = _bags(_examples(docs, labels.select(key, "toxic"), key, text, train), key)
+    ids, toxic = bags.column("id").to_pylist(), np.array(bags.column("toxic").to_pylist(), float)
+    (term, lengths), (count, _) = _unpacked(bags.column("terms"), np.uint64), _unpacked(bags.column("counts"), np.int32)
+    doc, size, hits = np.repeat(np.arange(len(ids), dtype=np.int32), lengths), len(ids), toxic.sum()
+    terms, place = np.unique(term, return_inverse=True)
+    place = place.astype(np.int32)
+    n_docs, held = _frequencies(docs, text, terms) if len(terms) else (0, np.zeros(0, np.int64))
+    gain = _gain(size, hits, np.bincount(place, minlength=len(terms)), np.bincount(place, toxic[doc], minlength=len(terms)))
+    weights = (np.log((1 + n_docs) / (1 + held)) + 1) * gain
+    other = np.log((1 + n_docs) / (1 + n_docs / (1 + size))) + 1
+
+    vectors = _weigh(doc, place, np.ones(len(place), bool), count, size, weights, other)
+    # Texts of one language lie together, by the most common words they hold.
+    often = np.argsort(-np.bincount(place, minlength=len(terms)), kind="stable")[:32].tolist()
     points: dict = {}
-    for row in sorted(rows, key=lambda r: (r.id is None, r.id)):
-        entry = points.setdefault((tuple(row.terms), tuple(row.weights)), [0, 0, row.id])
+    for i in sorted(range(size), key=lambda i: (ids[i] is None, ids[i] or 0)):
+        t, w = vectors[i]
+        entry = points.setdefault(_name(t, w), [0, 0, ids[i], i])
         entry[0] += 1
-        entry[1] += row.toxic
-    rate = sum(r.toxic for r in rows) / len(rows) if rows else 0.0
-    n, toxic, _ = points.pop(((), ()), (0, 0, None))
-    bare = (toxic + PRIOR * rate) / (n + PRIOR)
-    order = sorted(points)
-    counts = [points[p] for p in order]
-    index = Index(order, np.array([c[0] for c in counts], float), np.array([c[1] for c in counts], float), [c[2] for c in counts])
-    return Scorer(terms, idf, index, rate, bare)
+        entry[1] += toxic[i]
+    rate = float(hits / size) if size else 0.0
+    n, bad, _, _ = points.pop(b"", (0, 0, None, None))
+    bare = float((bad + PRIOR * rate) / (n + PRIOR))
+    entries = [entry for _, entry in sorted(points.items(), key=lambda p: (np.isin(often, vectors[p[1][3]][0]).tolist(), p[0]))]
+    index = Index([vectors[e[3]] for e in entries], np.array([e[0] for e in entries], float), np.array([e[1] for e in entries], float), [e[2] for e in entries])
+    scorer = Scorer(terms, weights, float(other), index, rate, bare)
+    del term, count, place, doc, vectors, bags
+    scorer.shared = shared = spark.sparkContext.broadcast(scorer)
+    if entries:
+
+        def votes(batches):
+            for batch in batches:
+                points = batch.column(0).to_pylist()
+                for at in range(0, len(points), _TOGETHER):
+                    x, y, w = shared.value.left_out(points[at : at + _TOGETHER])
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64()), pa.array(y, pa.int32()), pa.array(w, pa.float64())], ["x", "y", "w"])
+
+        tasks = -(-len(entries) // 1024)
+        got = spark.range(0, len(entries), 1, tasks).mapInArrow(votes, "x double, y int, w double").toArrow()
+        x, y, w = (np.asarray(got.column(c), float) for c in ("x", "y", "w"))
+        scorer.places, scorer.heights = _pool_adjacent(*(v[np.lexsort((w, y, x))] for v in (x, y, w)))
+    return scorer
 
 
 def score_documents(docs: DataFrame, scorer: Scorer, text: str = "text", score: str = "score", evidence: str = "evidence") -> DataFrame:
     """All columns of `docs` with the score and the numbers of the nearest examples."""
     schema = StructType([*docs.schema.fields]).add(score, "double").add(evidence, ArrayType(LongType()))
+    shared, steps = scorer.shared, (scorer.places, scorer.heights)
 
     def work(batches):
+        scorer = shared.value
+        scorer.places, scorer.heights = steps
         for whole in batches:
             for at in range(0, whole.num_rows, _SLICE):
                 batch = whole.slice(at, _SLICE)
-                got = [scorer(v) for v in _vectors(batch.column(text), scorer.terms, scorer.idf)]
+                got = scorer(_vectors(batch.column(text), scorer.terms, scorer.weights, scorer.other))
                 columns = [*batch.columns, pa.array([g[0] for g in got], pa.float64()), pa.array([g[1] for g in got], pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(columns, schema.names)
 
