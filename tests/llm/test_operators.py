@@ -295,6 +295,17 @@ def test_near_duplicates(spark, table, rows, nothing):
     assert near_duplicates.near_duplicates(nothing).count() == 0
 
 
+def test_near_duplicates_in_a_family_of_one_template(spark):
+    """Buckets full of documents that share a long template and are no near-duplicates, but for three of them."""
+    template = [f"form{i}" for i in range(300)]
+    family = [(i, " ".join([*template, *(f"own{i}x{j}" for j in range(70 if i < 160 else 40))])) for i in range(163)]
+    for i, text in family[::40] + family[160:]:
+        alike = [j for j, o in family if j != i and 100 * len(shingles(text) & shingles(o)) >= 75 * len(shingles(text) | shingles(o))]
+        assert alike == ([j for j in (160, 161, 162) if j != i] if i >= 160 else [])
+    got = near_duplicates.near_duplicates(spark.createDataFrame(family, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: min(i, 160) for i, _ in family}
+
+
 def test_components_of_a_chain(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(7, 7), (100, 101)]
     got = components(spark.createDataFrame(edges, "a long, b long")).collect()

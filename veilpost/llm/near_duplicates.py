@@ -3,9 +3,11 @@
 Documents with one and the same shingle set form a class, and only its least document goes on.  Its
 signature comes from one hash per shingle with empty bins filled as in fingerprint.py; bands of the
 signature are bucket keys.  In a bucket every member is a candidate of the least member only (its hub),
-so a bucket of n members gives n - 1 candidates.  Where a hub turns out not to be like its members,
-the members are dealt again by more of their signature, each smaller bucket with a hub of its own.
-Candidates are confirmed on full sets and links joined to components.
+so a bucket of n members gives n - 1 candidates.  Candidates are confirmed on full sets and links joined
+to components.  Members of a bucket that are still in several components go through an exact join:
+shingles are ordered alike in every document, rare ones first, and a pair that is like enough shares
+one among the first seventh of the smaller document and the first quarter of the larger one.  Only pairs
+between components meet there, and only where sizes and places leave room for enough shared shingles.
 
 Defined results: words are lower-cased (A-Z) runs of bytes other than white space; a text without words
 is linked with nothing; a null number stands after all others and never is a component; rows with one
@@ -25,11 +27,11 @@ from .words import mix, shingle_sets, split_words
 SHINGLE = 5
 #: 40 bands of 4 bins: a pair at likeness 0.75 misses every band with a chance below 3e-7.
 BANDS, ROWS = 40, 4
-#: More of the signature for a bucket whose hub was no guide: this many ways, of so many bins each.
-WAYS, MORE_ROWS = 10, 4
 PERCENT = 75
 _LAST = 2**63 - 1
 _SLICE = 512
+#: Cells in which shingles are counted to order them; what they hold changes the work, never the pairs.
+_CELL_BITS = 18
 
 
 def _set_hash(keys: np.ndarray, first: np.ndarray, salt: int) -> np.ndarray:
@@ -78,20 +80,7 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     return out
 
 
-def more_keys(bucket: np.ndarray, signature: np.ndarray) -> np.ndarray:
-    """Keys of the smaller buckets that members of a bucket are dealt to, WAYS for each."""
-    wide = signature.astype(np.uint64).reshape(len(signature), WAYS, -1)[:, :, :MORE_ROWS]
-    out = mix(bucket[:, None] + np.arange(1, WAYS + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-    for row in range(MORE_ROWS):
-        out = mix(out * np.uint64(0x9E3779B97F4A7C15) + wide[:, :, row])
-    return out
-
-
-def _deal_again(table: pa.Table, signature: np.ndarray) -> np.ndarray:
-    return more_keys(np.asarray(table.column("bucket")).view(np.uint64), signature)
-
-
-def _entries(classes: DataFrame, keys_of) -> DataFrame:
+def _entries(classes: DataFrame) -> DataFrame:
     """(bucket, doc) rows: every class in each of its buckets."""
 
     def deal(batches):
@@ -100,7 +89,7 @@ def _entries(classes: DataFrame, keys_of) -> DataFrame:
                 continue
             table = pa.Table.from_batches([batch])
             signature = np.stack([np.frombuffer(s, np.uint16) for s in table.column("signature").to_pylist()])
-            keys = keys_of(table, signature)
+            keys = band_keys(signature)
             doc = np.repeat(np.asarray(table.column("doc")), keys.shape[1])
             yield pa.RecordBatch.from_arrays([_signed(keys.ravel()), pa.array(doc)], ["bucket", "doc"])
 
@@ -156,14 +145,9 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("doc")).union(pairs.select(F.col("b").alias("doc")))
 
 
-def _unresolved(entries: DataFrame, links: DataFrame) -> DataFrame:
-    """(bucket, doc) of buckets with two or more members besides the hub that are not all known to be linked.
-
-    Members are known to be linked if their least linked hubs, followed once more, are the same.
-    """
-    hub = links.groupBy("b").agg(F.min("a").alias("a"))
-    further = hub.select(F.col("b").alias("a"), F.col("a").alias("further"))
-    comp = hub.join(further, "a", "left").select(F.col("b").alias("doc"), F.coalesce("further", "a").alias("component"))
+def _unresolved(entries: DataFrame, found: DataFrame) -> DataFrame:
+    """(doc, component) of the members besides the hub of buckets that hold several components."""
+    comp = found.select(F.col("node").alias("doc"), "component")
     placed = entries.join(comp, "doc", "left").select("bucket", "doc", F.coalesce("component", "doc").alias("component"))
     mixed = (
         placed.groupBy("bucket")
@@ -172,7 +156,65 @@ def _unresolved(entries: DataFrame, links: DataFrame) -> DataFrame:
         .select("bucket", "hub")
     )
     # The hub has met all of them already.
-    return placed.join(mixed, "bucket").where("doc <> hub").select("bucket", "doc")
+    return placed.join(mixed, "bucket").where("doc <> hub").select("doc", "component").distinct()
+
+
+def _cell(keys: np.ndarray) -> np.ndarray:
+    return (keys >> np.uint64(64 - _CELL_BITS)).astype(np.int64)
+
+
+def _prefixes(texts: DataFrame) -> DataFrame:
+    """(shingle, component, doc, n, place, low): the first shingles of every text in one order of all shingles, rare ones first.
+
+    `low` marks those by which a document is found from one of its size or more.
+    """
+
+    def sets(batches):
+        for whole in batches:
+            for at in range(0, whole.num_rows, _SLICE):
+                batch = whole.slice(at, _SLICE)
+                yield batch, *shingle_sets(split_words(batch.column("text")), SHINGLE)
+
+    def count(batches):
+        held = np.zeros(1 << _CELL_BITS, np.int64)
+        for _, keys, _ in sets(batches):
+            held += np.bincount(_cell(keys), minlength=len(held))
+        some = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(held[some])], ["cell", "n"])
+
+    counts = texts.select("text").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    often = np.zeros(1 << _CELL_BITS, np.int64)
+    often[np.asarray(counts.column("cell"))] = np.asarray(counts.column("n"))
+    shared = texts.sparkSession.sparkContext.broadcast(often)
+
+    def first(batches):
+        for batch, keys, begin in sets(batches):
+            size = np.diff(begin)
+            row = np.repeat(np.arange(len(size)), size)
+            order = np.lexsort((keys, shared.value[_cell(keys)], row))
+            place, n = np.arange(len(keys)) - begin[row], size[row]
+            take = place <= n - -(-PERCENT * n // 100)
+            low = place <= n - -(-2 * PERCENT * n // (100 + PERCENT))
+            row = row[take]
+            columns = [
+                _signed(keys[order][take]),
+                *(batch.column(c).take(pa.array(row)) for c in ("component", "doc")),
+                *(pa.array(x[take].astype(np.int64)) for x in (n, place)),
+                pa.array(low[take]),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["shingle", "component", "doc", "n", "place", "low"])
+
+    return texts.select("doc", "component", "text").mapInArrow(first, "shingle long, component long, doc long, n long, place long, low boolean")
+
+
+def _between(prefixes: DataFrame) -> DataFrame:
+    """(a, b): all pairs of documents of two components that may be like enough."""
+    found = prefixes.where("low").select("shingle", F.col("component").alias("other"), F.col("doc").alias("y"), F.col("n").alias("n_y"), F.col("place").alias("at_y"))
+    # A document asks for the other components that hold its shingle, so those of its own do not meet.
+    asking = prefixes.join(found.select("shingle", "other").distinct(), "shingle").where("component <> other").drop("component", "low")
+    room = f"least(n - place, n_y - at_y) * {100 + PERCENT} >= {PERCENT} * (n + n_y)"
+    met = asking.join(found, ["shingle", "other"]).where(f"doc <> y AND (n_y < n OR n_y = n AND y < doc) AND {room}")
+    return met.select(F.least("doc", "y").alias("a"), F.greatest("doc", "y").alias("b")).distinct()
 
 
 def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -185,23 +227,26 @@ def link_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         .select("s1", "s2", "doc", "signature"),
         "classes",
     )
-    entries = _entries(classes.select("doc", "signature"), lambda table, signature: band_keys(signature))
+    entries = _entries(classes.select("doc", "signature"))
     pairs = save(_stars(entries), "candidates")
     texts = _texts_of(docs, _ends(pairs), key, text)
     links = save(confirm(pairs, texts), "links")
 
-    rest = _unresolved(entries.join(_ends(pairs).distinct(), "doc", "left_semi"), links)
-    again = _entries(rest.join(classes.select("doc", "signature"), "doc"), _deal_again)
-    more = save(_stars(again).join(pairs, ["a", "b"], "left_anti"), "more-candidates")
-    links = links.union(confirm(more, texts))
-
     class_of = classes.select("s1", "s2", F.col("doc").alias("class"))
     placed = save(rows.drop("signature").join(class_of, ["s1", "s2"], "left").select("doc", "n_shingles", "class"), "placed")
     # One number with several sets is one document: its classes are linked.
     held = placed.where("class is not null").select("doc", "class")
     several = held.groupBy("doc").agg(F.min("class").alias("a"), F.max("class").alias("z")).where("a < z")
     same = held.join(several, "doc").where("class <> a").select("a", F.col("class").alias("b"))
-    found = components(links.union(same)).withColumnRenamed("node", "class")
+    found = components(links.union(same))
+
+    rest = save(_unresolved(entries.join(_ends(pairs).distinct(), "doc", "left_semi"), found), "mixed")
+    prefixes = save(_prefixes(texts.join(rest.hint("merge"), "doc")), "prefixes")
+    more = save(_between(prefixes).join(pairs, ["a", "b"], "left_anti"), "more-candidates")
+    further = save(confirm(more, texts), "more-links")
+    if not further.isEmpty():
+        found = components(further.union(found.select(F.col("component").alias("a"), F.col("node").alias("b"))))
+    found = found.withColumnRenamed("node", "class")
     return placed.join(found, "class", "left").select("doc", "n_shingles", F.coalesce("component", "class", "doc").alias("component"))
 
 
