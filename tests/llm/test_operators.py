@@ -219,6 +219,16 @@ def test_repeats(table, rows, nothing, size):
     assert substrings.remove_repeats(nothing).count() == 0
 
 
+@pytest.mark.parametrize("width", [1 << 10, 5 << 21, 1 << 32, (1 << 32) + 12345, 9 << 32])
+def test_sketch_cells_of_any_width(width):
+    keys = np.random.default_rng(8).integers(0, 2**64, 20_000, np.uint64)
+    assert substrings._scaled(keys, width).tolist() == [int(k) * width >> 64 for k in keys]
+    cells = substrings._cells(keys, 0, width) >> np.uint64(64 - substrings._bits(width))
+    # They lie evenly over the whole row of the sketch.
+    eighths = np.bincount((cells.astype(float) * 8 / width).astype(int), minlength=8)
+    assert len(eighths) == 8 and eighths.min() > 2200 and eighths.max() < 2800
+
+
 def _spans(text):
     kinds = {
         "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .exchange import PIECE, answers, ask, bucket_of, joined, pieces, save, save_blocks
+from .exchange import PIECE, answers, ask, joined, pieces, save, save_blocks
 from .words import Words, document_windows, mix, split_words, windows
 
 WINDOW = 13
@@ -50,7 +50,15 @@ class Windows:
 
 def _cells(keys: np.ndarray, row: int, width: int) -> np.ndarray:
     """Cells of distinct keys in one row of the sketch, scaled to the key space so that buckets cut it evenly."""
-    return bucket_of(mix(keys + np.uint64((0x9E3779B97F4A7C15 * (row + 1)) % 2**64)), width) << np.uint64(64 - _bits(width))
+    return _scaled(mix(keys + np.uint64((0x9E3779B97F4A7C15 * (row + 1)) % 2**64)), width) << np.uint64(64 - _bits(width))
+
+
+def _scaled(keys: np.ndarray, width: int) -> np.ndarray:
+    """Upper 64 bits of the 128-bit product of keys and width: all bits of a key count, and no width overflows."""
+    half, low = np.uint64(32), np.uint64(2**32 - 1)
+    k1, k0, w1, w0 = keys >> half, keys & low, np.uint64(width >> 32), np.uint64(width & (2**32 - 1))
+    middle = k1 * w0 + (k0 * w0 >> half)
+    return k1 * w1 + (middle >> half) + (k0 * w1 + (middle & low) >> half)
 
 
 def _bits(width: int) -> int:
