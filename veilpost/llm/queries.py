@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from veilpost.operators.stage import computed_once
 from veilpost.session import ship_package
 
-from . import fingerprint, language_model, near_duplicates, outliers, packing, personal_data, pieces, sharding, substrings, toxicity
+from . import (
+    fingerprint, jaccard_join, language_model, near_duplicates, outliers, packing, periodic, personal_data, phrases, pieces, sharding,
+    substrings, toxicity,
+)
 from .exchange import save
 from .tables import documents, labels, pieces_file, ranks_file
 
@@ -96,6 +99,48 @@ def op10_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), *ranks_file())
 
 
+def op11_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_documents(documents(spark, sf_dir))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(documents(spark, sf_dir))
+
+
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): every tenth text, by the checksum of its number, made periodic from a place on."""
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    drawn = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    split = computed_once(
+        docs.select("doc_id", "text", drawn.alias("h")),
+        words=F.when(F.col("h") % 10 == 0, words).otherwise(F.array().cast("array<string>")),
+    )
+    n, g = F.size("words"), F.floor(F.col("h") / 10)
+    placed = computed_once(
+        split,
+        a=F.when(n > 0, g % n).cast("int"),
+        p=F.when(n > 0, 1 + F.floor((n - g % n) / (3 + g % 8))).cast("int"),
+    )
+    repeated = F.transform("words", lambda w, i: F.get("words", F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))))
+    return placed.select("doc_id", F.when(n > 0, F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.collapse_runs(planted_periods(documents(spark, sf_dir)))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = computed_once(found, longest=periodic.longest(F.col("runs")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "longest.start",
+        "longest.length",
+        "longest.period",
+        F.floor(1000 * F.col("longest.length") / F.col("longest.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def _shipped(query):
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,6 +161,9 @@ _OPERATORS = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_fingerprints": op9_fingerprints,
     "op10_pack_windows": op10_pack_windows,
+    "op11_ngram_jaccard": op11_ngram_jaccard,
+    "op12_collocations": op12_collocations,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 QUERIES = {name: _shipped(query) for name, query in _OPERATORS.items()}
