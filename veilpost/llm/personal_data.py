@@ -256,13 +256,17 @@ def strict_count(kind: str) -> Column:
 
 
 def masked(text: Column, spans_: Column) -> Column:
-    """The text with every span replaced by the name of its kind in brackets; of overlapping spans the first counts."""
+    """The text with every span replaced by the name of its kind in brackets.
+
+    Spans that overlap are masked as one, from the first start to the last end, and named by the first.
+    """
     first = F.struct(F.lit(1).cast("long").alias("at"), F.array().cast("array<string>").alias("parts"))
 
     def step(state: Column, s: Column) -> Column:
         before = F.substring(text, state["at"].cast("int"), (s["start"] + 1 - state["at"]).cast("int"))
         parts = F.concat(state["parts"], F.array(before, F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))))
-        return F.when(s["start"] + 1 >= state["at"], F.struct((s["end"] + 1).alias("at"), parts.alias("parts"))).otherwise(state)
+        further = F.struct(F.greatest(state["at"], s["end"] + 1).alias("at"), state["parts"].alias("parts"))
+        return F.when(s["start"] + 1 >= state["at"], F.struct((s["end"] + 1).alias("at"), parts.alias("parts"))).otherwise(further)
 
     def whole(state: Column) -> Column:
         return F.concat(F.array_join(state["parts"], ""), F.substring(text, state["at"].cast("int"), F.lit(2**31 - 1)))
