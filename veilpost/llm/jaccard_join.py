@@ -21,8 +21,8 @@ A list is scanned in three steps, none of which pairs all its documents:
 Links are confirmed on full sets.  How often members are met decides about the order, never about links.
 
 Defined results: words are lower-cased (A-Z) runs of bytes other than space and \\x09-\\x0D; a text without
-words is linked with nothing; rows with one number are one document; a null number stands after all others and
-never is a component; an empty table gives an empty result.  Only the two named columns are read.  Members of sets
+words is linked with nothing; rows with one number, or without one, are one document; a null number stands after all
+others and never is a component; an empty table gives an empty result.  Only the two named columns are read.  Members of sets
 are known by 64-bit hashes, sets by 128 bits.
 """
 
@@ -330,7 +330,7 @@ def join_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
     class_of = classes.select("s1", "s2", "n", F.col("doc").alias("class"))
     placed = save(rows.select("doc", "n", "s1", "s2").join(class_of, ["s1", "s2", "n"], "left").select("doc", "n", "class"), "classed")
     # One number with several sets is one document: its classes are linked.
-    held = placed.where(F.col("class").isNotNull() & (F.col("doc") < _LAST))
+    held = placed.where(F.col("class").isNotNull())
     several = held.groupBy("doc").agg(F.min("class").alias("a"), F.max("class").alias("z")).where("a < z")
     same = held.join(several, "doc").where("class <> a").select("a", F.col("class").alias("b")).distinct()
     known = save(small_links(classes, percent).union(same), "small-links")

@@ -13,6 +13,7 @@ from . import (
     substrings, toxicity,
 )
 from .exchange import save
+from .oracles import ORACLES  # noqa: F401
 from .tables import documents, labels, pieces_file, ranks_file
 
 
@@ -167,5 +168,3 @@ _OPERATORS = {
 }
 
 QUERIES = {name: _shipped(query) for name, query in _OPERATORS.items()}
-
-ORACLES: dict[str, str] = {}
