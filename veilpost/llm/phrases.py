@@ -1,12 +1,15 @@
 """Phrase collocations: depth-truncated suffix subtrees, built apart per group of word prefixes.
 
-Every word of a text begins a suffix, cut after `depth` words or at the end of its piece: a leaf.  Tasks
-count equal leaves before anything is shuffled.  Leaves are dealt by prefix (vertical partitioning): a
-first word of at most BUDGET leaf rows is a prefix of its own, a more frequent one is split by its second
-word, and so on down to whole leaves, which hold one row per task at most.  Prefixes are dealt to groups
-by hash, with some BUDGET rows a group.  Each group sorts its leaves, which is its subtree in order, and
-reads every node's count from the leaves below it.  Only nodes above a split prefix are added up over
-groups.
+Every word of a text begins a suffix, cut after `depth` words or at the end of its piece.  Prefixes are counted
+level by level: a prefix of d words goes on only if its own first and last d - 1 words occur `least` times, and
+what goes on is known to all tasks by a bit map of fixed size, which may let too much through but nothing out.
+What is left of a suffix is a leaf.  Tasks count equal leaves before anything is shuffled.
+
+Leaves are dealt by prefix (vertical partitioning): a first word of at most BUDGET leaf rows is a prefix of its own, a
+more frequent one is split by its second word, and so on down to whole leaves, which hold one row per task at
+most.  Prefixes are dealt to groups by hash, with some BUDGET rows a group.  Each group sorts its leaves, which
+is its subtree in order, and reads every node's count from the leaves below it.  Only nodes above a split
+prefix are added up over groups.
 
 Candidates look up the counts of their parts by equi-join; all numbers are whole, products are decimals
 of 38 digits.
@@ -28,9 +31,11 @@ from .words import Words, mix, split_words
 
 #: Leaf rows of a group, and how many groups there are at most; beyond, groups grow.
 BUDGET, MAX_GROUPS = 400_000, 20_000
-_SLICE = 2_048
+_SLICE = 1_024
+#: Bits of the maps of frequent prefixes.
+MAP_BITS = 26
 #: Distinct leaves that a task holds before it gives them out.
-_HELD = 300_000
+_HELD = 200_000
 _CUTS = np.zeros(256, bool)
 _CUTS[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 _ENDS = _CUTS.copy()
@@ -41,25 +46,46 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def _path_hashes(words: Words, hashes: np.ndarray, ahead: np.ndarray, depth: int) -> np.ndarray:
-    """Hash of the leaf that begins at every word; leaves of different depths differ."""
-    key = np.zeros(len(hashes), np.uint64)
-    for d in range(depth):
-        has = np.flatnonzero(ahead > d)
-        key[has] = mix(key[has] * np.uint64(0x9E3779B97F4A7C15) + hashes[has + d])
-    return key
+def _names(column) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the distinct languages of a column, and which of them each row has."""
+    coded = column.dictionary_encode()
+    words = split_words(pa.array(["=" + name for name in coded.dictionary.to_pylist()]), np.zeros(256, bool))
+    return words.hashes(lower=False), np.asarray(coded.indices)
 
 
-def _ahead(words: Words, depth: int) -> np.ndarray:
-    """How many words of its leaf follow from every word on, itself included: at most `depth`, within its piece."""
+def _ahead(words: Words) -> np.ndarray:
+    """How many words its piece has from every word on, itself included."""
     cuts = np.append(0, np.cumsum(_CUTS[words.data]))[words.start]
-    # Pieces are numbered by document too.
     doc = words.doc_of_word()
     new = np.ones(len(cuts), bool)
     new[1:] = (cuts[1:] != cuts[:-1]) | (doc[1:] != doc[:-1])
     ends = np.append(np.flatnonzero(new), len(cuts))
-    left = np.repeat(ends[1:], np.diff(ends)) - np.arange(len(cuts))
-    return np.minimum(left, depth)
+    return np.repeat(ends[1:], np.diff(ends)) - np.arange(len(cuts))
+
+
+def _marked(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    place = keys >> np.uint64(64 - MAP_BITS)
+    return (bits[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _leaf_keys(words: Words, lang: np.ndarray, maps: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """(length, key) of the leaf at every word, cut to `depth` words and before what no map lets through.
+
+    The key of a phrase of one length is the same in every pass.
+    """
+    hashes, ahead = words.hashes(lower=True), _ahead(words)
+    key = mix(hashes + lang)
+    length, best = np.minimum(ahead, 1), key
+    for d in range(2, depth + 1):
+        fine = np.append(_marked(maps[d - 2], key), False) if len(maps) > d - 2 else np.ones(len(key) + 1, bool)
+        longer = (length == d - 1) & (ahead >= d) & fine[:-1] & fine[1:]
+        at = np.flatnonzero(longer)
+        grown = np.zeros(len(key), np.uint64)
+        grown[at] = mix(key[at] * np.uint64(0x9E3779B97F4A7C15) + hashes[at + d - 1])
+        key = grown
+        best = np.where(longer, grown, best)
+        length = np.where(longer, d, length)
+    return length, best
 
 
 def _texts(words: Words, at: np.ndarray, ahead: np.ndarray) -> pa.Array:
@@ -88,35 +114,41 @@ def _counted(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order[head], np.add.reduceat(n[order], head) if len(head) else n[:0]
 
 
-def leaves(docs: DataFrame, text: str, lang: str, depth: int) -> DataFrame:
-    """(lang, leaf, n): leaves with counts, each once for some _HELD leaves of a task."""
+def counted_leaves(docs: DataFrame, text: str, lang: str, maps: list[np.ndarray], depth: int, texts: bool) -> DataFrame:
+    """(lang, leaf, key, n) of leaves as long as maps and depth allow, counted within tasks.
+
+    With one word all leaves are given, else those of two words or more.  Without `texts`, only full-length leaves are given, as
+    (key, n).
+    """
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(maps)
 
     def merged(parts):
         keys = np.concatenate([p[0] for p in parts])
         at, n = _counted(keys, np.concatenate([p[1] for p in parts]))
-        rows = pa.concat_tables([p[2] for p in parts]).combine_chunks().take(pa.array(at))
+        rows = pa.concat_tables([p[2] for p in parts]).combine_chunks().take(pa.array(at)) if texts else None
         return keys[at], n, rows
 
     def batch_of(part):
-        return part[2].append_column("n", pa.array(part[1], pa.int64())).combine_chunks().to_batches()
+        key, n = pa.array(part[0].view(np.int64)), pa.array(part[1], pa.int64())
+        table = part[2].append_column("key", key).append_column("n", n) if texts else pa.table({"key": key, "n": n})
+        return table.combine_chunks().to_batches(50_000)
 
     def work(batches):
-        parts, held = [], 0
+        maps, parts, held = shared.value, [], 0
         for whole in batches:
             for begin in range(0, whole.num_rows, _SLICE):
                 batch = whole.slice(begin, _SLICE)
                 words = split_words(batch.column("text"), _ENDS)
                 if not len(words.start):
                     continue
-                named = batch.column("lang").dictionary_encode()
-                of_doc = np.asarray(named.indices)
-                names = np.array([hash_of(name) for name in named.dictionary.to_pylist()], np.uint64)
-                ahead = _ahead(words, depth)
-                keys = _path_hashes(words, words.hashes(lower=True), ahead, depth)
+                names, of_doc = _names(batch.column("lang"))
                 doc = words.doc_of_word()
-                keys = mix(keys + names[of_doc[doc]])
-                at, n = _counted(keys, np.ones(len(keys), np.int64))
-                rows = pa.table({"lang": batch.column("lang").take(pa.array(doc[at])), "leaf": _texts(words, at, ahead)})
+                length, keys = _leaf_keys(words, names[of_doc[doc]], maps, depth)
+                given = np.flatnonzero(length >= (min(depth, 2) if texts else depth))
+                at, n = _counted(keys[given], np.ones(len(given), np.int64))
+                at = given[at]
+                rows = pa.table({"lang": batch.column("lang").take(pa.array(doc[at])), "leaf": _texts(words, at, length)}) if texts else None
                 parts.append((keys[at], n, rows))
                 held += len(at)
                 if held > 2 * _HELD:
@@ -128,12 +160,19 @@ def leaves(docs: DataFrame, text: str, lang: str, depth: int) -> DataFrame:
         if parts:
             yield from batch_of(merged(parts))
 
-    def hash_of(name: str) -> int:
-        words = split_words(pa.array(["=" + name]), np.zeros(256, bool))
-        return int(words.hashes(lower=False)[0])
-
     named = F.coalesce(F.col(lang).cast("string"), F.lit("und"))
-    return docs.select(named.alias("lang"), F.col(text).alias("text")).mapInArrow(work, "lang string, leaf string, n long")
+    schema = "lang string, leaf string, key long, n long" if texts else "key long, n long"
+    return docs.select(named.alias("lang"), F.col(text).alias("text")).mapInArrow(work, schema)
+
+
+def bit_map(keys: DataFrame) -> np.ndarray:
+    """One bit for every key, by its first bits: 2^MAP_BITS bits, however many keys there are."""
+    placed = keys.select(F.shiftrightunsigned("key", 64 - MAP_BITS).alias("bit"))
+    ones = F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 AS int))"))
+    words = placed.groupBy(F.shiftright("bit", 6).alias("word")).agg(ones.alias("bits")).toArrow()
+    out = np.zeros(1 << (MAP_BITS - 6), np.uint64)
+    out[np.asarray(words.column("word"))] = np.asarray(words.column("bits")).view(np.uint64)
+    return out
 
 
 def _prefix(depth: int | Column) -> Column:
@@ -197,14 +236,23 @@ def subtree_nodes(table: pa.Table, depth: int, least: int) -> pa.Table:
 
 def count_phrases(docs: DataFrame, depth: int, least: int, text: str = "text", lang: str = "lang", budget: int = BUDGET) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, words, f) of all phrases of up to `depth` words that occur `least` times; and (lang, n), all words."""
-    rows = save(leaves(docs, text, lang, depth), "leaves")
+    words = counted_leaves(docs, text, lang, [], 1, True).groupBy("lang", "leaf", "key").agg(F.sum("n").alias("n"))
+    words = save(words, "words")
+    often = words.where(F.col("n") >= least)
+    maps = [bit_map(often.select("key"))]
+    for d in range(2, depth):
+        counted = counted_leaves(docs, text, lang, maps, d, False).groupBy("key").agg(F.sum("n").alias("n"))
+        maps.append(bit_map(counted.where(F.col("n") >= least)))
+    rows = save(counted_leaves(docs, text, lang, maps, depth, True).drop("key"), "leaves")
     dealt, groups = grouped(rows, depth, budget)
     nodes = (
         dealt.repartition(groups, "group").groupBy("group")
         .applyInArrow(lambda table: subtree_nodes(table, depth, least), "lang string, phrase string, words int, n long")
-        .groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+        .where("words > 1").groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
     )
-    return save(nodes, "phrases"), rows.groupBy("lang").agg(F.sum("n").alias("n"))
+    # Leaves cut down to their first word are not given out, so words have their counts from the first level.
+    single = often.select("lang", F.col("leaf").alias("phrase"), F.lit(1).alias("words"), F.col("n").alias("f"))
+    return save(nodes.unionByName(single), "phrases"), words.groupBy("lang").agg(F.sum("n").alias("n"))
 
 
 def _part(begin: Column, size: Column) -> Column:
