@@ -1,9 +1,10 @@
 """Phrase collocations: depth-truncated suffix subtrees, built apart per group of word prefixes.
 
 Every word of a text begins a suffix, cut after `depth` words or at the end of its piece.  Prefixes are counted
-level by level: a prefix of d words goes on only if its own first and last d - 1 words occur `least` times, and
-what goes on is known to all tasks by a bit map of fixed size, which may let too much through but nothing out.
-What is left of a suffix is a leaf.  Tasks count equal leaves before anything is shuffled.
+level by level, by 64-bit hash: one of d words is counted only if its own first and last d - 1 words occur `least`
+times.  The prefixes that occur so often are known to all tasks by a bit map of fixed size per level, which may let too
+much through but keeps nothing out.  A suffix cut to its longest such prefix is a leaf.  Tasks count equal leaves before
+anything is shuffled.
 
 Leaves are dealt by prefix (vertical partitioning): a first word of at most BUDGET leaf rows is a prefix of its own, a
 more frequent one is split by its second word, and so on down to whole leaves, which hold one row per task at
@@ -31,11 +32,11 @@ from .words import Words, mix, split_words
 
 #: Leaf rows of a group, and how many groups there are at most; beyond, groups grow.
 BUDGET, MAX_GROUPS = 400_000, 20_000
-_SLICE = 1_024
+_SLICE = 512
 #: Bits of the maps of frequent prefixes.
 MAP_BITS = 26
 #: Distinct leaves that a task holds before it gives them out.
-_HELD = 200_000
+_HELD = 100_000
 _CUTS = np.zeros(256, bool)
 _CUTS[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 _ENDS = _CUTS.copy()
@@ -69,9 +70,9 @@ def _marked(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def _leaf_keys(words: Words, lang: np.ndarray, maps: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """(length, key) of the leaf at every word, cut to `depth` words and before what no map lets through.
+    """(length, key) of the leaf at every word, cut to `depth` words and to what the maps let through.
 
-    The key of a phrase of one length is the same in every pass.
+    A level without a map lets all through whose two parts may go on.  The key of a phrase is the same in every pass.
     """
     hashes, ahead = words.hashes(lower=True), _ahead(words)
     key = mix(hashes + lang)
@@ -82,6 +83,8 @@ def _leaf_keys(words: Words, lang: np.ndarray, maps: list[np.ndarray], depth: in
         at = np.flatnonzero(longer)
         grown = np.zeros(len(key), np.uint64)
         grown[at] = mix(key[at] * np.uint64(0x9E3779B97F4A7C15) + hashes[at + d - 1])
+        if len(maps) >= d:
+            longer &= _marked(maps[d - 1], grown)
         key = grown
         best = np.where(longer, grown, best)
         length = np.where(longer, d, length)
@@ -240,7 +243,7 @@ def count_phrases(docs: DataFrame, depth: int, least: int, text: str = "text", l
     words = save(words, "words")
     often = words.where(F.col("n") >= least)
     maps = [bit_map(often.select("key"))]
-    for d in range(2, depth):
+    for d in range(2, depth + 1):
         counted = counted_leaves(docs, text, lang, maps, d, False).groupBy("key").agg(F.sum("n").alias("n"))
         maps.append(bit_map(counted.where(F.col("n") >= least)))
     rows = save(counted_leaves(docs, text, lang, maps, depth, True).drop("key"), "leaves")
