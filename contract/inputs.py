@@ -115,6 +115,18 @@ SELECT * FROM (VALUES
 """
 
 
+# Some ten thousands of entries: all words of six characters or more that all documents have, and a passage of each document.
+_LARGE_VALUES = """
+SELECT md5(type || ':' || value) AS item_no, type, value FROM (
+  SELECT DISTINCT 'WORD' AS type, word AS value FROM ({words}) AS w WHERE length(word) >= 6
+  UNION ALL
+  SELECT DISTINCT 'PASSAGE', substring(text, 31, 80) FROM {documents} WHERE length(text) >= 110
+) AS v
+"""
+LARGE_GAZETTEER = _LARGE_VALUES.replace("{words}", "SELECT explode(split(text, ' ')) AS word FROM {documents}")
+LARGE_GAZETTEER_DUCK = _LARGE_VALUES.replace("{words}", "SELECT unnest(string_split(text, ' ')) AS word FROM documents").replace("{documents}", "documents")
+
+
 # Documents in the shape of a technique list: three of ten rows carry a wanted id.
 _TECHNIQUE_IDS = [
     "T1566", "T1566.001", "T1598", "T1684", "T1684.001", "T1534", "T1585", "T1204.001", "T1078",

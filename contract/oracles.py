@@ -648,6 +648,13 @@ def knn_sql(k: int) -> str:
     )
 
 
+ORACLES["knn_large_kb"] = (
+    f"SELECT vec_id, CAST(rank - 1 AS INTEGER) AS rank, kb_id, round(distance, 6) AS distance FROM ("
+    f"SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY distance, kb_id) AS rank FROM ("
+    f"SELECT a.vec_id, b.vec_id AS kb_id, list_sum(list_transform(list_zip(a.embedding, b.embedding), "
+    f"lambda p: (p[1]::DOUBLE - p[2]) * (p[1]::DOUBLE - p[2]))) AS distance FROM embeddings a, embeddings b)) "
+    f"WHERE rank <= {fixed.TOP_EXAMPLES}"
+)
 ORACLES["knn_top2"] = knn_sql(2)
 ORACLES["knn_top3"] = knn_sql(3)
 _CUSTOM = ", ".join(f"({q(k)}, {q(v)})" for k, v in fixed.CUSTOM_INDICATORS.items())
@@ -747,6 +754,30 @@ ORACLES["test_set_build"] = (
     f"SELECT email_id, email_text[1:500] AS raw_email, CASE email_type WHEN 'Phishing Email' THEN 'phishing' ELSE 'benign' END AS true_label "
     f"FROM {_SAMPLE} WHERE sample_rank > 20"
 )
+_TERMS = "unnest(regexp_split_to_array(lower({text}), '[^\\p{{L}}\\p{{N}}]+')) AS term"
+ORACLES["tfidf_retrieval"] = (
+    f"WITH kb AS ({ORACLES['fewshot_build']}), "
+    f"kb_terms AS (SELECT id, term, count(*) AS n FROM (SELECT email_id AS id, {_TERMS.format(text='email')} FROM kb) WHERE term <> '' GROUP BY ALL), "
+    f"idf AS (SELECT term, CAST(round(100.0 * (ln((1.0::DOUBLE + (SELECT count(DISTINCT email_id) FROM kb)) / (1.0::DOUBLE + count(*))) + 1.0::DOUBLE)) AS BIGINT) AS idf FROM kb_terms GROUP BY term), "
+    f"weighed AS (SELECT id, term, n * idf AS w FROM kb_terms JOIN idf USING (term)), "
+    f"norms AS (SELECT id, sum(w::HUGEINT * w) AS norm FROM weighed GROUP BY id), "
+    f"own_terms AS (SELECT email_id, term, count(*) AS n FROM (SELECT email_id, {_TERMS.format(text='raw_email')} FROM {EMAILS}) WHERE term <> '' GROUP BY ALL), "
+    f"own AS (SELECT email_id, term, n * idf AS w FROM own_terms JOIN idf USING (term)), "
+    f"own_norms AS (SELECT email_id, sum(w::HUGEINT * w) AS norm FROM own GROUP BY email_id), "
+    f"dots AS (SELECT o.email_id, k.id, sum(o.w::HUGEINT * k.w) AS dot FROM own o JOIN weighed k USING (term) GROUP BY ALL), "
+    f"scored AS (SELECT d.email_id, d.id, dot::DOUBLE / (sqrt(o.norm::DOUBLE) * sqrt(n.norm::DOUBLE)) AS score "
+    f"FROM dots d JOIN own_norms o USING (email_id) JOIN norms n ON n.id = d.id), "
+    f"ranked AS (SELECT *, row_number() OVER (PARTITION BY email_id ORDER BY score DESC, id) AS place FROM scored) "
+    f"SELECT email_id, CAST(place - 1 AS INTEGER) AS rank, id AS kb_id, round(score, 6) AS score FROM ranked WHERE place <= {fixed.TOP_EXAMPLES}"
+)
+ORACLES["embed_plugin"] = (
+    f"SELECT email_id, length(raw_email) AS n_chars, length(regexp_replace(raw_email, '[^0-9]', '', 'g')) AS n_digits, "
+    f"length(raw_email) - length(replace(raw_email, chr(10), '')) AS n_breaks FROM {EMAILS}"
+)
+ORACLES["semantic_large"] = (
+    f"SELECT email_id, count(g.value) AS n_items, md5(coalesce(string_agg(g.type || ':' || g.value, '|' ORDER BY g.item_no), '')) AS items_md5 "
+    f"FROM {EMAILS} m LEFT JOIN ({inputs.LARGE_GAZETTEER_DUCK}) g ON contains(m.raw_email, g.value) GROUP BY email_id"
+)
 ORACLES["resume_pending"] = f"SELECT email_id, true_label FROM {STORED} WHERE error IS NOT NULL"
 ORACLES["stage_log_order"] = (
     f"SELECT *, CASE stage WHEN 'B' THEN 1 WHEN 'A' THEN 2 WHEN 'C' THEN 3 ELSE 99 END AS stage_position, "

@@ -14,7 +14,7 @@ from veilpost.operators import embed as E
 from veilpost.operators import kb as K
 from veilpost.operators import metrics as M
 from veilpost.operators import parse as P
-from veilpost.operators import pii, retrieve, score, semantic
+from veilpost.operators import pii, retrieve, score, semantic, tfidf
 from veilpost.plans import screening as S
 from veilpost.session import fresh_dir
 from veilpost.sources import readers, writers
@@ -149,6 +149,14 @@ def semantic_dictionary(spark, sf_dir):
     )
 
 
+@query
+def semantic_large(spark, sf_dir):
+    """Long words and text passages of all documents as a gazetteer, looked for in every mail."""
+    found = semantic.detect_with_gazetteer(mails(spark, sf_dir), spark.sql(inputs.LARGE_GAZETTEER, documents=inputs.read_table(spark, sf_dir, "documents")), text="raw_email")
+    values = F.transform("semantic_items", lambda i: F.concat_ws(":", i["type"], i["value"]))
+    return found.select("email_id", F.size("semantic_items").cast("long").alias("n_items"), F.md5(F.array_join(values, "|")).alias("items_md5"))
+
+
 def _redacted_with_dictionary(spark, sf_dir):
     return S.redact(
         mails(spark, sf_dir), detect=lambda df: semantic.detect_with_gazetteer(df, gazetteer(spark))
@@ -656,24 +664,32 @@ def knn_top3(spark, sf_dir):
     return _knn(spark, sf_dir, fixed.TOP_EXAMPLES)
 
 
+@query
+def knn_large_kb(spark, sf_dir):
+    """All embeddings as a knowledge base that is visited by balls, each asked for its neighbours."""
+    vectors = inputs.read_table(spark, sf_dir, "embeddings")
+    near = retrieve.nearest(vectors, vectors, fixed.TOP_EXAMPLES, key="vec_id", vector="embedding", kb_id="vec_id", kb_vector="embedding", max_rows=1)
+    return near.select("vec_id", F.posexplode("nearest").alias("rank", "n")).select(
+        "vec_id", "rank", F.col("n.id").alias("kb_id"), F.round("n.distance", 6).alias("distance")
+    )
+
+
 @query
 def tfidf_retrieval(spark, sf_dir):
     """Every mail against the few-shot examples drawn from the labelled mails."""
-    base = mails(spark, sf_dir)
     examples = D.build_fewshot(D.sample_per_class(typed_mails(spark, sf_dir)))
-    model = E.fit_tfidf(base, "raw_email")
-    kb = E.embed_tfidf(examples, model_for(model, "email")).select(F.col("email_id").alias("id"), "vector")
-    near = retrieve.nearest(E.embed_tfidf(base, model), kb, fixed.TOP_EXAMPLES)
-    return near.select("email_id", F.posexplode("nearest").alias("rank", "n")).select(
-        "email_id", "rank", F.col("n.id").alias("kb_id"), F.round("n.distance", 6).alias("distance")
-    )
+    near = tfidf.nearest_texts(mails(spark, sf_dir), tfidf.build_index(examples, "email_id", "email"), fixed.TOP_EXAMPLES)
+    return near.select("email_id", "rank", F.col("id").alias("kb_id"), F.round("score", 6).alias("score"))
 
 
-def model_for(model, text: str):
-    """The same fitted stages reading another text column."""
-    moved = model.copy()
-    moved.stages[0].setInputCol(text)
-    return moved
+@query
+def embed_plugin(spark, sf_dir):
+    """Every mail through a plug-in model: here its length, its digits and its lines."""
+    counts = E.embed_with_model(
+        mails(spark, sf_dir), "raw_email", lambda texts: [[len(t), sum("0" <= c <= "9" for c in t), t.count("\n")] for t in texts]
+    )
+    names = ("n_chars", "n_digits", "n_breaks")
+    return counts.select("email_id", *[F.get("vector", F.lit(i)).cast("long").alias(n) for i, n in enumerate(names)])
 
 
 def technique_table(spark, sf_dir) -> DataFrame:

@@ -1,11 +1,8 @@
 """Matching every mail against a small reference table.
 
-Knowledge bases and gazetteers have tens of rows, mails have billions.  While the reference table
+Knowledge bases and gazetteers often have tens of rows, mails have billions.  While the reference table
 is small enough (rows and bytes are measured first) it travels inside the plan as one constant
-array and the mails are never shuffled.  A larger table is cut into blocks of the same bounded
-size; mails meet every block through an equi-join on block number and salt, each (mail, block) pair
-keeps only its own partial answer, and the partial answers are merged per mail.  Both ways give the
-same rows.
+array and the mails are never shuffled.  Every operator has another way for larger tables, which gives the same rows.
 """
 
 from collections.abc import Callable
@@ -43,61 +40,21 @@ def pack_small(table: DataFrame, order: str, fields: list[str], max_rows: int) -
 def match_entries(
     df: DataFrame,
     table: DataFrame,
-    key: str,
     order: str,
     fields: list[str],
-    partial: Callable[[Column], Column],
-    merge: Callable[[Column], Column],
+    small: Callable[[Column], Column],
+    large: Callable[[], DataFrame],
     out: str,
     max_rows: int = MAX_INLINE_ROWS,
     whole: Callable[[str, str], Column] | None = None,
-    reads: list[str] | None = None,
 ) -> DataFrame:
-    """Add `out = merge(partial(entries))` to every row of `df`.
+    """Add `out = small(entries)` to every row of `df`, or give `large()` if the table is no small one.
 
-    `partial` turns an array of entries into an array of hits; `merge` orders and cuts an array of
-    hits.  `merge(partial(a) ++ partial(b))` must equal `merge(partial(a ++ b))`, which holds for
-    filters and for top-k.  `order` must be unique in `table`.  `whole` may give a
-    faster way to the same answer for a small table, from its JSON text and type.
-
-    `reads` are the columns of `df` that `partial` looks at (all, if not given); only they meet the
-    blocks.  Answers go back by key and a digest of these columns, so rows that share a key, or have
-    none, keep answers of their own.
+    `small` gets the entries as an array ordered by `order`, which is unique in `table`.  `whole` may give a
+    faster way to the same answer, from their JSON text and type.
     """
     packed = pack_small(table, order, fields, max_rows)
-    if packed is not None:
-        answer = whole(*packed) if whole else merge(partial(F.from_json(F.lit(packed[0]), packed[1])))
-        return computed_once(df, **{out: answer})
-
-    # Blocks are cut by a hash of the unique order key, so they come out even; aiming at half the
-    # limit keeps each of them below it.
-    total, volume = table.agg(
-        F.count(F.lit(1)), F.sum(F.octet_length(F.to_json(_entry(order, fields))))
-    ).first()
-    n_blocks = 2 * max(-(-total // max_rows), -(-volume // MAX_INLINE_BYTES))
-    # Together, blocks and salts give every shuffle partition work of its own.
-    salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // n_blocks + 1
-    blocks = (
-        table.groupBy(F.pmod(F.xxhash64(order), F.lit(n_blocks)).cast("int").alias("__block"))
-        .agg(F.sort_array(F.collect_list(_entry(order, fields))).alias("__entries"))
-        .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    )
-    looked_at = [c for c in dict.fromkeys(reads or df.columns)]
-    digest = F.sha2(F.to_json(F.struct(F.col(key).alias("__key"), *looked_at), {"ignoreNullFields": "false"}), 256)
-    spread = (
-        df.select(*looked_at, digest.alias("__row"))
-        .withColumn("__salt", F.pmod(F.xxhash64("__row"), F.lit(salts)).cast("int"))
-        .withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    )
-    # Rows of one digest have the same hits in a block, so any of them stands for all.
-    hits = (
-        spread.join(blocks, ["__block", "__salt"])
-        .select("__row", "__block", merge(partial(F.col("__entries"))).alias("__hits"))
-        .where(F.size("__hits") > 0)
-        .groupBy("__row", "__block")
-        .agg(F.first("__hits").alias("__hits"))
-        .groupBy("__row")
-        .agg(merge(F.flatten(F.collect_list("__hits"))).alias(out))
-    )
-    no_hit = F.coalesce(F.col(out), F.array().cast(hits.schema[out].dataType))
-    return df.withColumn("__row", digest).join(hits, "__row", "left").withColumn(out, no_hit).drop("__row")
+    if packed is None:
+        return large()
+    answer = whole(*packed) if whole else small(F.from_json(F.lit(packed[0]), packed[1]))
+    return computed_once(df, **{out: answer})

@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions.text import once
+from .anchors import match_values
+from .balls import nearest_in_balls
 from .lookup import MAX_INLINE_ROWS, match_entries
+from .stage import computed_once
 
 
 def squared_l2(a: Column, b: Column) -> Column:
@@ -73,7 +76,8 @@ def nearest(
     and vectors of different lengths are no neighbours.
 
     Distances to a small knowledge base are matrix work on Arrow batches: numpy is some hundred
-    times faster at it than lambdas over arrays.
+    times faster at it than lambdas over arrays.  Entries of a large one are visited by balls, as far as
+    the neighbours found so far leave room for nearer ones.
     """
     def complete(v: Column) -> Column:
         return F.when(F.forall(v, lambda x: x.isNotNull()), v.cast("array<double>"))
@@ -86,12 +90,12 @@ def nearest(
     def hit(distance: Column, e: Column) -> Column:
         return F.struct(distance.alias("distance"), e["id"].alias("id"), *[e[c].alias(c) for c in carry])
 
-    def partial(entries: Column) -> Column:
+    def small(entries: Column) -> Column:
         hits = F.transform(entries, lambda e: hit(squared_l2(given, e["kb_vector"]), e))
-        return F.filter(hits, lambda h: h["distance"].isNotNull())
+        return F.slice(F.sort_array(F.filter(hits, lambda h: h["distance"].isNotNull())), 1, k)
 
-    def merge(hits: Column) -> Column:
-        return F.slice(F.sort_array(hits), 1, k)
+    def large() -> DataFrame:
+        return nearest_in_balls(df, table, given, k, out, list(carry))
 
     def whole(text: str, entry_type: str) -> Column:
         centers = [np.array(e["kb_vector"], dtype="float64") for e in json.loads(text)]
@@ -99,9 +103,7 @@ def nearest(
         found = _nearest_of(centers, k)(given)
         return F.transform(found, lambda n: hit(n["distance"], F.get(entries, n["at"])))
 
-    return match_entries(
-        df, table, key, "id", ["kb_vector", *carry], partial, merge, out, max_rows, whole=whole, reads=[vector]
-    )
+    return match_entries(df, table, "id", ["kb_vector", *carry], small, large, out, max_rows, whole=whole)
 
 
 def rank_by_indicators(
@@ -118,7 +120,10 @@ def rank_by_indicators(
     Stands in for vector retrieval where no embedding model is at hand.
     """
 
-    def partial(entries: Column) -> Column:
+    def first(ranked: Column) -> Column:
+        return F.slice(F.sort_array(ranked), 1, k)
+
+    def small(entries: Column) -> Column:
         def rank_in(low: Column) -> Column:
             ranked = F.transform(
                 entries,
@@ -127,14 +132,23 @@ def rank_by_indicators(
                     e["id"].alias("id"),
                 ),
             )
-            return F.filter(ranked, lambda r: r["neg_hits"] < 0)
+            return first(F.filter(ranked, lambda r: r["neg_hits"] < 0))
 
         return once(F.lower(text), rank_in)
 
-    def merge(hits: Column) -> Column:
-        return F.slice(F.sort_array(hits), 1, k)
-
-    ranked = match_entries(df, phrases, key, "id", ["phrases"], partial, merge, out, max_rows, reads=[text])
+    def large() -> DataFrame:
+        """All phrases are looked for in one pass over the text, each with the technique it speaks for."""
+        each = phrases.select("id", F.posexplode("phrases").alias("at", "phrase"))
+        low = computed_once(df, __low=F.lower(text))
+        found = match_values(low, each, "__low", "__hits", ["id", "at", "phrase"], "phrase", key)
+        ids = F.transform("__hits", lambda h: h["id"])
+        counted = F.transform(
+            F.array_distinct(ids),
+            lambda i: F.struct((-F.size(F.filter("__hits", lambda h: h["id"] == i))).alias("neg_hits"), i.alias("id")),
+        )
+        return found.withColumn(out, first(counted)).drop("__low", "__hits")
+
+    ranked = match_entries(df, phrases, "id", ["phrases"], small, large, out, max_rows)
     return ranked.withColumn(
         out, F.transform(out, lambda r: F.struct(r["id"].alias("id"), (-r["neg_hits"]).alias("hits")))
     )

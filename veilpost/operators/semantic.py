@@ -10,6 +10,7 @@ from .. import fixed
 from ..functions import patterns as P
 from ..functions.text import count_literal, longest_first, once, strip
 from ..schemas import FINDING, SEMANTIC_ITEM
+from .anchors import match_values
 from .lookup import MAX_INLINE_ROWS, match_entries
 from .score import replies_or_errors
 from .stage import computed_once
@@ -23,20 +24,23 @@ def detect_with_gazetteer(
     out: str = "semantic_items",
     max_rows: int = MAX_INLINE_ROWS,
 ) -> DataFrame:
-    """Entries of `gazetteer(item_no, type, value)` whose value occurs in the text, by item number."""
+    """Entries of `gazetteer(item_no, type, value)` whose value occurs in the text, by item number.
 
-    def partial(entries: Column) -> Column:
+    Entries without a value, or with an empty one, occur nowhere.  Up to `max_rows` entries are tried one by one; more are
+    met on anchors in one pass over each text.
+    """
+    entries = gazetteer.where(F.octet_length("value") > 0)
+    fields = ["item_no", "type", "value"]
+
+    def small(entries: Column) -> Column:
         return F.filter(entries, lambda e: F.contains(F.col(text), e["value"]))
 
     matched = match_entries(
-        df, gazetteer, key, "item_no", ["type", "value"], partial, F.sort_array, out, max_rows, reads=[text]
-    )
-    return matched.withColumn(
-        out,
-        F.transform(
-            out, lambda e: F.struct(e["type"].alias("type"), e["value"].alias("value"))
-        ).cast(f"array<{SEMANTIC_ITEM}>"),
+        df, entries, "item_no", fields[1:], small, lambda: match_values(df, entries, text, out, fields, "value", key), out, max_rows
     )
+    items = F.transform(out, lambda e: F.struct(e["type"].alias("type"), e["value"].alias("value")))
+    # A text that is missing has no items.
+    return matched.withColumn(out, F.coalesce(items, F.array()).cast(f"array<{SEMANTIC_ITEM}>"))
 
 
 def detect_with_model(
