@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..schemas import GOLDEN
+from .latest import latest
 
 BROADCAST_ROWS = 100_000
 
@@ -28,18 +29,23 @@ def sample_per_class(
     Ranking runs on key and label alone; `rank <= n` lets Spark cut every task to n rows per class
     before the shuffle, so a class with most of the rows is no hot spot.  The texts are read in a
     second pass that keeps only the chosen keys, which are n rows per class at most.
+
+    Rows of one key count once: in the class of greatest name among theirs, with the row of greatest digest.
     """
     rank = F.row_number().over(W.partitionBy(label).orderBy("__order", key))
     chosen = (
         df.where(F.col(label).isin(*classes))
-        .select(key, label, sample_key(F.col(key), seed).alias("__order"))
+        .groupBy(key)
+        .agg(F.max(label).alias(label))
+        .withColumn("__order", sample_key(F.col(key), seed))
         .withColumn("sample_rank", rank)
         .where(F.col("sample_rank") <= n)
-        .select(key, "sample_rank")
+        .select(key, label, "sample_rank")
     )
     if n * len(classes) <= BROADCAST_ROWS:
         chosen = F.broadcast(chosen)
-    return df.join(chosen, key)
+    drawn = df.join(chosen, [key, label]).select(*df.columns, "sample_rank")
+    return latest(drawn, key)
 
 
 def split_sample(sample: DataFrame, first: int = fixed.FEWSHOT_PER_CLASS) -> DataFrame:

@@ -11,6 +11,7 @@ from .. import fixed
 from ..functions import patterns as P
 from ..functions.text import clean_tokens, contains_any, first_filled, once, phrase_hits, strip
 from ..schemas import VERDICT
+from .latest import latest
 from .stage import computed_once
 
 _PHRASES = [phrase for phrase, _ in fixed.SIGNALS]
@@ -243,9 +244,15 @@ def used_fallback(verdict: Column) -> Column:
     )
 
 
-def attach_scores(records: DataFrame, scores: DataFrame, key: str, score: str = "risk_score") -> DataFrame:
-    """Scores back to their records by key; a record without a score gets 0."""
-    found = scores.select(key, F.col(score).alias("__score"))
+def attach_scores(
+    records: DataFrame, scores: DataFrame, key: str, score: str = "risk_score", version: str | None = None
+) -> DataFrame:
+    """Scores back to their records by key; a record without a score gets 0.
+
+    Of several scores of one key the one of greatest `version` counts (of greatest digest, if that leaves a choice).
+    """
+    order = F.col(version) if version else F.lit(0)
+    found = latest(scores.select(key, F.col(score).alias("__score"), order.alias("__version")), key, "__version").drop("__version")
     return records.join(found, key, "left").withColumn(
         "predicted_score", F.coalesce("__score", F.lit(0.0))
     ).drop("__score")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..operators.audit import audit
+from ..operators.latest import latest
 from ..operators.parse import analysis_text, parse_mail
 from ..operators.pii import mask_structured, normalize_privacy, residual_check
 from ..operators.retrieve import example_context, judge_prompt, nearest, technique_context
@@ -127,10 +128,13 @@ def integrate(privacy: DataFrame, verdict: DataFrame, key: str = "email_id") ->
     )
 
 
-def screen_with_stored(df: DataFrame, stored: DataFrame, raw: str = "raw_email", key: str = "email_id") -> DataFrame:
+def screen_with_stored(
+    df: DataFrame, stored: DataFrame, raw: str = "raw_email", key: str = "email_id", version: str | None = None
+) -> DataFrame:
     """Masking now, verdicts from an earlier run.  A stored body wins over the masked text.
 
-    Mails without a stored verdict are judged by the rule, with an error that says so.
+    Of several stored verdicts of one mail the one of greatest `version` counts (of greatest digest, if
+    that leaves a choice).  Mails without a stored verdict are judged by the rule, with an error that says so.
     """
     verdict = F.struct(
         "is_phishing",
@@ -139,7 +143,11 @@ def screen_with_stored(df: DataFrame, stored: DataFrame, raw: str = "raw_email",
         "why_malicious_context",
         "high_risk_tokens",
     )
-    saved = stored.select(key, F.struct("email_body", "sender_domain").alias("__saved"), verdict.alias("__verdict"))
+    order = F.col(version) if version else F.lit(0)
+    saved = latest(
+        stored.select(key, F.struct("email_body", "sender_domain").alias("__saved"), verdict.alias("__verdict"), order.alias("__version")),
+        key, "__version",
+    ).drop("__version")
     private = normalize_privacy(redact(df, raw), fixed.SOURCE_PRIVACY_CACHED, raw)
     missing = F.when(F.col("__verdict").isNull(), F.lit(NO_STORED_VERDICT))
     joined = private.join(saved, key, "left").withColumn(
