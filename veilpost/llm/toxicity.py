@@ -40,8 +40,10 @@ PRIOR = 2.0
 BLOCK = 64
 EVIDENCE = 3
 _SLICE = 512
-#: Queries that go through the index together, and more than single precision can lose of a cosine.
-_TOGETHER, _SLACK = 64, 1e-4
+#: Queries that go through the index together, and what one operation in single precision loses.
+_TOGETHER, _UNIT = 64, 2.0**-23
+#: Postings from which on a list is added by itself.
+_LONG = 48
 
 
 def _terms(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -176,7 +178,7 @@ class Index:
         rare = np.flatnonzero(~often)
         rare = rare[np.argsort(self.terms[rare], kind="stable")]
         self.edges = np.searchsorted(self.terms[rare], np.arange(self.width + 1))
-        self.posting, self.posting_weight = point[rare], self.weights[rare]
+        self.posting, self.posting_weight = point[rare].astype(np.intp), self.weights[rare]
 
     def vector(self, point: int) -> tuple[np.ndarray, np.ndarray]:
         if self.first is None:
@@ -202,26 +204,38 @@ class Index:
         query = np.zeros((len(vectors), self.block_max.shape[0]), np.float32)
         query[row[often], slot[often]] = weight[often]
         row, term, weight = row[~often], term[~often], weight[~often]
-        length = self.edges[term + 1] - self.edges[term]
-        at = _spans(self.edges[term], length)
         blocks = self.block_max.shape[1]
+        cosine = np.zeros((len(vectors), blocks * BLOCK), np.float32)
+        begin, length = self.edges[term], self.edges[term + 1] - self.edges[term]
+        # Long lists one by one, as no point is twice in a list; the many short ones all at once.
+        many = length >= _LONG
+        for r, a, n, w in zip(row[many].tolist(), begin[many].tolist(), length[many].tolist(), weight[many].astype(np.float32)):
+            np.add.at(cosine[r], self.posting[a : a + n], self.posting_weight[a : a + n] * w)
+        row, begin, length, weight = row[~many], begin[~many], length[~many], weight[~many]
+        at = _spans(begin, length)
         cell = np.repeat(row * (blocks * BLOCK), length) + self.posting[at]
-        cosine = np.bincount(cell, self.posting_weight[at] * np.repeat(weight, length), minlength=len(vectors) * blocks * BLOCK)
-        cosine = cosine.astype(np.float32).reshape(len(vectors), blocks, BLOCK)
+        np.add.at(cosine.reshape(-1), cell, self.posting_weight[at] * np.repeat(weight.astype(np.float32), length))
+        cosine = cosine.reshape(len(vectors), blocks, BLOCK)
         # One point of each of k + 1 blocks is as near as this at least.
         most = cosine.max(axis=2)
         least = np.partition(most, blocks - k - 1, axis=1)[:, blocks - k - 1] if blocks > k else np.zeros(len(vectors), np.float32)
-        opened = most + query @ self.block_max + _SLACK >= least[:, None]
+        # All weights are positive, so single precision is off by a share of what is added up.
+        lost = 4 * _UNIT * (np.array([len(t) for t, _ in vectors]) + 16)
+        opened = most + query @ self.block_max >= (least * (1 - lost))[:, None]
         cosine[~opened] = 0
         for block in np.flatnonzero(opened.any(axis=0)):
             asked = np.flatnonzero(opened[:, block])
             cosine[asked, block] += query[asked] @ self.dense[block]
+        if blocks > k:
+            least = np.partition(cosine.max(axis=2), blocks - k - 1, axis=1)[:, blocks - k - 1]
         flat, exact = cosine.reshape(len(vectors), -1), np.zeros(self.width)
-        return [self._ranked(flat[i], exact, *vectors[i], k, without[i]) for i in range(len(vectors))]
+        return [self._ranked(flat[i], float(least[i]), float(1 - lost[i]), exact, *vectors[i], k, without[i]) for i in range(len(vectors))]
 
-    def _ranked(self, rough: np.ndarray, exact: np.ndarray, term: np.ndarray, weight: np.ndarray, k: int, without: int) -> list[tuple[int, float]]:
-        least = np.partition(rough, len(rough) - k - 1)[len(rough) - k - 1] - _SLACK if len(rough) > k else 0.0
-        at = np.flatnonzero((rough > 0) & (rough >= least))
+    def _ranked(self, rough: np.ndarray, least: float, share: float, exact: np.ndarray, term: np.ndarray, weight: np.ndarray, k: int, without: int) -> list[tuple[int, float]]:
+        at = np.flatnonzero(rough >= max(least * share, 1e-30))
+        if len(at) > k:
+            near = rough[at]
+            at = at[near >= np.partition(near, len(near) - k - 1)[len(near) - k - 1] * share]
         if not len(at):
             return []
         length = self.first[at + 1] - self.first[at]
