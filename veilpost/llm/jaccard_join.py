@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .bitmaps import bit_map, marked
 from .components import components
 from .exchange import save
 from .words import mix, shingle_sets, split_words
@@ -227,20 +228,24 @@ def likeness(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
 
 
 def sets_of(docs: DataFrame, ids: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
-    """(doc, members): the full sets of the documents named, ascending."""
+    """(doc, members): the full sets of the documents named, ascending, and of some more.
+
+    Documents are told by a bit map of fixed size where their texts lie, so no text is shuffled.
+    """
+    spark = docs.sparkSession
+    wanted = spark.sparkContext.broadcast(bit_map(ids.distinct().select(F.xxhash64("doc").alias("key"))))
 
     def work(batches):
         for whole in batches:
             for at in range(0, whole.num_rows, _SLICE):
                 batch = whole.slice(at, _SLICE)
-                keys, first = shingle_sets(split_words(batch.column("text")), shingle)
+                keep = pa.array(np.flatnonzero(marked(wanted.value, np.asarray(batch.column("key")).view(np.uint64))))
+                keys, first = shingle_sets(split_words(batch.column("text").take(keep)), shingle)
                 members = pa.array([keys[a:z].tobytes() for a, z in zip(first[:-1], first[1:])], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column("doc"), members], ["doc", "members"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc").take(keep), members], ["doc", "members"])
 
-    rows = docs.select(_number(key).alias("doc"), F.col(text).alias("text"))
-    # The ids grow with the corpus and are never sent to all executors.
-    found = rows.join(ids.distinct().hint("merge"), "doc", "left_semi")
-    return save(found.mapInArrow(work, "doc long, members binary").where(F.octet_length("members") > 0), "sets", "none")
+    rows = docs.select(_number(key).alias("doc"), F.col(text).alias("text")).withColumn("key", F.xxhash64("doc"))
+    return save(rows.mapInArrow(work, "doc long, members binary").where(F.octet_length("members") > 0), "sets", "none")
 
 
 def _may_link(x: str, y: str, percent: int) -> str:

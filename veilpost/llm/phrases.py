@@ -27,14 +27,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .bitmaps import bit_map, marked
 from .exchange import save
 from .words import Words, mix, split_words
 
 #: Leaf rows of a group, and how many groups there are at most; beyond, groups grow.
 BUDGET, MAX_GROUPS = 400_000, 20_000
 _SLICE = 512
-#: Bits of the maps of frequent prefixes.
-MAP_BITS = 26
 #: Distinct leaves that a task holds before it gives them out.
 _HELD = 100_000
 _CUTS = np.zeros(256, bool)
@@ -64,11 +63,6 @@ def _ahead(words: Words) -> np.ndarray:
     return np.repeat(ends[1:], np.diff(ends)) - np.arange(len(cuts))
 
 
-def _marked(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    place = keys >> np.uint64(64 - MAP_BITS)
-    return (bits[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
-
-
 def _leaf_keys(words: Words, lang: np.ndarray, maps: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """(length, key) of the leaf at every word, cut to `depth` words and to what the maps let through.
 
@@ -78,13 +72,13 @@ def _leaf_keys(words: Words, lang: np.ndarray, maps: list[np.ndarray], depth: in
     key = mix(hashes + lang)
     length, best = np.minimum(ahead, 1), key
     for d in range(2, depth + 1):
-        fine = np.append(_marked(maps[d - 2], key), False) if len(maps) > d - 2 else np.ones(len(key) + 1, bool)
+        fine = np.append(marked(maps[d - 2], key), False) if len(maps) > d - 2 else np.ones(len(key) + 1, bool)
         longer = (length == d - 1) & (ahead >= d) & fine[:-1] & fine[1:]
         at = np.flatnonzero(longer)
         grown = np.zeros(len(key), np.uint64)
         grown[at] = mix(key[at] * np.uint64(0x9E3779B97F4A7C15) + hashes[at + d - 1])
         if len(maps) >= d:
-            longer &= _marked(maps[d - 1], grown)
+            longer &= marked(maps[d - 1], grown)
         key = grown
         best = np.where(longer, grown, best)
         length = np.where(longer, d, length)
@@ -168,16 +162,6 @@ def counted_leaves(docs: DataFrame, text: str, lang: str, maps: list[np.ndarray]
     return docs.select(named.alias("lang"), F.col(text).alias("text")).mapInArrow(work, schema)
 
 
-def bit_map(keys: DataFrame) -> np.ndarray:
-    """One bit for every key, by its first bits: 2^MAP_BITS bits, however many keys there are."""
-    placed = keys.select(F.shiftrightunsigned("key", 64 - MAP_BITS).alias("bit"))
-    ones = F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 AS int))"))
-    words = placed.groupBy(F.shiftright("bit", 6).alias("word")).agg(ones.alias("bits")).toArrow()
-    out = np.zeros(1 << (MAP_BITS - 6), np.uint64)
-    out[np.asarray(words.column("word"))] = np.asarray(words.column("bits")).view(np.uint64)
-    return out
-
-
 def _prefix(depth: int | Column) -> Column:
     return F.substring_index("leaf", " ", depth) if isinstance(depth, int) else F.expr("substring_index(leaf, ' ', depth)")
 
