@@ -16,9 +16,9 @@ A list is scanned in three steps, none of which pairs all its documents:
 1. every document meets the least one of the list (the hub) and follows the least hub it links with;
 2. followers of one leader are one group; leaders of different components that share a list meet.  Jaccard distance is
    a metric, so groups farther apart than the radii of both and the limit allow hold no link;
-3. members of what is left meet the other leader, and only if their components still differ, each other, as far as
-   the same bound allows.
-Links are confirmed on full sets.  How often members are met decides about the order, never about links.
+3. members of what is left meet the other leader, and those near enough to it for a link meet each other.
+In 2 and 3 pairs are compared inside of lists by sketches of 1,024 parity bits first, which give a bound on what two sets
+share; only pairs that may link leave the task.  Links are confirmed on full sets.  How often members are met decides about the order, never about links.
 
 Defined results: words are lower-cased (A-Z) runs of bytes other than space and \\x09-\\x0D; a text without
 words is linked with nothing; rows with one number, or without one, are one document; a null number stands after all
@@ -46,6 +46,9 @@ MOST_SMALL = 26
 ENTRY_COST = 4
 #: An n-gram is reported as frequent if a batch holds it in so many documents; so many are put last.
 OFTEN, MAX_OFTEN = 3, 1 << 20
+#: Bits of a sketch, and members of a list that meet in one task.
+SKETCH, CHUNK = 1024, 2048
+_PAIRS = 1 << 19
 _LAST = 2**63 - 1
 _SLICE = 512
 _NEAR = 1e-9
@@ -98,6 +101,17 @@ def _set_sums(keys: np.ndarray, first: np.ndarray, salt: int) -> np.ndarray:
 _SALTS = 0x1234567, 0x7654321
 
 
+def sketches(keys: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A row of SKETCH bits per set: bit i says whether an odd number of members falls there.
+
+    Two sets differ in at least as many members as their sketches differ in bits.
+    """
+    n = len(first) - 1
+    cell = np.repeat(np.arange(n) * SKETCH, np.diff(first)) + (mix(keys) >> np.uint64(64 - SKETCH.bit_length() + 1)).astype(np.int64)
+    odd = (np.bincount(cell, minlength=n * SKETCH) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(n, SKETCH), axis=1).view(np.uint64)
+
+
 def survey(docs: DataFrame, text: str, shingle: int) -> tuple[np.ndarray, np.ndarray, dict[int, int]]:
     """Frequent n-grams (ascending) with their counts, and how many documents have each small size.
 
@@ -131,10 +145,11 @@ def survey(docs: DataFrame, text: str, shingle: int) -> tuple[np.ndarray, np.nda
 
 
 def describe(docs: DataFrame, key: str, text: str, shingle: int, percent: int, most_small: int, often: np.ndarray, counts: np.ndarray) -> DataFrame:
-    """(doc, n, s1, s2, members, prefix) of every row: its size, its set's hashes, a small set's members, a listed set's prefix."""
+    """(doc, n, s1, s2, members, prefix, sketch) of every row: its size, its set's hashes, a small set's members, a listed set's
+    prefix and sketch."""
     known = docs.sparkSession.sparkContext.broadcast((often, counts))
     least = least_listed(most_small, percent)
-    schema = "doc long, n long, s1 long, s2 long, members binary, prefix binary"
+    schema = "doc long, n long, s1 long, s2 long, members binary, prefix binary, sketch binary"
 
     def work(batches):
         often, counts = known.value
@@ -145,6 +160,7 @@ def describe(docs: DataFrame, key: str, text: str, shingle: int, percent: int, m
                 size = np.diff(first)
                 s1, s2 = (_signed(mix(_set_sums(keys, first, salt))) for salt in _SALTS)
                 members = [keys[a:z].tobytes() if z - a <= most_small else None for a, z in zip(first[:-1], first[1:])]
+                sketch = sketches(keys, first)
                 if len(often):
                     place = np.minimum(np.searchsorted(often, keys), len(often) - 1)
                     met = np.where(often[place] == keys, counts[place], 0)
@@ -152,8 +168,9 @@ def describe(docs: DataFrame, key: str, text: str, shingle: int, percent: int, m
                     keys = keys[order]
                 ends = first[:-1] + prefix_length(size, percent)
                 prefix = [keys[a:z].tobytes() if n >= least else None for a, z, n in zip(first[:-1], ends, size)]
-                columns = [batch.column("doc"), pa.array(size.astype(np.int64)), s1, s2, pa.array(members, pa.binary()), pa.array(prefix, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["doc", "n", "s1", "s2", "members", "prefix"])
+                sketch = [row.tobytes() if n >= least else None for row, n in zip(sketch, size)]
+                columns = [batch.column("doc"), pa.array(size.astype(np.int64)), s1, s2, *(pa.array(c, pa.binary()) for c in (members, prefix, sketch))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc", "n", "s1", "s2", "members", "prefix", "sketch"])
 
     return docs.select(_number(key).alias("doc"), F.col(text).alias("text")).mapInArrow(work, schema)
 
@@ -253,6 +270,73 @@ def _may_link(x: str, y: str, percent: int) -> str:
     return f"{100 + percent} * least({x}left, {y}left) >= {percent} * ({x}n + {y}n)"
 
 
+def _pairs_of(last: np.ndarray):
+    """(i, j) of all rows i < j up to last[i], some at a time."""
+    n = last - np.arange(len(last))
+    ends = np.cumsum(n)
+    begin = 0
+    while begin < len(n):
+        end = max(begin + 1, int(np.searchsorted(ends, ends[begin] - n[begin] + _PAIRS, side="right")))
+        i = np.repeat(np.arange(begin, end), n[begin:end])
+        yield i, i + 1 + np.arange(len(i)) - np.repeat(ends[begin:end] - n[begin:end] - (ends[begin] - n[begin]), n[begin:end])
+        begin = end
+
+
+def near_in_lists(groups: DataFrame, percent: int) -> DataFrame:
+    """(a, b): leaders that share a list, are of different components, and may have members that link.
+
+    `groups` is (gram, leader, component, n, left, own, radius, sketch).  What sizes, places and sketches rule out is never given
+    out.  A list of more than CHUNK leaders is cut into chunks, each pair of which meets in a task of its own.
+    """
+    held = groups.groupBy("gram").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    dealt = groups.join(held.select("gram", "chunks"), "gram").withColumn("part", F.pmod(F.xxhash64("leader"), "chunks").cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    dealt = dealt.withColumn("first", F.least("part", "other")).withColumn("second", F.greatest("part", "other")).drop("other", "chunks")
+    key = ["gram", "first", "second"]
+    limit = 1 - percent / 100 + _NEAR
+
+    def meet(table: pa.Table):
+        names = ("leader", "component", "n", "left", "own", "radius", "part", *key)
+        leader, component, n, left, own, radius, part, gram, one, two = (np.asarray(table.column(c)) for c in names)
+        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(len(n), -1)
+        new = np.ones(len(n), bool)
+        new[1:] = (gram[1:] != gram[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+        edge = np.append(np.flatnonzero(new), len(n))
+        last = np.repeat(edge[1:], np.diff(edge)) - 1
+        for i, j in _pairs_of(last):
+            fine = (component[i] != component[j]) & (leader[i] != leader[j]) & ((one[i] == two[i]) | (part[i] != part[j]))
+            fine &= (100 + percent) * np.minimum(left[i], left[j]) >= percent * (n[i] + n[j])
+            i, j = i[fine], j[fine]
+            # What the leaders share at most, and what they share at least if members of theirs link.
+            differ = np.bitwise_count(sketch[i] ^ sketch[j]).sum(axis=1, dtype=np.int64)
+            both = own[i] + own[j]
+            like = np.maximum(0.0, 1 - limit - radius[i] - radius[j])
+            fine = (both - differ) / 2 >= like / (1 + like) * both - 1e-6
+            i, j = i[fine], j[fine]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(leader[i], leader[j])), pa.array(np.maximum(leader[i], leader[j]))], ["a", "b"])
+
+    def work(batches):
+        # Rows come by list; the last list of a batch may go on in the next one.
+        kept = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = pa.concat_tables([kept, table]) if kept is not None else table
+            if not table.num_rows:
+                continue
+            ids = [np.asarray(table.column(c)) for c in key]
+            other = np.zeros(table.num_rows, bool)
+            for c in ids:
+                other |= c != c[-1]
+            whole = int(np.flatnonzero(other)[-1]) + 1 if other.any() else 0
+            kept = table.slice(whole)
+            if whole:
+                yield from meet(table.slice(0, whole))
+        if kept is not None and kept.num_rows:
+            yield from meet(kept)
+
+    return dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(work, "a long, b long").distinct()
+
+
 def large_links(classes: DataFrame, docs: DataFrame, key: str, text: str, shingle: int, percent: int, known: DataFrame) -> DataFrame:
     """(a, b): links that hold together, with those `known`, all links of which one set is large."""
     limit = 1 - percent / 100 + _NEAR
@@ -280,13 +364,13 @@ def large_links(classes: DataFrame, docs: DataFrame, key: str, text: str, shingl
     placed = save(placed.join(mixed, "gram"), "placed")
     if placed.isEmpty():
         return links
+    radius = save(follow.groupBy("leader").agg(F.max("away").alias("radius")), "radius")
+    drawn = classes.where("sketch is not null").select(F.col("doc").alias("leader"), F.col("n").alias("own"), "sketch")
     groups = placed.groupBy("gram", "leader").agg(F.min("component").alias("component"), F.min("n").alias("n"), F.max("left").alias("left"))
-    one, other = groups.alias("x"), groups.alias("y")
-    near = one.join(other, F.col("x.gram") == F.col("y.gram")).where("x.leader < y.leader AND x.component <> y.component AND " + _may_link("x.", "y.", percent))
-    near = near.select(F.col("x.leader").alias("a"), F.col("y.leader").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
+    groups = groups.join(drawn, "leader").join(radius, "leader", "left").na.fill(0.0, ["radius"])
+    near = near_in_lists(groups, percent).join(first, ["a", "b"], "left_anti")
     met = save(likeness(near, sets, shingle, percent).unionByName(met.where("NOT linked")), "leaders-met")
     links = links.union(met.where("linked").select("a", "b"))
-    radius = save(follow.groupBy("leader").agg(F.max("away").alias("radius")), "radius")
     if radius.isEmpty():
         return links
 
@@ -306,20 +390,18 @@ def large_links(classes: DataFrame, docs: DataFrame, key: str, text: str, shingl
     if close.isEmpty():
         return links
 
-    # 3. Members of close groups meet the other leader, then each other.
+    # 3. Members of close groups meet the other leader; those that reach it meet each other, as groups of their own.
     sides = close.select(F.col("a").alias("leader"), F.col("b").alias("across"), F.col("at_b").alias("reach")).union(close.select("b", "a", "at_a"))
     members = follow.select("doc", "leader").union(sides.select(F.col("leader").alias("doc"), "leader").distinct())
-    asked = sides.join(members, "leader").select("leader", "across", "reach", "doc")
+    asked = sides.join(members, "leader").select("across", "reach", "doc")
     across = save(likeness(asked.select(F.col("across").alias("a"), F.col("doc").alias("b")).distinct(), sets, shingle, percent), "across")
     links = links.union(across.where("linked").select("a", "b"))
     asked = asked.join(across.select(F.col("a").alias("across"), F.col("b").alias("doc"), "distance"), ["across", "doc"])
-    asked = save(asked.where(f"distance <= {limit} + reach").select("leader", "across", "doc"), "reaching")
-    lists = placed.select("gram", "doc", "n", "left")
-    one = asked.join(lists, "doc").alias("x")
-    other = asked.join(lists, "doc").alias("y")
-    same = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.across") == F.col("y.leader")) & (F.col("x.leader") == F.col("y.across"))
-    last = one.join(other, same).where("x.doc < y.doc AND " + _may_link("x.", "y.", percent))
-    last = apart(last.select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct(), links)
+    reaching = asked.where(f"distance <= {limit} + reach").select("doc").union(sides.select(F.col("leader").alias("doc"))).distinct()
+    now = components(links).withColumnRenamed("node", "doc")
+    single = placed.select("gram", "doc", "n", "left").join(reaching, "doc").join(now, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+    single = single.withColumnRenamed("doc", "leader").join(drawn, "leader").withColumn("radius", F.lit(0.0))
+    last = near_in_lists(single, percent)
     return links.union(likeness(last, sets, shingle, percent).where("linked").select("a", "b"))
 
 
@@ -329,7 +411,7 @@ def join_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
     most_small = boundary(sizes, percent)
     rows = save(describe(docs, key, text, shingle, percent, most_small, often, counts), "described")
     classes = save(
-        rows.where("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc").alias("doc"), F.min("members").alias("members"), F.min("prefix").alias("prefix")),
+        rows.where("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc").alias("doc"), F.min("members").alias("members"), F.min("prefix").alias("prefix"), F.min("sketch").alias("sketch")),
         "classes",
     )
     class_of = classes.select("s1", "s2", "n", F.col("doc").alias("class"))
