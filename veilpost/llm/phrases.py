@@ -4,11 +4,10 @@ Every word of a text begins a suffix, cut after `depth` words or at the end of i
 level by level, by 64-bit hash: one of d words is counted only if its own first and last d - 1 words occur `least`
 times.  The prefixes that occur so often are known to all tasks by a bit map of fixed size per level, which may let too
 much through but keeps nothing out.  A suffix cut to its longest such prefix is a leaf.  Tasks count equal leaves before
-anything is shuffled.
+anything is shuffled, and each leaf goes on once, with its total.
 
 Leaves are dealt by prefix (vertical partitioning): a first word of at most BUDGET leaf rows is a prefix of its own, a
-more frequent one is split by its second word, and so on down to whole leaves, which hold one row per task at
-most.  Prefixes are dealt to groups by hash, with some BUDGET rows a group.  Each group sorts its leaves, which
+more frequent one is split by its second word, and so on down to whole leaves, which are one row each.  Prefixes are dealt to groups by hash, with some BUDGET rows a group.  Each group sorts its leaves, which
 is its subtree in order, and reads every node's count from the leaves below it.  Only nodes above a split
 prefix are added up over groups.
 
@@ -230,7 +229,8 @@ def count_phrases(docs: DataFrame, depth: int, least: int, text: str = "text", l
     for d in range(2, depth + 1):
         counted = counted_leaves(docs, text, lang, maps, d, False).groupBy("key").agg(F.sum("n").alias("n"))
         maps.append(bit_map(counted.where(F.col("n") >= least)))
-    rows = save(counted_leaves(docs, text, lang, maps, depth, True).drop("key"), "leaves")
+    leaves = counted_leaves(docs, text, lang, maps, depth, True).groupBy("lang", "leaf").agg(F.sum("n").alias("n"))
+    rows = save(leaves, "leaves")
     dealt, groups = grouped(rows, depth, budget)
     nodes = (
         dealt.repartition(groups, "group").groupBy("group")
