@@ -6,6 +6,7 @@ from pyspark.sql.types import StructType
 
 from .. import schemas
 from ..operators.datasets import first_rows
+from .json_array import read_json_arrays
 
 
 def read_spread(spark: SparkSession, path: str, key: str) -> DataFrame:
@@ -20,8 +21,8 @@ def read_spread(spark: SparkSession, path: str, key: str) -> DataFrame:
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType, array_file: bool = False) -> DataFrame:
-    """JSON lines, or with `array_file` files holding one JSON array each (not splittable)."""
-    return spark.read.schema(schema).option("multiLine", array_file).json(path)
+    """JSON lines, or with `array_file` files holding one JSON array each, in several tasks per file."""
+    return read_json_arrays(spark, path, schema) if array_file else spark.read.schema(schema).json(path)
 
 
 def read_labelled_mails(spark: SparkSession, path: str, array_file: bool = True) -> DataFrame:
