@@ -105,6 +105,9 @@ def test_links(mixed):
 def test_any_boundary_gives_the_same_links(mixed, monkeypatch):
     docs, want = mixed
     monkeypatch.setattr(jaccard_join, "boundary", lambda sizes, percent: 8)
+    # Every list by sketches, and cut into chunks.
+    monkeypatch.setattr(jaccard_join, "FEW", 1)
+    monkeypatch.setattr(jaccard_join, "CHUNK", 5)
     assert answers(jaccard_join.join_documents(docs)) == want
 
 

@@ -17,8 +17,8 @@ A list is scanned in three steps, none of which pairs all its documents:
 2. followers of one leader are one group; leaders of different components that share a list meet.  Jaccard distance is
    a metric, so groups farther apart than the radii of both and the limit allow hold no link;
 3. members of what is left meet the other leader, and those near enough to it for a link meet each other.
-In 2 and 3 pairs are compared inside of lists by sketches of 1,024 parity bits first, which give a bound on what two sets
-share; only pairs that may link leave the task.  Links are confirmed on full sets.  How often members are met decides about the order, never about links.
+In 2 and 3 pairs of long lists are compared inside of tasks by sketches of 1,024 parity bits first, which give a bound on
+what two sets share; only pairs that may link leave the task.  Links are confirmed on full sets.  How often members are met decides about the order, never about links.
 
 Defined results: words are lower-cased (A-Z) runs of bytes other than space and \\x09-\\x0D; a text without
 words is linked with nothing; rows with one number, or without one, are one document; a null number stands after all
@@ -46,8 +46,8 @@ MOST_SMALL = 26
 ENTRY_COST = 4
 #: An n-gram is reported as frequent if a batch holds it in so many documents; so many are put last.
 OFTEN, MAX_OFTEN = 3, 1 << 20
-#: Bits of a sketch, and members of a list that meet in one task.
-SKETCH, CHUNK = 1024, 2048
+#: Leaders of a list that are joined without sketches; bits of a sketch; leaders of a list that meet in one task.
+FEW, SKETCH, CHUNK = 16, 1024, 2048
 _PAIRS = 1 << 19
 _LAST = 2**63 - 1
 _SLICE = 512
@@ -282,14 +282,28 @@ def _pairs_of(last: np.ndarray):
         begin = end
 
 
-def near_in_lists(groups: DataFrame, percent: int) -> DataFrame:
+def near_in_lists(groups: DataFrame, drawn: DataFrame, percent: int) -> DataFrame:
     """(a, b): leaders that share a list, are of different components, and may have members that link.
 
-    `groups` is (gram, leader, component, n, left, own, radius, sketch).  What sizes, places and sketches rule out is never given
-    out.  A list of more than CHUNK leaders is cut into chunks, each pair of which meets in a task of its own.
+    `groups` is (gram, leader, component, n, left, radius), `drawn` (leader, own, sketch).  Leaders of lists of up to FEW are joined, as
+    far as sizes and places allow.  In longer lists sketches are compared too, and what they rule out is never given out.
     """
-    held = groups.groupBy("gram").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    dealt = groups.join(held.select("gram", "chunks"), "gram").withColumn("part", F.pmod(F.xxhash64("leader"), "chunks").cast("int"))
+    held = groups.groupBy("gram").agg(F.count(F.lit(1)).alias("held"), F.min("component").alias("low"), F.max("component").alias("high"))
+    held = save(held.where("low < high").select("gram", "held"), "held")
+    few = groups.join(held.where(f"held <= {FEW}").select("gram"), "gram").drop("radius")
+    one, other = few.alias("x"), few.alias("y")
+    met = one.join(other, F.col("x.gram") == F.col("y.gram")).where("x.leader < y.leader AND x.component <> y.component AND " + _may_link("x.", "y.", percent))
+    met = met.select(F.col("x.leader").alias("a"), F.col("y.leader").alias("b"))
+    many = save(groups.join(held.where(f"held > {FEW}"), "gram"), "long-lists")
+    if many.isEmpty():
+        return met.distinct()
+    return met.union(_near_by_sketch(many.join(drawn, "leader"), percent)).distinct()
+
+
+def _near_by_sketch(groups: DataFrame, percent: int) -> DataFrame:
+    """Pairs of leaders of long lists.  One of more than CHUNK is cut into chunks, each pair of which meets in a task of its own."""
+    chunks = F.ceil(F.col("held") / CHUNK).cast("int")
+    dealt = groups.withColumn("chunks", chunks).drop("held").withColumn("part", F.pmod(F.xxhash64("leader"), "chunks").cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     dealt = dealt.withColumn("first", F.least("part", "other")).withColumn("second", F.greatest("part", "other")).drop("other", "chunks")
     key = ["gram", "first", "second"]
@@ -334,7 +348,7 @@ def near_in_lists(groups: DataFrame, percent: int) -> DataFrame:
         if kept is not None and kept.num_rows:
             yield from meet(kept)
 
-    return dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(work, "a long, b long").distinct()
+    return dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(work, "a long, b long")
 
 
 def large_links(classes: DataFrame, docs: DataFrame, key: str, text: str, shingle: int, percent: int, known: DataFrame) -> DataFrame:
@@ -367,8 +381,8 @@ def large_links(classes: DataFrame, docs: DataFrame, key: str, text: str, shingl
     radius = save(follow.groupBy("leader").agg(F.max("away").alias("radius")), "radius")
     drawn = classes.where("sketch is not null").select(F.col("doc").alias("leader"), F.col("n").alias("own"), "sketch")
     groups = placed.groupBy("gram", "leader").agg(F.min("component").alias("component"), F.min("n").alias("n"), F.max("left").alias("left"))
-    groups = groups.join(drawn, "leader").join(radius, "leader", "left").na.fill(0.0, ["radius"])
-    near = near_in_lists(groups, percent).join(first, ["a", "b"], "left_anti")
+    groups = save(groups.join(radius, "leader", "left").na.fill(0.0, ["radius"]), "groups")
+    near = near_in_lists(groups, drawn, percent).join(first, ["a", "b"], "left_anti")
     met = save(likeness(near, sets, shingle, percent).unionByName(met.where("NOT linked")), "leaders-met")
     links = links.union(met.where("linked").select("a", "b"))
     if radius.isEmpty():
@@ -400,8 +414,8 @@ def large_links(classes: DataFrame, docs: DataFrame, key: str, text: str, shingl
     reaching = asked.where(f"distance <= {limit} + reach").select("doc").union(sides.select(F.col("leader").alias("doc"))).distinct()
     now = components(links).withColumnRenamed("node", "doc")
     single = placed.select("gram", "doc", "n", "left").join(reaching, "doc").join(now, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-    single = single.withColumnRenamed("doc", "leader").join(drawn, "leader").withColumn("radius", F.lit(0.0))
-    last = near_in_lists(single, percent)
+    single = save(single.withColumnRenamed("doc", "leader").withColumn("radius", F.lit(0.0)), "reaching-lists")
+    last = near_in_lists(single, drawn, percent)
     return links.union(likeness(last, sets, shingle, percent).where("linked").select("a", "b"))
 
 
