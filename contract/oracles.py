@@ -778,6 +778,14 @@ ORACLES["semantic_large"] = (
     f"SELECT email_id, count(g.value) AS n_items, md5(coalesce(string_agg(g.type || ':' || g.value, '|' ORDER BY g.item_no), '')) AS items_md5 "
     f"FROM {EMAILS} m LEFT JOIN ({inputs.LARGE_GAZETTEER_DUCK}) g ON contains(m.raw_email, g.value) GROUP BY email_id"
 )
+ORACLES["kb_upsert_stored"] = ORACLES["kb_upsert"]
+ORACLES["alpha_sweep_merged"] = ORACLES["alpha_sweep"]
+ORACLES["pr_curve_merged"] = ORACLES["pr_curve"]
+ORACLES["scan_labelled"] = f"SELECT md5(raw_email) AS mail_md5, length(raw_email) AS n_chars, true_label FROM {EMAILS}"
+ORACLES["scan_techniques"] = (
+    f"SELECT id, name, md5(description) AS description_md5, CAST(NULL AS VARCHAR) AS indicators FROM ({inputs.duck(inputs.TECHNIQUE_VIEW)})"
+)
+ORACLES["scan_examples"] = f"SELECT email, label, technique, reason FROM ({ORACLES['fewshot_build']})"
 ORACLES["resume_pending"] = f"SELECT email_id, true_label FROM {STORED} WHERE error IS NOT NULL"
 ORACLES["stage_log_order"] = (
     f"SELECT *, CASE stage WHEN 'B' THEN 1 WHEN 'A' THEN 2 WHEN 'C' THEN 3 ELSE 99 END AS stage_position, "

@@ -15,9 +15,11 @@ from veilpost.operators import kb as K
 from veilpost.operators import metrics as M
 from veilpost.operators import parse as P
 from veilpost.operators import pii, retrieve, score, semantic, tfidf
+from veilpost.operators.kb_store import KbStore
 from veilpost.plans import screening as S
 from veilpost.session import fresh_dir
 from veilpost.sources import readers, writers
+from veilpost.sources.json_array import write_json_arrays
 from veilpost.streaming.incremental import mail_stream, screen_available
 
 from . import inputs
@@ -634,6 +636,27 @@ def pr_curve(spark, sf_dir):
     return M.pr_curve(labelled_scores(spark, sf_dir))
 
 
+def _merged_counts(spark, sf_dir):
+    """Counts of two halves of the mails, each stored by a run of its own, then merged."""
+    states = []
+    for half in (0, 1):
+        path = fresh_dir(spark, "score-counts")
+        part = labelled_scores(spark, sf_dir).where(F.col("email_id") % 2 == half)
+        M.score_counts(part).write.parquet(path)
+        states.append(spark.read.parquet(path))
+    return M.merge_counts(*states)
+
+
+@query
+def alpha_sweep_merged(spark, sf_dir):
+    return M.alpha_sweep_from(_merged_counts(spark, sf_dir))
+
+
+@query
+def pr_curve_merged(spark, sf_dir):
+    return M.pr_curve_from(_merged_counts(spark, sf_dir))
+
+
 @query
 def operating_point(spark, sf_dir):
     return M.metrics_at(labelled_scores(spark, sf_dir), fixed.ALPHA_DEFAULT).select("alpha", "precision", "recall")
@@ -734,6 +757,28 @@ def kb_upsert(spark, sf_dir):
     return K.upsert(current, incoming)
 
 
+@query
+def kb_upsert_stored(spark, sf_dir):
+    """The same upsert into a stored knowledge base, in three rounds, read back from its buckets."""
+    documents = inputs.read_table(spark, sf_dir, "documents")
+    pages = inputs.read_table(spark, sf_dir, "pages")
+    rounds = [
+        documents.select(F.col("source").alias("id"), (F.col("doc_id") * 2).alias("version"), F.md5("text").alias("payload")),
+        *[
+            pages.where(F.col("page_id") % 2 == half).select(
+                F.concat(F.lit("src"), (F.col("page_id") % 25).cast("string")).alias("id"),
+                (F.col("page_id") * 14 + 1).alias("version"),
+                F.col("url").alias("payload"),
+            )
+            for half in (0, 1)
+        ],
+    ]
+    store = KbStore(spark, fresh_dir(spark, "kb"), rounds[0].schema, buckets=8)
+    for rows in rounds:
+        store.upsert(rows)
+    return store.read()
+
+
 def _with_techniques(spark, sf_dir, k=fixed.TOP_TECHNIQUES) -> DataFrame:
     kb = K.custom_indicators(spark).withColumnRenamed("custom", "indicators")
     return retrieve.rank_by_indicators(
@@ -861,6 +906,33 @@ def sink_roundtrip_json(spark, sf_dir):
     return back.withColumn("high_risk_tokens", joined("high_risk_tokens"))
 
 
+def _array_files(spark, rows: DataFrame) -> str:
+    path = fresh_dir(spark, "arrays")
+    write_json_arrays(rows, path)
+    return path
+
+
+@query
+def scan_labelled(spark, sf_dir):
+    """Labelled mails as array files, read back in several tasks a file."""
+    path = _array_files(spark, mails(spark, sf_dir).select("raw_email", "true_label").coalesce(2))
+    back = readers.read_labelled_mails(spark, path)
+    return back.select(F.md5("raw_email").alias("mail_md5"), F.length("raw_email").cast("long").alias("n_chars"), "true_label")
+
+
+@query
+def scan_techniques(spark, sf_dir):
+    rows = technique_table(spark, sf_dir).select("id", "name", "description", F.lit(None).cast("string").alias("indicators"))
+    back = readers.read_techniques(spark, _array_files(spark, rows.coalesce(2)))
+    return back.select("id", "name", F.md5("description").alias("description_md5"), "indicators")
+
+
+@query
+def scan_examples(spark, sf_dir):
+    examples = D.build_fewshot(D.sample_per_class(typed_mails(spark, sf_dir)))
+    return readers.read_examples(spark, _array_files(spark, examples.drop("email_id")))
+
+
 @query
 def sink_roundtrip_csv(spark, sf_dir):
     path = fresh_dir(spark, "csv")

@@ -4,6 +4,8 @@ Every metric starts from an aggregate with partial sums, so what is shuffled dep
 of thresholds or distinct scores, not on the number of mails.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -145,7 +147,11 @@ def alpha_sweep(
     per_step = df.groupBy(threshold_step(F.col(score), steps).alias("step")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
-    every_step = df.sparkSession.range(-1, steps + 1).withColumnRenamed("id", "step")
+    return _sweep(per_step, steps)
+
+
+def _sweep(per_step: DataFrame, steps: int) -> DataFrame:
+    every_step = per_step.sparkSession.range(-1, steps + 1).withColumnRenamed("id", "step")
     from_above = W.orderBy(F.desc("step"))
     overall = W.orderBy(F.desc("step")).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     counted = (
@@ -173,6 +179,25 @@ def alpha_sweep(
     )
 
 
+def score_counts(df: DataFrame, label: str = "label", score: str = "predicted_score") -> DataFrame:
+    """(score, pos, neg, n): how many mails have each score.  All that thresholds need to know; see `merge_counts`."""
+    return df.groupBy(F.col(score).cast("double").alias("score")).agg(
+        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"), F.count(F.lit(1)).alias("n")
+    )
+
+
+def merge_counts(*states: DataFrame) -> DataFrame:
+    """Counts of all mails from the stored counts of parts that have no mail in common; no mail is read again."""
+    both = reduce(DataFrame.unionByName, states)
+    return both.groupBy("score").agg(*[F.sum(c).alias(c) for c in ("pos", "neg", "n")])
+
+
+def alpha_sweep_from(counts: DataFrame, steps: int = fixed.ALPHA_STEPS) -> DataFrame:
+    """`alpha_sweep` of the mails behind `score_counts`."""
+    per_step = counts.groupBy(threshold_step(F.col("score"), steps).alias("step")).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    return _sweep(per_step, steps)
+
+
 def pr_curve(
     df: DataFrame, label: str = "label", score: str = "predicted_score", ranges: int = 64
 ) -> DataFrame:
@@ -189,9 +214,20 @@ def pr_curve(
     per_score = df.where(reached).groupBy(F.col(score).alias("threshold")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count(F.lit(1)).alias("n")
     )
-    counts = fresh_dir(df.sparkSession, "scores")
+    return _curve(per_score, ranges)
+
+
+def pr_curve_from(counts: DataFrame, ranges: int = 64) -> DataFrame:
+    """`pr_curve` of the mails behind `score_counts`."""
+    reached = F.col("score").isNotNull() & ~F.isnan("score")
+    return _curve(counts.where(reached).select(F.col("score").alias("threshold"), "pos", "n"), ranges)
+
+
+def _curve(per_score: DataFrame, ranges: int) -> DataFrame:
+    spark = per_score.sparkSession
+    counts = fresh_dir(spark, "scores")
     per_score.write.parquet(counts)
-    per_score = df.sparkSession.read.parquet(counts)
+    per_score = spark.read.parquet(counts)
     shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges + 1)])
     cuts = per_score.agg(F.percentile_approx("threshold", shares).alias("cuts")).scalar()
     # The place a score takes among the sorted cuts is its range; equal scores take equal places.
@@ -222,7 +258,7 @@ def pr_curve(
             F.when(F.col("__all_pos") > 0, F.col("tp") / F.col("__all_pos")).otherwise(F.lit(1.0)).alias("recall"),
         )
     )
-    end = df.sparkSession.range(1).select(
+    end = spark.range(1).select(
         F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall")
     )
     return points.unionByName(end)
