@@ -478,6 +478,8 @@ ORACLES["apply_overrides"] = (
     f"SELECT email_id, is_phishing, CASE WHEN is_phishing AND email_id % 17 = 0 THEN 'SUPPRESSED' WHEN is_phishing THEN 'ALERT' ELSE 'NONE' END AS action FROM {RULED}"
 )
 
+ORACLES["override_stream"] = ORACLES["apply_overrides"]
+
 # --- audit -------------------------------------------------------------------------------------
 
 ORACLES["perturb"] = f"SELECT email_id, {perturbed('raw_email', clean('high_risk_tokens'))} AS perturbed_text FROM {STORED}"

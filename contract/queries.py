@@ -21,6 +21,7 @@ from veilpost.session import fresh_dir
 from veilpost.sources import readers, writers
 from veilpost.sources.json_array import write_json_arrays
 from veilpost.streaming.incremental import mail_stream, screen_available
+from veilpost.streaming.overrides import current_actions, override_changes, write_changes
 
 from . import inputs
 
@@ -500,6 +501,24 @@ def apply_overrides(spark, sf_dir):
     return score.apply_overrides(verdicts, overrides).select("email_id", "verdict.is_phishing", "action")
 
 
+@query
+def override_stream(spark, sf_dir):
+    """Verdicts and approvals as two streams that arrive in turns, over two runs, one of them after a restart."""
+    judged = ruled(spark, sf_dir).select("email_id", (F.lit(1_700_000_000) + F.col("email_id")).cast("timestamp").alias("at"), "is_phishing")
+    approvals = judged.select("email_id", "at", (F.col("email_id") % 17 == 0).alias("approved"))
+    folders = {name: fresh_dir(spark, name) for name in ("judged", "approvals", "changes", "changes-checkpoint")}
+    streams = [
+        spark.readStream.schema(df.schema).parquet(f"{folders[name]}/*") for name, df in (("judged", judged), ("approvals", approvals))
+    ]
+    changes = override_changes(*streams)
+    # Half of the mails are judged before they are approved, the others after.
+    for turn in (0, 1):
+        judged.where(F.col("email_id") % 2 == turn).write.parquet(f"{folders['judged']}/{turn}")
+        approvals.where(F.col("email_id") % 2 == 1 - turn).write.parquet(f"{folders['approvals']}/{turn}")
+        write_changes(changes, folders["changes"], folders["changes-checkpoint"]).awaitTermination()
+    return current_actions(spark.read.parquet(folders["changes"]))
+
+
 # --- audit -------------------------------------------------------------------------------------
 
 
