@@ -42,15 +42,17 @@ EVIDENCE = 3
 _SLICE = 512
 #: Queries that go through the index together, and what one operation in single precision loses.
 _TOGETHER, _UNIT = 64, 2.0**-23
-#: Postings from which on a list is added by itself.
-_LONG = 48
 
 
 def _terms(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, term, count) of every distinct term of every text; terms are hashes of lower-cased words."""
     words = split_words(column, IS_SIGN)
     hashes, doc = words.hashes(lower=True), words.doc_of_word()
-    order = np.lexsort((hashes, doc))
+    # Documents of a slice have nine bits, so document and the first bits of the hash sort as one number.
+    if len(words.counts) <= _SLICE:
+        order = np.argsort((doc.astype(np.uint64) << np.uint64(55)) | (hashes >> np.uint64(9)))
+    else:
+        order = np.lexsort((hashes, doc))
     hashes, doc = hashes[order], doc[order]
     new = np.ones(len(doc), bool)
     new[1:] = (hashes[1:] != hashes[:-1]) | (doc[1:] != doc[:-1])
@@ -127,12 +129,6 @@ def _name(terms: np.ndarray, weights: np.ndarray) -> bytes:
     return hashlib.blake2b(terms.tobytes() + weights.tobytes(), digest_size=16).digest() if len(terms) else b""
 
 
-def _spans(first: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """Places of runs that begin at `first`, one after the other."""
-    ends = np.cumsum(length)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + length, length)
-
-
 @dataclass
 class Index:
     """Block-max index over points, given as (ascending term numbers, weights)."""
@@ -206,15 +202,13 @@ class Index:
         row, term, weight = row[~often], term[~often], weight[~often]
         blocks = self.block_max.shape[1]
         cosine = np.zeros((len(vectors), blocks * BLOCK), np.float32)
-        begin, length = self.edges[term], self.edges[term + 1] - self.edges[term]
-        # Long lists one by one, as no point is twice in a list; the many short ones all at once.
-        many = length >= _LONG
-        for r, a, n, w in zip(row[many].tolist(), begin[many].tolist(), length[many].tolist(), weight[many].astype(np.float32)):
-            np.add.at(cosine[r], self.posting[a : a + n], self.posting_weight[a : a + n] * w)
-        row, begin, length, weight = row[~many], begin[~many], length[~many], weight[~many]
-        at = _spans(begin, length)
-        cell = np.repeat(row * (blocks * BLOCK), length) + self.posting[at]
-        np.add.at(cosine.reshape(-1), cell, self.posting_weight[at] * np.repeat(weight.astype(np.float32), length))
+        first, begin, end = np.searchsorted(row, np.arange(len(vectors) + 1)), self.edges[term], self.edges[term + 1]
+        for i, (a, z) in enumerate(zip(first[:-1], first[1:])):
+            lists = [slice(x, y) for x, y in zip(begin[a:z].tolist(), end[a:z].tolist())]
+            if lists:
+                point = np.concatenate([self.posting[x] for x in lists])
+                added = np.concatenate([self.posting_weight[x] for x in lists]) * np.repeat(weight[a:z], end[a:z] - begin[a:z])
+                cosine[i] = np.bincount(point, added, blocks * BLOCK)
         cosine = cosine.reshape(len(vectors), blocks, BLOCK)
         # One point of each of k + 1 blocks is as near as this at least.
         most = cosine.max(axis=2)
@@ -239,16 +233,18 @@ class Index:
         if not len(at):
             return []
         length = self.first[at + 1] - self.first[at]
-        places = _spans(self.first[at], length)
+        held = [slice(x, x + n) for x, n in zip(self.first[at].tolist(), length.tolist())]
         exact[term] = weight
-        cosine = np.round(np.add.reduceat(exact[self.terms[places]] * self.weights[places], np.cumsum(length) - length), 9)
+        product = exact[np.concatenate([self.terms[x] for x in held])] * np.concatenate([self.weights[x] for x in held])
         exact[term] = 0
+        cosine = np.round(np.add.reduceat(product, np.cumsum(length) - length), 9)
+        order = np.lexsort((at, -cosine))
         out, have, last = [], 0, 0.0
-        for i in np.lexsort((at, -cosine)):
-            if have >= k and cosine[i] < last or cosine[i] <= 0:
+        for point, near, n in zip(at[order].tolist(), cosine[order].tolist(), self.n[at[order]].tolist()):
+            if have >= k and near < last or near <= 0:
                 break
-            out.append((int(at[i]), float(cosine[i])))
-            have, last = have + self.n[at[i]] - (at[i] == without), cosine[i]
+            out.append((point, near))
+            have, last = have + n - (point == without), near
         return out
 
 
