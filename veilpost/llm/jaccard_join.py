@@ -355,13 +355,17 @@ def large_links(classes: DataFrame, docs: DataFrame, key: str, text: str, shingl
     """(a, b): links that hold together, with those `known`, all links of which one set is large."""
     limit = 1 - percent / 100 + _NEAR
     rows = entries(classes)
-    hubs = rows.groupBy("gram").agg(F.min(F.struct("doc", "n", "left")).alias("hub"), F.count(F.lit(1)).alias("held")).where("held > 1").drop("held")
+    hubs = rows.groupBy("gram").agg(
+        F.min(F.struct("doc", "n", "left")).alias("hub"), F.count(F.lit(1)).alias("held"), F.min("n").alias("least_n"), F.max("left").alias("most_left")
+    ).where("held > 1")
     listed = save(rows.join(hubs, "gram"), "lists")
     first = listed.where("doc <> hub.doc AND " + _may_link("", "hub.", percent)).select(F.col("hub.doc").alias("a"), F.col("doc").alias("b")).distinct()
 
     # 1. Stars.  A number with several sets neither leads nor follows, as its distances are no metric.
     first = save(first, "first-pairs")
-    sets = sets_of(docs, listed.select("doc").union(listed.select("hub.doc")), key, text, shingle)
+    # A list of two has no other pair than this one; in longer ones the least size and the most that is left tell who has none.
+    rest = listed.where(f"held > 2 AND {100 + percent} * least(left, most_left) >= {percent} * (n + least_n)").select("doc")
+    sets = sets_of(docs, first.select(F.col("a").alias("doc")).union(first.select("b")).union(rest), key, text, shingle)
     met = save(likeness(first, sets, shingle, percent), "first-met")
     several = classes.groupBy("doc").agg(F.count(F.lit(1)).alias("held")).where("held > 1").select("doc")
     single = met.where("linked").join(several.withColumnRenamed("doc", "a"), "a", "left_anti").join(several.withColumnRenamed("doc", "b"), "b", "left_anti")
