@@ -115,10 +115,10 @@ SELECT * FROM (VALUES
 """
 
 
-# Some ten thousands of entries: all words of six characters or more that all documents have, and a passage of each document.
+# Some ten thousands of entries: all words of ten characters or more that all documents have, and a passage of each document.
 _LARGE_VALUES = """
 SELECT md5(type || ':' || value) AS item_no, type, value FROM (
-  SELECT DISTINCT 'WORD' AS type, word AS value FROM ({words}) AS w WHERE length(word) >= 6
+  SELECT DISTINCT 'WORD' AS type, word AS value FROM ({words}) AS w WHERE length(word) >= 10
   UNION ALL
   SELECT DISTINCT 'PASSAGE', substring(text, 31, 80) FROM {documents} WHERE length(text) >= 110
 ) AS v
