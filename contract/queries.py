@@ -20,7 +20,7 @@ from veilpost.plans import screening as S
 from veilpost.session import fresh_dir
 from veilpost.sources import readers, writers
 from veilpost.sources.json_array import write_json_arrays
-from veilpost.streaming.incremental import mail_stream, screen_available
+from veilpost.streaming.incremental import mail_stream, screen_available, table_files
 from veilpost.streaming.overrides import current_actions, override_changes, write_changes
 
 from . import inputs
@@ -437,12 +437,12 @@ def screen_keep_domain(spark, sf_dir):
 @query
 def screen_stream(spark, sf_dir):
     """The same screening as a file stream that stops when all files are done."""
-    schema = spark.read.parquet(f"{sf_dir}/documents.parquet").schema
-    stream = mail_stream(spark, sf_dir, schema, name_glob="documents.parquet")
+    path = f"{sf_dir}/documents.parquet"
+    stream = mail_stream(spark, table_files(path), spark.read.parquet(path).schema)
     arriving = stream.select(F.col("doc_id").alias("email_id"), F.col("text").alias("raw_email"))
     out = fresh_dir(spark, "stream")
-    screen_available(arriving, f"{out}/data", f"{out}/checkpoint").awaitTermination()
-    return _flat_screen(spark.read.parquet(f"{out}/data"))
+    screen_available(arriving, f"{out}/data", f"{out}/checkpoint", lambda arrived: _flat_screen(S.screen(arrived))).awaitTermination()
+    return spark.read.parquet(f"{out}/data")
 
 
 @query

@@ -4,6 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from contract.queries import QUERIES
 from veilpost.operators.datasets import pending
 from veilpost.plans.screening import screen
 from veilpost.sources import readers, writers
@@ -70,3 +71,14 @@ def test_stream_takes_up_where_it_stopped(spark, sf_dir, tmp_path):
     second.write.mode("append").parquet(str(source))
     pick = ["email_id", "privacy.masked_email", "verdict.risk_score", "audit.status"]
     assert sorted(run().select(*pick).collect()) == sorted(screen(mails).select(*pick).collect())
+
+
+def test_screen_stream_reads_a_table_of_part_files(spark, tmp_path):
+    rows = [(i, f"Subject: a{i}\n\nwrite to a{i}@b.example", "en", "web", 9) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartition(3).write.parquet(str(tmp_path / "parts" / "documents.parquet"))
+    docs.coalesce(1).write.parquet(str(tmp_path / "one"))
+    (tmp_path / "file").mkdir()
+    next((tmp_path / "one").glob("part-*.parquet")).rename(tmp_path / "file" / "documents.parquet")
+    got = [sorted(QUERIES["screen_stream"](spark, str(tmp_path / d)).select("email_id", "masked_email").collect()) for d in ("parts", "file")]
+    assert got[0] == got[1] and [r.email_id for r in got[0]] == list(range(6))

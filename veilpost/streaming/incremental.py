@@ -17,6 +17,7 @@ def mail_stream(
     files_per_batch: int = 1_000,
     name_glob: str | None = None,
 ) -> DataFrame:
+    """Files below `path`, which may be a folder, or a glob such as `table_files` gives."""
     reader = (
         spark.readStream.format(file_format).schema(schema).option("maxFilesPerTrigger", files_per_batch)
     )
@@ -25,6 +26,14 @@ def mail_stream(
     return reader.load(path)
 
 
+def table_files(path: str) -> str:
+    """A glob for one table of a folder, be it a file or a folder of part files.
+
+    A file cannot be the path of a stream, and a filter on names does not see the folder that part files lie in.
+    """
+    return f"{path[:-1]}[{path[-1]}]"
+
+
 def screen_available(
     mails: DataFrame,
     out: str,
