@@ -47,6 +47,25 @@ def test_long_values_give_out_few_anchors():
     assert given[4] < 0.3 * given[3] and given[5] < 0.08 * given[3]
 
 
+def test_short_values_and_near_copies_share_no_anchors():
+    """Values made of few syllables, and variants of one passage, are told apart before they are joined."""
+    r = random.Random(8)
+    syllables = ["tion", "er", "and", "the", "on", "ou", "st"]
+    short = {"".join(r.choice(syllables) for _ in range(6))[:n] for n in (10, 12, 14) for _ in range(2_000)}
+    long = {"a passage that all of the copies have in common " + "".join(r.choice("abc") for _ in range(40)) for _ in range(500)}
+    for values, most in ((short, 1), (long, 60)):
+        assert np.unique(anchors.Anchored.of(pa.array(sorted(values))).anchor, return_counts=True)[1].max() <= most
+
+
+def test_all_lengths_of_a_joined_gazetteer_are_looked_for(spark):
+    """More distinct lengths than levels have, of which none may be left out."""
+    values = [f"{i:03d}" + "x" * i for i in range(150)]
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "item_no int, value string")
+    df = spark.createDataFrame([(i, f"- {v} -") for i, v in enumerate(values)], "email_id int, body string")
+    got = anchors.match_values(df, table, "body", "found", ["item_no", "value"], "value", "email_id", 0).collect()
+    assert {(x.email_id, e.item_no) for x in got for e in x.found} >= {(i, i) for i in range(150)}
+
+
 @pytest.mark.parametrize("max_bytes", [anchors.MAX_BYTES, 0])
 def test_both_ways_to_a_large_gazetteer(spark, max_bytes):
     values = random_values(n=300)

@@ -1,12 +1,13 @@
 """Values of a large gazetteer in texts: one pass over each text, met on anchors.
 
-An anchor of a value is the byte n-gram of least hash in it.  Long values have long n-grams, and of these
-a text gives out only those that are least in some window that fits into the value; so wherever the value
-occurs, its anchor is given out, and the work on a text does not depend on how many values there are.
+A value of up to EXACT bytes is its own anchor: many short values share any n-gram that is shorter than they are.  The anchor of a longer
+one is the byte n-gram of least hash in it, and a text gives out only those that are least in some window that fits into
+the value; the longest ones have it with as many steps of bytes around it as they hold, as near copies share n-grams.  So wherever the value occurs, its anchor is given out, and the work on a text does not depend on how many
+values there are, only on how many short lengths occur.
 
 A gazetteer of at most MAX_BYTES (measured first) goes to the executors as sorted anchors; hits are compared
 with the values where the text lies, and nothing is shuffled.  A larger one is met by equi-join: texts give
-out (row, anchor) pairs, a filter of fixed size lets those go that no value has, and what is joined is compared
+out (row, anchor) pairs, a filter of some bits per value lets those go that no value has, and what is joined is compared
 with the text at the end.  Both ways give the same rows.
 """
 
@@ -20,10 +21,16 @@ from pyspark.sql.types import ArrayType, StructField, StructType
 
 from ..session import fresh_dir, ship_package
 
-#: (n-gram length, window): values use the last level that they are long enough for, n-gram + window - 1 bytes.
-LEVELS = ((1, 1), (2, 1), (3, 1), (4, 1), (8, 8), (24, 32))
+EXACT = 22
+#: (n-gram length, window): one level for every length up to EXACT, one for those below the next, one for the rest.
+LEVELS = ((1, 1), (2, 1), (3, 1), (4, 1), (8, 8), (24, 32), (16, 8), *((n, 1) for n in range(5, EXACT + 1)))
+_LEVEL_OF = np.array([-1, 0, 1, 2, 3, *range(7, 7 + EXACT - 4), *[6] * (55 - EXACT - 1), 5])
+#: Values of the last level have their n-gram with up to so many steps of so many bytes before and after it.
+_LAST, _STEP, _STEPS = 5, 16, 3
 MAX_BYTES = 64 << 20
-FILTER_BITS = 24
+#: Bits of the filter per value at least, bits of it at most (as a power of two), and what its places are made with.
+FILTER_SHARE, FILTER_MOST = 24, 30
+_PROBES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
 _SLICE = 256
 _MULT = 0x9E3779B97F4A7C15
 _powers: dict[bool, np.ndarray] = {}
@@ -68,8 +75,33 @@ def _bytes_of(column) -> tuple[np.ndarray, np.ndarray]:
 
 
 def level_of(length: np.ndarray) -> np.ndarray:
-    least = np.array([gram + window - 1 for gram, window in LEVELS])
-    return np.searchsorted(least, length, side="right") - 1
+    return _LEVEL_OF[np.minimum(length, len(_LEVEL_OF) - 1)]
+
+
+def _power_for(n: int) -> int:
+    """Size of the filter for n anchors, as a power of two."""
+    return min(FILTER_MOST, max(10, int(np.ceil(np.log2(max(1, n) * FILTER_SHARE)))))
+
+
+def _probes(anchors: np.ndarray, power: int):
+    for factor in _PROBES:
+        yield (anchors * np.uint64(factor)) >> np.uint64(64 - power)
+
+
+def _filter_of(anchors: np.ndarray) -> np.ndarray:
+    words = np.zeros(1 << (_power_for(len(anchors)) - 6), np.uint64)
+    for place in _probes(anchors, _power_for(len(anchors))):
+        np.bitwise_or.at(words, place >> np.uint64(6), np.uint64(1) << (place & np.uint64(63)))
+    return words
+
+
+def _passing(words: np.ndarray, anchors: np.ndarray) -> np.ndarray:
+    """Places of the anchors that the filter may hold."""
+    power, kept = len(words).bit_length() + 5, np.arange(len(anchors))
+    for factor in _PROBES:
+        place = (anchors[kept] * np.uint64(factor)) >> np.uint64(64 - power)
+        kept = kept[(words[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1]
+    return kept
 
 
 def _spread(values: np.ndarray, window: int, pick) -> np.ndarray:
@@ -81,10 +113,25 @@ def _spread(values: np.ndarray, window: int, pick) -> np.ndarray:
     return values
 
 
-def text_anchors(data: np.ndarray, places: np.ndarray, levels: list[int]):
-    """Per level: (level, byte place, hash) of what texts give out, without n-grams that cross rows."""
+def _around(sums: np.ndarray, at: np.ndarray, gram: int, before, after) -> np.ndarray:
+    """Anchors of the last level at these places, with steps of bytes before and after."""
+    code = np.asarray(_LAST + 64 * (1 + before * (_STEPS + 1) + after)).astype(np.uint64)
+    return _stretch(sums, at - _STEP * before, gram + _STEP * (before + after)) ^ code
+
+
+def _given(row: np.ndarray, words: np.ndarray | None, at: np.ndarray, before: int, after: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and anchors that the filter may hold and whose bytes lie in one row."""
+    if words is not None:
+        kept = _passing(words, hashes)
+        at, hashes = at[kept], hashes[kept]
+    inside = row[at - before] == row[at + after - 1]
+    return at[inside], hashes[inside]
+
+
+def text_anchors(data: np.ndarray, places: np.ndarray, levels: list[int], words: np.ndarray | None = None):
+    """Per level: (level, byte place, hash) of what texts give out and the filter `words` may hold, without n-grams that cross rows."""
     sums = _running(data)
-    row = np.repeat(np.arange(len(places) - 1), np.diff(places))
+    row = np.repeat(np.arange(len(places) - 1, dtype=np.int32), np.diff(places))
     for level in levels:
         gram, window = LEVELS[level]
         if len(data) < gram:
@@ -99,8 +146,12 @@ def text_anchors(data: np.ndarray, places: np.ndarray, levels: list[int]):
             edge = np.zeros(window - 1, np.uint64)
             most = _spread(np.concatenate([edge, least, edge]), window, np.maximum)
             at = np.flatnonzero(most == hashes)
-        at = at[row[at] == row[at + gram - 1]]
-        yield level, at, hashes[at] ^ np.uint64(level)
+        if level == _LAST:
+            for before, after in np.ndindex(_STEPS + 1, _STEPS + 1):
+                fits = (at >= _STEP * before) & (at + gram + _STEP * after <= len(data))
+                yield level, *_given(row, words, at[fits], _STEP * before, gram + _STEP * after, _around(sums, at[fits], gram, before, after))
+        else:
+            yield level, *_given(row, words, at, 0, gram, hashes[at] ^ np.uint64(level))
 
 
 @dataclass
@@ -112,6 +163,7 @@ class Anchored:
     length: np.ndarray
     whole: np.ndarray
     entry: np.ndarray
+    words: np.ndarray | None = None
 
     @classmethod
     def of(cls, values) -> "Anchored":
@@ -133,6 +185,9 @@ class Anchored:
             head = np.unique(owner, return_index=True)[1]
             anchor[mine] = least ^ np.uint64(level)
             offset[mine] = at[hit[head]] - places[mine]
+            if level == _LAST:
+                before, after = (np.minimum(_STEPS, room // _STEP) for room in (offset[mine], length[mine] - offset[mine] - gram))
+                anchor[mine] = _around(sums, places[mine] + offset[mine], gram, before, after)
         whole = _stretch(sums, places[:-1], length)
         order = np.lexsort((length, anchor))
         order = order[length[order] > 0]
@@ -146,7 +201,9 @@ class Anchored:
         data, places = _bytes_of(column)
         rows, entries, sums = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], _running(data)
         row_of = np.repeat(np.arange(len(places) - 1), np.diff(places))
-        for _, at, hashes in text_anchors(data, places, levels):
+        if self.words is None:
+            self.words = _filter_of(self.anchor)
+        for _, at, hashes in text_anchors(data, places, levels, self.words):
             low, high = np.searchsorted(self.anchor, hashes, "left"), np.searchsorted(self.anchor, hashes, "right")
             met = np.flatnonzero(high > low)
             n = (high - low)[met]
@@ -206,14 +263,21 @@ def _by_join(df: DataFrame, table: DataFrame, key: str, text: str, out: str, fie
     path = fresh_dir(spark, "anchors")
     named.mapInArrow(anchored, StructType([*named.schema.fields]).add("__anchor", "long")).write.parquet(path)
     entries = spark.read.parquet(path)
-    longest = [r[0] for r in named.select(F.octet_length(value).alias("n")).groupBy("n").agg(F.lit(1)).where("n > 0").limit(LEVELS[-1][0] + LEVELS[-1][1]).collect()]
-    levels = np.unique(level_of(np.array(longest, np.int64))).tolist() if longest else []
-    # One bit per anchor: at most 2^FILTER_BITS / 64 numbers, however many values there are.
-    placed = entries.select(F.shiftrightunsigned("__anchor", 64 - FILTER_BITS).alias("bit"))
+    some = F.least(F.octet_length(value), F.lit(len(_LEVEL_OF) - 1)).alias("n")
+    lengths = [r[0] for r in named.select(some).where("n > 0").distinct().collect()]  # the lengths of _LEVEL_OF at most
+    levels = np.unique(level_of(np.array(lengths, np.int64))).tolist() if lengths else []
+    power = _power_for(entries.count())
+
+    def placed(batches):
+        for batch in batches:
+            place = np.concatenate([*_probes(np.asarray(batch.column(0)).view(np.uint64), power)])
+            yield pa.RecordBatch.from_arrays([pa.array(place.view(np.int64))], ["bit"])
+
+    bits = entries.select("__anchor").mapInArrow(placed, "bit long")
     ones = F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 AS int))"))
-    words = placed.groupBy(F.shiftright("bit", 6).alias("word")).agg(ones.alias("bits")).toArrow()
-    passing = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
-    passing[np.asarray(words.column("word"))] = np.asarray(words.column("bits")).view(np.uint64)
+    held = bits.groupBy(F.shiftright("bit", 6).alias("word")).agg(ones.alias("bits")).toArrow()  # 2^FILTER_MOST / 64 numbers at most
+    passing = np.zeros(1 << (power - 6), np.uint64)
+    passing[np.asarray(held.column("word"))] = np.asarray(held.column("bits")).view(np.uint64)
     shared = spark.sparkContext.broadcast(passing)
 
     def given(batches):
@@ -223,17 +287,20 @@ def _by_join(df: DataFrame, table: DataFrame, key: str, text: str, out: str, fie
                 batch = whole.slice(begin, _SLICE)
                 data, places = _bytes_of(batch.column("text"))
                 rows, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-                for _, at, found in text_anchors(data, places, levels):
-                    place = found >> np.uint64(64 - FILTER_BITS)
-                    kept = (passing[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
-                    rows.append(np.searchsorted(places, at[kept], side="right") - 1)
-                    hashes.append(found[kept])
-                pairs = np.unique(np.stack([np.concatenate(rows).astype(np.uint64), np.concatenate(hashes)]), axis=1)
-                row = batch.column("row").take(pa.array(pairs[0].astype(np.int64)))
-                yield pa.RecordBatch.from_arrays([row, pa.array(pairs[1].view(np.int64))], ["__row", "__anchor"])
-
-    digest = F.sha2(F.to_json(F.struct(F.col(key).alias("__key"), F.col(text).alias("__text")), {"ignoreNullFields": "false"}), 256)
-    asked = df.select(digest.alias("row"), F.col(text).alias("text")).mapInArrow(given, "__row string, __anchor long").distinct()
+                for _, at, found in text_anchors(data, places, levels, passing):
+                    rows.append(np.searchsorted(places, at, side="right") - 1)
+                    hashes.append(found)
+                row, found = np.concatenate(rows), np.concatenate(hashes)
+                order = np.lexsort((found, row))
+                row, found = row[order], found[order]
+                new = np.ones(len(row), bool)
+                new[1:] = (row[1:] != row[:-1]) | (found[1:] != found[:-1])
+                names = batch.column("row").take(pa.array(row[new]))
+                yield pa.RecordBatch.from_arrays([names, pa.array(found[new].view(np.int64))], ["__row", "__anchor"])
+
+    named_row = F.to_json(F.struct(F.col(key).alias("__key"), F.col(text).alias("__text")), {"ignoreNullFields": "false"})
+    digest = F.substring(F.unhex(F.sha2(named_row, 256)), 1, 16)
+    asked = df.select(digest.alias("row"), F.col(text).alias("text")).mapInArrow(given, "__row binary, __anchor long")
     hits = asked.join(entries, "__anchor").groupBy("__row").agg(F.sort_array(F.collect_set(F.struct(*fields))).alias("__hits"))
     met = df.drop(out).withColumn("__row", digest).join(hits, "__row", "left")
     inside = F.filter(F.coalesce("__hits", F.array().cast(hits.schema["__hits"].dataType)), lambda e: F.contains(F.col(text), e[value]))
