@@ -934,7 +934,7 @@ def _array_files(spark, rows: DataFrame) -> str:
 @query
 def scan_labelled(spark, sf_dir):
     """Labelled mails as array files, read back in several tasks a file."""
-    path = _array_files(spark, mails(spark, sf_dir).select("raw_email", "true_label").coalesce(2))
+    path = _array_files(spark, mails(spark, sf_dir).select("raw_email", "true_label"))
     back = readers.read_labelled_mails(spark, path)
     return back.select(F.md5("raw_email").alias("mail_md5"), F.length("raw_email").cast("long").alias("n_chars"), "true_label")
 
@@ -942,7 +942,7 @@ def scan_labelled(spark, sf_dir):
 @query
 def scan_techniques(spark, sf_dir):
     rows = technique_table(spark, sf_dir).select("id", "name", "description", F.lit(None).cast("string").alias("indicators"))
-    back = readers.read_techniques(spark, _array_files(spark, rows.coalesce(2)))
+    back = readers.read_techniques(spark, _array_files(spark, rows))
     return back.select("id", "name", F.md5("description").alias("description_md5"), "indicators")
 
 

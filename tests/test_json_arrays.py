@@ -5,6 +5,7 @@ import random
 
 import pytest
 
+from contract import queries
 from veilpost import schemas
 from veilpost.sources import readers
 from veilpost.sources.json_array import read_json_arrays, write_json_arrays
@@ -62,3 +63,11 @@ def test_readers_of_array_files(spark, tmp_path):
     assert sorted((r.raw_email, r.true_label) for r in got.collect()) == [("a } b", "benign"), ("c", None)]
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         readers.read_techniques(spark, str(tmp_path / "none.json"))
+
+
+@pytest.mark.parametrize("name", ["scan_labelled", "scan_techniques"])
+def test_array_files_are_written_by_as_many_tasks_as_read_the_mails(spark, sf_dir, monkeypatch, name):
+    tasks = []
+    monkeypatch.setattr(queries, "write_json_arrays", lambda rows, path: (tasks.append(rows.rdd.getNumPartitions()), write_json_arrays(rows, path)))
+    assert queries.QUERIES[name](spark, sf_dir).count() == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+    assert tasks == [4]
