@@ -177,6 +177,30 @@ def test_tfidf_is_exact(spark):
     assert sorted(map(tuple, got.collect())) == plain_tfidf(kb, mails, 3)
 
 
+@pytest.mark.parametrize("local_rows", [tfidf.LOCAL_ROWS, 3])
+def test_both_ways_to_an_index(spark, monkeypatch, local_rows):
+    monkeypatch.setattr(tfidf, "LOCAL_ROWS", local_rows)
+    r = random.Random(9)
+    kb = [(i, " ".join(r.choice("abcdefgh") for _ in range(9))) for i in range(9)]
+    # Rows of one key are one text; rows without a key are left out.
+    mails = [(i % 20, " ".join(r.choice("abcdxyz") for _ in range(12))) for i in range(30)]
+    index = tfidf.build_index(spark.createDataFrame(kb, "id int, text string"))
+    got = tfidf.nearest_texts(spark.createDataFrame([*mails, (None, "a b")], "email_id int, raw_email string").repartition(3), index, 4)
+    whole = {}
+    for key, text in mails:
+        whole[key] = f"{whole.get(key, '')} {text}"
+    assert sorted(map(tuple, got.collect())) == plain_tfidf(kb, whole.items(), 4)
+
+
+def test_texts_meet_a_small_index_before_they_are_shuffled(spark):
+    index = tfidf.build_index(spark.createDataFrame([(1, "a b")], "id int, text string"))
+    mails = spark.createDataFrame([(i, f"a x{i}") for i in range(50)], "email_id int, raw_email string")
+    plan = tfidf.nearest_texts(mails, index, 3)._jdf.queryExecution().executedPlan().toString()
+    # Read from the end: the first shuffle is of terms that met the index, the second brings them together by text.
+    assert plan.count("Exchange hashpartitioning") == 2, plan
+    assert "BroadcastHashJoin" in plan.split("Exchange hashpartitioning")[-1]
+
+
 def test_tfidf_of_nothing(spark):
     empty = spark.createDataFrame([], "id int, text string")
     mails = spark.createDataFrame([(1, "a")], "email_id int, raw_email string")
