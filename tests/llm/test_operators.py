@@ -383,3 +383,22 @@ def test_cached_chunks_are_the_tokenizers_ids():
     texts = ["".join(pick.choice("ab'st \n\t1é.,   \x1c") for _ in range(pick.randint(0, 60))) for _ in range(3000)] + ["<|endoftext|> x", " a", "\na", "a\n", "a \n b"]
     for t in texts:
         assert np.frombuffer(own.text(t), "<u2").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_toxicity_is_fitted_without_the_examples_on_the_driver(spark, monkeypatch):
+    """Words and vectors of examples reach the driver as one line per word and as packed parts, never as rows of an example."""
+    from pyspark.sql import DataFrame
+
+    rows = [(i, f"{'nasty' if i % 4 == 0 else 'kind'} " + " ".join(f"w{(i * 7 + j) % 211}" for j in range(100)) + f" own{i}") for i in range(300)]
+    docs = spark.createDataFrame([*rows, (300, rows[0][1]), (None, rows[1][1])], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(301)], "doc_id long, toxic int")
+    got, to_arrow = [], DataFrame.toArrow
+    monkeypatch.setattr(DataFrame, "toArrow", lambda self: got.append(to_arrow(self)) or got[-1])
+    scorer = toxicity.fit(docs, labels, F.lit(True))
+    assert not any({"counts", "text"} & set(table.column_names) for table in got)
+    assert sum(table.nbytes for table in got) < 300 * 101 * 8 / 4
+    assert scorer.index is None
+    index = scorer.shared.value.index
+    assert index.n.sum() == 300 and index.toxic.sum() == 75 and sorted(index.ids) == sorted(set(index.ids))
+    by = {r.doc_id: r for r in toxicity.score_documents(docs, scorer).collect()}
+    assert by[0].score == by[300].score and by[1].score == by[None].score and by[0].score > by[1].score

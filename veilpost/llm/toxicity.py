@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
 
-from .exchange import pack_ints, unpack_ints
+from .exchange import pack_ints, save, unpack_ints
 from .words import IS_SIGN, split_words
 
 MAX_EXAMPLES = 20_000
@@ -145,17 +145,14 @@ class Index:
         self.points = range(len(self.lengths))
         self.first = None
 
-    def __getstate__(self):
-        """Packed, as it goes to every executor; what follows from it is built there."""
-        steps = np.diff(self.terms.view(np.uint32), prepend=np.uint32(0))
-        return self.n, self.toxic, self.ids, self.lengths, pack_ints(steps), pack_ints(self.weights.view(np.uint32))
-
-    def __setstate__(self, state):
-        self.n, self.toxic, self.ids, self.lengths, steps, weights = state
-        self.terms = np.cumsum(unpack_ints(steps).astype(np.uint32), dtype=np.uint32).view(np.int32)
-        self.weights = unpack_ints(weights).astype(np.uint32).view(np.float32)
-        self.points = range(len(self.lengths))
-        self.first = None
+    @staticmethod
+    def unpacked(n: np.ndarray, toxic: np.ndarray, ids: list, lengths: np.ndarray, parts: list[tuple[bytes, bytes]]) -> "Index":
+        """The index over packed points; what follows from them is built where it is asked first."""
+        index = Index([], n, toxic, ids)
+        index.lengths, index.points = lengths, range(len(lengths))
+        if parts:
+            index.terms, index.weights = (np.concatenate(x) for x in zip(*(_unpack_vectors(*part) for part in parts)))
+        return index
 
     def _build(self):
         lengths = self.lengths
@@ -248,6 +245,28 @@ class Index:
         return out
 
 
+def _pack_vectors(terms: np.ndarray, weights: np.ndarray) -> tuple[bytes, bytes]:
+    return pack_ints(np.diff(terms.view(np.uint32), prepend=np.uint32(0))), pack_ints(weights.view(np.uint32))
+
+
+def _unpack_vectors(steps: bytes, weights: bytes) -> tuple[np.ndarray, np.ndarray]:
+    terms = np.cumsum(unpack_ints(steps).astype(np.uint32), dtype=np.uint32).view(np.int32)
+    return terms, unpack_ints(weights).astype(np.uint32).view(np.float32)
+
+
+class Packed:
+    """Points as the driver passes them on: parts in order, opened in tasks only, where they become an `Index`."""
+
+    def __init__(self, table: pa.Table):
+        self.n, self.toxic = (np.array([x for part in table.column(c).to_pylist() for x in part], float) for c in ("n", "toxic"))
+        self.ids = [x for part in table.column("ids").to_pylist() for x in part]
+        self.lengths = np.array([x for part in table.column("lengths").to_pylist() for x in part], np.int64)
+        self.parts = list(zip(table.column("terms").to_pylist(), table.column("weights").to_pylist()))
+
+    def __reduce__(self):
+        return Index.unpacked, (self.n, self.toxic, self.ids, self.lengths, self.parts)
+
+
 def _pool_adjacent(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Monotone least-squares fit of y on x: the steps' places and heights."""
     stack: list[list[float]] = []
@@ -309,8 +328,8 @@ class Scorer:
         return [self.known[name] for name in names]
 
 
-def _bags(examples: DataFrame, key: str) -> pa.Table:
-    """(id, toxic, terms, counts) of every example, the words as packed numbers."""
+def _bags(examples: DataFrame, key: str) -> DataFrame:
+    """(id, toxic, terms, counts) of every example, the words as packed numbers; saved, as they are read more than once."""
 
     def bags(batches):
         for whole in batches:
@@ -323,47 +342,94 @@ def _bags(examples: DataFrame, key: str) -> pa.Table:
                 yield pa.RecordBatch.from_arrays(columns, ["id", "toxic", "terms", "counts"])
 
     schema = "id long, toxic int, terms binary, counts binary"
-    return examples.select(key, "text", "toxic").mapInArrow(bags, schema).toArrow()  # MAX_EXAMPLES at most
+    return save(examples.select(key, "text", "toxic").mapInArrow(bags, schema), "examples")
 
 
-def _unpacked(column: pa.ChunkedArray, kind) -> tuple[np.ndarray, np.ndarray]:
+def _unpacked(column: pa.Array, kind) -> tuple[np.ndarray, np.ndarray]:
     """The numbers of all rows of a packed column, and how many each row has."""
     rows = column.to_pylist()
     lengths = np.array([len(r) for r in rows], np.int64) // np.dtype(kind).itemsize
     return np.frombuffer(b"".join(rows), kind), lengths
 
 
+def _slices(batches):
+    for whole in batches:
+        for at in range(0, whole.num_rows, _SLICE):
+            yield whole.slice(at, _SLICE)
+
+
+def _vocabulary(bags: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All terms of the examples (ascending), how many examples hold each, and how many toxic ones."""
+
+    def count(batches):
+        for batch in _slices(batches):
+            term, lengths = _unpacked(batch.column("terms"), np.uint64)
+            terms, place = np.unique(term, return_inverse=True)
+            toxic = np.bincount(place, np.repeat(np.asarray(batch.column("toxic")), lengths), len(terms)).astype(np.int64)
+            columns = [pa.array(terms.view(np.int64)), pa.array(np.bincount(place, minlength=len(terms))), pa.array(toxic)]
+            yield pa.RecordBatch.from_arrays(columns, ["term", "n", "toxic"])
+
+    counted = bags.mapInArrow(count, "term long, n long, toxic long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).toArrow()
+    term, n, toxic = (np.asarray(counted.column(c), np.int64) for c in ("term", "n", "toxic"))
+    order = np.argsort(term.view(np.uint64))
+    return term.view(np.uint64)[order], n[order], toxic[order]
+
+
+def _points(bags: DataFrame, terms: np.ndarray, weights: np.ndarray, other: float, often: list[int]) -> Packed:
+    """Examples of one vector as one point; those that hold the same of the terms `often` lie together."""
+    known = bags.sparkSession.sparkContext.broadcast((terms, weights))
+    place_of = {place: 1 << (len(often) - 1 - i) for i, place in enumerate(often)}
+
+    def weigh(batches):
+        terms, weights = known.value
+        common = np.sort(np.array(often, np.int32))
+        bits = np.array([place_of[p] for p in common.tolist()], np.int64)
+        for batch in _slices(batches):
+            (term, lengths), (count, _) = _unpacked(batch.column("terms"), np.uint64), _unpacked(batch.column("counts"), np.int32)
+            doc = np.repeat(np.arange(batch.num_rows, dtype=np.int32), lengths)
+            vectors = _weigh(doc, *_places(terms, term), count, batch.num_rows, weights, other)
+            names, held = [_name(t, w) for t, w in vectors], [int(bits[np.isin(common, t)].sum()) for t, _ in vectors]
+            packed = [pa.array([v[i].tobytes() for v in vectors], pa.binary()) for i in (0, 1)]
+            columns = [pa.array(held, pa.int64()), pa.array(names, pa.binary()), batch.column("id"), batch.column("toxic"), *packed]
+            yield pa.RecordBatch.from_arrays(columns, ["held", "name", "id", "toxic", "terms", "weights"])
+
+    def pack(batches):
+        for batch in _slices(batches):
+            (term, lengths), (weight, _) = _unpacked(batch.column("terms"), np.int32), _unpacked(batch.column("weights"), np.float32)
+            lists = [*(batch.column(c).to_pylist() for c in ("n", "toxic", "id")), lengths]
+            columns = [*(pa.array([x], pa.list_(pa.int64())) for x in lists), *(pa.array([x], pa.binary()) for x in _pack_vectors(term, weight))]
+            yield pa.RecordBatch.from_arrays(columns, ["n", "toxic", "ids", "lengths", "terms", "weights"])
+
+    vectors = bags.where("octet_length(terms) > 0").mapInArrow(weigh, "held long, name binary, id long, toxic int, terms binary, weights binary")
+    alike = vectors.groupBy("held", "name").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic"), F.min("id").alias("id"), F.first("terms").alias("terms"), F.first("weights").alias("weights")
+    )
+    schema = "n array<long>, toxic array<long>, ids array<long>, lengths array<long>, terms binary, weights binary"
+    return Packed(alike.orderBy("held", "name").drop("held", "name").mapInArrow(pack, schema).toArrow())  # MAX_EXAMPLES at most, packed
+
+
 def fit(docs: DataFrame, labels: DataFrame, train: Column, key: str = "doc_id", text: str = "text") -> Scorer:
     """Learn from the labels for which `train` (a condition on the key) holds."""
     spark = docs.sparkSession
     bags = _bags(_examples(docs, labels.select(key, "toxic"), key, text, train), key)
-    ids, toxic = bags.column("id").to_pylist(), np.array(bags.column("toxic").to_pylist(), float)
-    (term, lengths), (count, _) = _unpacked(bags.column("terms"), np.uint64), _unpacked(bags.column("counts"), np.int32)
-    doc, size, hits = np.repeat(np.arange(len(ids), dtype=np.int32), lengths), len(ids), toxic.sum()
-    terms, place = np.unique(term, return_inverse=True)
-    place = place.astype(np.int32)
+    bare = F.octet_length("terms") == 0
+    size, hits, n, bad = bags.agg(F.count(F.lit(1)), F.sum("toxic"), F.count_if(bare), F.sum(F.when(bare, F.col("toxic")))).first()
+    hits, bad = float(hits or 0), float(bad or 0)
+    terms, held_here, toxic_here = _vocabulary(bags)
     n_docs, held = _frequencies(docs, text, terms) if len(terms) else (0, np.zeros(0, np.int64))
-    gain = _gain(size, hits, np.bincount(place, minlength=len(terms)), np.bincount(place, toxic[doc], minlength=len(terms)))
+    gain = _gain(size, hits, held_here, toxic_here.astype(float))
     weights = (np.log((1 + n_docs) / (1 + held)) + 1) * gain
     other = np.log((1 + n_docs) / (1 + n_docs / (1 + size))) + 1
 
-    vectors = _weigh(doc, place, np.ones(len(place), bool), count, size, weights, other)
     # Texts of one language lie together, by the most common words they hold.
-    often = np.argsort(-np.bincount(place, minlength=len(terms)), kind="stable")[:32].tolist()
-    points: dict = {}
-    for i in sorted(range(size), key=lambda i: (ids[i] is None, ids[i] or 0)):
-        t, w = vectors[i]
-        entry = points.setdefault(_name(t, w), [0, 0, ids[i], i])
-        entry[0] += 1
-        entry[1] += toxic[i]
-    rate = float(hits / size) if size else 0.0
-    n, bad, _, _ = points.pop(b"", (0, 0, None, None))
-    bare = float((bad + PRIOR * rate) / (n + PRIOR))
-    entries = [entry for _, entry in sorted(points.items(), key=lambda p: (np.isin(often, vectors[p[1][3]][0]).tolist(), p[0]))]
-    index = Index([vectors[e[3]] for e in entries], np.array([e[0] for e in entries], float), np.array([e[1] for e in entries], float), [e[2] for e in entries])
-    scorer = Scorer(terms, weights, float(other), index, rate, bare)
-    del term, count, place, doc, vectors, bags
+    often = np.argsort(-held_here, kind="stable")[:32].tolist()
+    rate = hits / size if size else 0.0
+    packed = _points(bags, terms, weights, float(other), often)
+    entries = len(packed.lengths)
+    scorer = Scorer(terms, weights, float(other), packed, rate, float((bad + PRIOR * rate) / (n + PRIOR)))
     scorer.shared = shared = spark.sparkContext.broadcast(scorer)
+    # The points lie in the broadcast, for the tasks; the driver needs them no longer.
+    scorer.index = packed = None
     if entries:
 
         def votes(batches):
@@ -373,8 +439,8 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, key: str = "doc_id",
                     x, y, w = shared.value.left_out(points[at : at + _TOGETHER])
                     yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64()), pa.array(y, pa.int32()), pa.array(w, pa.float64())], ["x", "y", "w"])
 
-        tasks = -(-len(entries) // 1024)
-        got = spark.range(0, len(entries), 1, tasks).mapInArrow(votes, "x double, y int, w double").toArrow()
+        tasks = -(-entries // 1024)
+        got = spark.range(0, entries, 1, tasks).mapInArrow(votes, "x double, y int, w double").toArrow()
         x, y, w = (np.asarray(got.column(c), float) for c in ("x", "y", "w"))
         scorer.places, scorer.heights = _pool_adjacent(*(v[np.lexsort((w, y, x))] for v in (x, y, w)))
     return scorer
