@@ -319,3 +319,15 @@ def test_run_query(spark, sf_dir, rows):
 
     whole = [r for r in rows if r[0] is not None and r[0] < 9001]
     assert answers(QUERIES["op13_periodic_runs"](spark, sf_dir)) == sorted((plain(*r) for r in whole), key=repr)
+
+
+def test_full_sets_never_travel_in_batches(spark, capsys):
+    """Pairs with both full sets stay in the rows of the join; a number with several sets is as near as the nearest."""
+    sets = [(1, [1, 2, 3, 4]), (2, [2, 3, 4, 9]), (3, [-5]), (4, [-5, 7]), (4, [-5]), (5, list(range(100))), (6, list(range(3, 103)))]
+    texts = spark.createDataFrame(sets, "doc long, members array<long>")
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (3, 4), (5, 6)], "a long, b long")
+    found = jaccard_join.likeness(pairs, texts, 4, 85)
+    found.explain()
+    assert "InArrow" not in capsys.readouterr().out
+    assert sorted(map(tuple, found.collect())) == [(1, 2, 1 - 3 / 5, False), (1, 3, 1.0, False), (3, 4, 0.0, True), (5, 6, 1 - 97 / 103, True)]
+    assert max(len(i) for i, _ in jaccard_join._pairs_of(np.full(1_200, 1_199))) <= 1 << 17

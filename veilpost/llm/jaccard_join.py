@@ -48,7 +48,7 @@ ENTRY_COST = 4
 OFTEN, MAX_OFTEN = 3, 1 << 20
 #: Leaders of a list that are joined without sketches; bits of a sketch; leaders of a list that meet in one task.
 FEW, SKETCH, CHUNK = 16, 1024, 2048
-_PAIRS = 1 << 19
+_PAIRS = 1 << 16
 _LAST = 2**63 - 1
 _SLICE = 512
 _NEAR = 1e-9
@@ -223,29 +223,21 @@ def entries(classes: DataFrame) -> DataFrame:
 
 
 def likeness(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """(a, b, distance, linked) of pairs, on full sets; `texts` is (doc, members)."""
+    """(a, b, distance, linked) of pairs, on full sets; `texts` is (doc, members).
+
+    Sets are compared row by row where the join holds them: two sets a row are too much for batches of rows.
+    """
     its = texts.select(F.col("doc").alias("b"), F.col("members").alias("set_b"))
     both = pairs.join(its, "b").join(texts.select(F.col("doc").alias("a"), F.col("members").alias("set_a")), "a")
-
-    def check(batches):
-        for batch in batches:
-            distance, linked = np.zeros(batch.num_rows), np.zeros(batch.num_rows, bool)
-            for i, (x, y) in enumerate(zip(batch.column("set_a"), batch.column("set_b"))):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                place = np.minimum(np.searchsorted(x, y), len(x) - 1)
-                shared = int((x[place] == y).sum())
-                union = len(x) + len(y) - shared
-                distance[i], linked[i] = 1 - shared / union, 100 * shared >= percent * union
-            columns = [batch.column("a"), batch.column("b"), pa.array(distance), pa.array(linked)]
-            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "distance", "linked"])
-
-    checked = both.select("a", "b", "set_a", "set_b").mapInArrow(check, "a long, b long, distance double, linked boolean")
+    sizes = both.select("a", "b", F.size(F.array_intersect("set_a", "set_b")).cast("long").alias("shared"), (F.size("set_a") + F.size("set_b")).alias("total"))
+    union = F.col("total") - F.col("shared")
+    checked = sizes.select("a", "b", (F.lit(1.0) - F.col("shared") / union).alias("distance"), (100 * F.col("shared") >= percent * union).alias("linked"))
     # A number with several sets is as near as the nearest of them.
     return checked.groupBy("a", "b").agg(F.min("distance").alias("distance"), F.max("linked").alias("linked"))
 
 
 def sets_of(docs: DataFrame, ids: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
-    """(doc, members): the full sets of the documents named, ascending, and of some more.
+    """(doc, members): the full sets of the documents named, as lists of numbers, and of some more.
 
     Documents are told by a bit map of fixed size where their texts lie, so no text is shuffled.
     """
@@ -258,11 +250,11 @@ def sets_of(docs: DataFrame, ids: DataFrame, key: str, text: str, shingle: int)
                 batch = whole.slice(at, _SLICE)
                 keep = pa.array(np.flatnonzero(marked(wanted.value, np.asarray(batch.column("key")).view(np.uint64))))
                 keys, first = shingle_sets(split_words(batch.column("text").take(keep)), shingle)
-                members = pa.array([keys[a:z].tobytes() for a, z in zip(first[:-1], first[1:])], pa.binary())
+                members = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), _signed(keys))
                 yield pa.RecordBatch.from_arrays([batch.column("doc").take(keep), members], ["doc", "members"])
 
     rows = docs.select(_number(key).alias("doc"), F.col(text).alias("text")).withColumn("key", F.xxhash64("doc"))
-    return save(rows.mapInArrow(work, "doc long, members binary").where(F.octet_length("members") > 0), "sets", "none")
+    return save(rows.mapInArrow(work, "doc long, members array<long>").where(F.size("members") > 0), "sets", "none")
 
 
 def _may_link(x: str, y: str, percent: int) -> str:
