@@ -331,3 +331,35 @@ def test_full_sets_never_travel_in_batches(spark, capsys):
     assert "InArrow" not in capsys.readouterr().out
     assert sorted(map(tuple, found.collect())) == [(1, 2, 1 - 3 / 5, False), (1, 3, 1.0, False), (3, 4, 0.0, True), (5, 6, 1 - 97 / 103, True)]
     assert max(len(i) for i, _ in jaccard_join._pairs_of(np.full(1_200, 1_199))) <= 1 << 17
+
+
+def test_full_sets_are_shuffled_once(spark, capsys):
+    """Sets lie in buckets by document, so a join on either side moves pairs, and no set that no pair asks for."""
+    docs = spark.createDataFrame([(i, " ".join(f"w{(i // 3 * 5 + j) % 150}" for j in range(20))) for i in range(60)], "doc_id long, text string")
+    sets = jaccard_join.sets_of(docs, docs.select(docs.doc_id.alias("doc")), "doc_id", "text", 4, 60 * 17)
+    pairs = spark.createDataFrame([(i, i + 1) for i in range(59)], "a long, b long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = jaccard_join.likeness(pairs, sets, 4, 85)
+        found.explain()
+        assert sum(r.linked for r in found.collect()) == 40
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    plan = capsys.readouterr().out
+    assert plan.count("SortMergeJoin") == plan.count("Exchange hashpartitioning") == 2, plan
+
+
+def test_frequent_keys_take_little_room():
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    for size in (0, 1, 2, 3, 50, 2_000):
+        keys = rng.integers(0, max(1, size // 2), size).astype(np.uint64)
+        want = {k: n for k, n in Counter(keys.tolist()).items() if n >= jaccard_join.OFTEN}
+        got, n = jaccard_join.frequent(keys)
+        assert got.tolist() == sorted(want) and n.tolist() == [want[k] for k in sorted(want)]
+    keys = rng.integers(0, 1 << 62, 1_000_000).astype(np.uint64)
+    tracemalloc.start()
+    jaccard_join.frequent(keys)
+    assert tracemalloc.get_traced_memory()[1] < keys.nbytes / 2
+    tracemalloc.stop()

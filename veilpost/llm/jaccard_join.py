@@ -26,6 +26,7 @@ others and never is a component; an empty table gives an empty result.  Only the
 are known by 64-bit hashes, sets by 128 bits.
 """
 
+import uuid
 from itertools import combinations
 from math import comb
 
@@ -34,9 +35,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veilpost.session import fresh_dir
+
 from .bitmaps import bit_map, marked
 from .components import components
-from .exchange import save
+from .exchange import BLOCK_BYTES, MAX_BUCKETS, save
 from .words import mix, shingle_sets, split_words
 
 SHINGLE, PERCENT = 4, 85
@@ -112,6 +115,16 @@ def sketches(keys: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.packbits(odd.reshape(n, SKETCH), axis=1).view(np.uint64)
 
 
+def frequent(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys that come OFTEN times at least, and how often; `keys` is sorted in place, and nothing else of its size is made but flags."""
+    keys.sort()
+    often = keys[OFTEN - 1 :] == keys[: len(keys) - OFTEN + 1] if len(keys) >= OFTEN else np.zeros(0, bool)
+    # Of all places from which on a key comes OFTEN times, the first one.
+    often[1:] &= keys[1 : len(often)] != keys[: max(0, len(often) - 1)]
+    first = np.flatnonzero(often)
+    return keys[first], np.searchsorted(keys, keys[first], side="right") - first
+
+
 def survey(docs: DataFrame, text: str, shingle: int) -> tuple[np.ndarray, np.ndarray, dict[int, int]]:
     """Frequent n-grams (ascending) with their counts, and how many documents have each small size.
 
@@ -126,14 +139,13 @@ def survey(docs: DataFrame, text: str, shingle: int) -> tuple[np.ndarray, np.nda
                 parts.append(keys)
                 n = np.diff(first)
                 sizes += np.bincount(n[n < len(sizes)], minlength=len(sizes))
-            keys = np.sort(np.concatenate(parts))
-            head = np.flatnonzero(np.diff(keys, prepend=~keys[:1]))
-            n = np.diff(np.append(head, len(keys)))
-            often = n >= OFTEN
+            keys = np.concatenate(parts)
+            parts.clear()
+            value, n = frequent(keys)
             some = np.flatnonzero(sizes)
-            what = np.concatenate([np.zeros(often.sum(), bool), np.ones(len(some), bool)])
-            value = np.concatenate([keys[head[often]].view(np.int64), some])
-            yield pa.RecordBatch.from_arrays([pa.array(what), pa.array(value), pa.array(np.concatenate([n[often], sizes[some]]))], ["size", "value", "n"])
+            what = np.concatenate([np.zeros(len(value), bool), np.ones(len(some), bool)])
+            columns = [pa.array(what), pa.array(np.concatenate([value.view(np.int64), some])), pa.array(np.concatenate([n, sizes[some]]))]
+            yield pa.RecordBatch.from_arrays(columns, ["size", "value", "n"])
 
     counted = save(docs.select(text).mapInArrow(count, "size boolean, value long, n long").groupBy("size", "value").agg(F.sum("n").alias("n")), "survey")
     sizes = {r["value"]: r["n"] for r in counted.where("size").collect()}
@@ -236,10 +248,11 @@ def likeness(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     return checked.groupBy("a", "b").agg(F.min("distance").alias("distance"), F.max("linked").alias("linked"))
 
 
-def sets_of(docs: DataFrame, ids: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
+def sets_of(docs: DataFrame, ids: DataFrame, key: str, text: str, shingle: int, members_in_all: int) -> DataFrame:
     """(doc, members): the full sets of the documents named, as lists of numbers, and of some more.
 
-    Documents are told by a bit map of fixed size where their texts lie, so no text is shuffled.
+    Documents are told by a bit map of fixed size where their texts lie, so no text is shuffled.  Sets are shuffled once, into buckets
+    by document, and every later join finds them there; `members_in_all` decides how many buckets there are.
     """
     spark = docs.sparkSession
     wanted = spark.sparkContext.broadcast(bit_map(ids.distinct().select(F.xxhash64("doc").alias("key"))))
@@ -254,7 +267,12 @@ def sets_of(docs: DataFrame, ids: DataFrame, key: str, text: str, shingle: int)
                 yield pa.RecordBatch.from_arrays([batch.column("doc").take(keep), members], ["doc", "members"])
 
     rows = docs.select(_number(key).alias("doc"), F.col(text).alias("text")).withColumn("key", F.xxhash64("doc"))
-    return save(rows.mapInArrow(work, "doc long, members array<long>").where(F.size("members") > 0), "sets", "none")
+    sets = rows.mapInArrow(work, "doc long, members array<long>").where(F.size("members") > 0)
+    buckets = min(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8 * members_in_all // BLOCK_BYTES + 1), MAX_BUCKETS)
+    name = f"sets_{uuid.uuid4().hex}"
+    options = {"compression": "none", "path": fresh_dir(spark, "sets")}
+    sets.repartition(buckets, "doc").write.format("parquet").options(**options).bucketBy(buckets, "doc").saveAsTable(name)
+    return spark.table(name)
 
 
 def _may_link(x: str, y: str, percent: int) -> str:
@@ -357,7 +375,7 @@ def large_links(classes: DataFrame, docs: DataFrame, key: str, text: str, shingl
     first = save(first, "first-pairs")
     # A list of two has no other pair than this one; in longer ones the least size and the most that is left tell who has none.
     rest = listed.where(f"held > 2 AND {100 + percent} * least(left, most_left) >= {percent} * (n + least_n)").select("doc")
-    sets = sets_of(docs, first.select(F.col("a").alias("doc")).union(first.select("b")).union(rest), key, text, shingle)
+    sets = sets_of(docs, first.select(F.col("a").alias("doc")).union(first.select("b")).union(rest), key, text, shingle, classes.agg(F.sum("n")).first()[0] or 0)
     met = save(likeness(first, sets, shingle, percent), "first-met")
     several = classes.groupBy("doc").agg(F.count(F.lit(1)).alias("held")).where("held > 1").select("doc")
     single = met.where("linked").join(several.withColumnRenamed("doc", "a"), "a", "left_anti").join(several.withColumnRenamed("doc", "b"), "b", "left_anti")
