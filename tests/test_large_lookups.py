@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -143,6 +144,37 @@ def test_balls_with_ties_copies_and_odd_vectors(spark, monkeypatch):
     assert answers(2_000) == answers(1)
 
 
+def test_queries_are_not_written_once_per_block(spark, monkeypatch, tmp_path):
+    """Where nothing can be skipped, what is kept still grows with the rows, not with the pairs."""
+    monkeypatch.setattr(balls, "SLAB_BYTES", 60_000, raising=False)
+    r = np.random.default_rng(9)
+    kb, queries = (r.normal(size=(n, 16)) for n in (700, 400))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(kb)], "id long, kb_vector array<double>")
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(queries)], "email_id long, v array<double>")
+    monkeypatch.setattr(balls, "fresh_dir", lambda _, purpose: str(tmp_path / f"{purpose}-{uuid.uuid4().hex}"))
+    got = balls.nearest_in_balls(df, table, F.col("v"), 3, "near", seen="seen").collect()
+    exact = balls.squared_distances(queries, kb)
+    assert {x.email_id: [(n.distance, n.id) for n in x.near] for x in got} == {i: [(row[j], j) for j in np.argsort(row, kind="stable")[:3]] for i, row in enumerate(exact)}
+    assert sum(x.seen for x in got) > 0.9 * exact.size
+    kept = sum(f.stat().st_size for f in tmp_path.rglob("*.parquet"))
+    assert kept < 2 * (kb.nbytes + queries.nbytes), kept
+
+
+def test_balls_in_several_slabs(spark, monkeypatch):
+    """Copies, ties, missing ids and odd vectors that lie in different slabs."""
+    monkeypatch.setattr(balls, "BLOCK", 8)
+    monkeypatch.setattr(balls, "SLAB_BYTES", 900)
+    vectors = [[float(i % 5), float(i % 3)] for i in range(90)] + [[math.nan, 1.0], [math.inf, 0.0], [1.0], [1e200, -1e200], [1e-200, 0.0], [], [7.0, 7.0, 7.0]]
+    rows = [(None if i == 40 else i // 2, v, f"n{i // 2}") for i, v in enumerate(vectors)]
+    table = spark.createDataFrame(rows, "id int, vector array<double>, name string").repartition(3)
+
+    def answers(max_rows):
+        found = retrieve.nearest(table, table, 4, key="id", max_rows=max_rows, carry=["name"])
+        return sorted(repr((r.id, r.vector, [tuple(n) for n in r.nearest])) for r in found.collect())
+
+    assert answers(2_000) == answers(1)
+
+
 def plain_tfidf(kb, mails, k):
     def terms(text):
         return Counter(t for t in re.split(r"[^\w]+|_", (text or "").lower()) if t)

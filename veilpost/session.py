@@ -52,3 +52,9 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, purpose: str) -> str:
     """A new path under the shared folder, used by one run only."""
     return os.path.join(shared_dir(spark), f"veilpost-{purpose}-{uuid.uuid4().hex}")
+
+
+def drop_dir(spark: SparkSession, folder: str) -> None:
+    """Delete a path that `fresh_dir` gave and nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
