@@ -81,6 +81,51 @@ def test_both_ways_to_a_large_gazetteer(spark, max_bytes):
     assert found == sorted(repr((k, t, [i for i, v in enumerate(values) if t and v in t])) for k, t, _, _ in rows)
 
 
+def test_many_blocks_and_an_answer_in_place_of_the_text(spark, monkeypatch):
+    """Blocks of a text or two, entries packed a few at a time, entries that come twice, and blocks without any."""
+    monkeypatch.setattr(anchors, "BLOCK_BYTES", 50, raising=False)
+    monkeypatch.setattr(anchors, "PACK_BYTES", 200, raising=False)
+    values = random_values(n=200)
+    rows = [(i, v) for i, v in enumerate(values)] + [(None, "missing number"), (5, values[5])]
+    table = spark.createDataFrame(rows, "item_no long, value string").repartition(3)
+    texts = [*random_texts(values, n=40), "no such entry, a missing number", "-"]
+    df = spark.createDataFrame(list(enumerate(texts)), "email_id int, body string").repartition(5)
+    want = {i: [e for e in [(-1, "missing number"), *enumerate(values)] if t and e[1] in t] for i, t in enumerate(texts)}
+    for out in ("found", "body"):
+        got = anchors.match_values(df, table, "body", out, ["item_no", "value"], "value", "email_id", 0)
+        assert got.columns == list(dict.fromkeys(["email_id", *(["body"] if out != "body" else []), out]))
+        assert {r.email_id: [(-1 if e.item_no is None else e.item_no, e.value) for e in r[out]] for r in got.collect()} == want
+
+
+def test_gazetteer_and_texts_of_a_join_are_computed_once(spark):
+    values = random_values(n=150)
+    texts = random_texts(values, n=15)
+    made = {name: spark.sparkContext.accumulator(0) for name in ("entries", "texts")}
+
+    def counting(df, name):
+        counter = made[name]
+
+        def work(batches):
+            for batch in batches:
+                counter.add(batch.num_rows)
+                yield batch
+
+        return df.mapInArrow(work, df.schema)
+
+    table = counting(spark.createDataFrame(list(enumerate(values)), "item_no long, value string"), "entries")
+    df = counting(spark.createDataFrame(list(enumerate(texts)), "email_id int, body string"), "texts")
+    anchors.match_values(df, table, "body", "found", ["item_no", "value"], "value", "email_id", 0).collect()
+    assert {name: counter.value for name, counter in made.items()} == {"entries": len(values), "texts": len(texts)}
+
+
+def test_few_anchors_pass_the_filter_by_chance():
+    r = np.random.default_rng(3)
+    held, others = (r.integers(0, 2**64, n, np.uint64) for n in (40_000, 1_000_000))
+    words = anchors._filter_of(held)
+    assert len(anchors._passing(words, held)) == len(held)
+    assert len(anchors._passing(words, others)) < 400
+
+
 @pytest.mark.parametrize("max_bytes", [anchors.MAX_BYTES, 0])
 def test_no_values_and_no_texts(spark, max_bytes):
     table = spark.createDataFrame([(1, "a")], "item_no int, value string")

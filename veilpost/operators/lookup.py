@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shuffles_dropped
 from .stage import computed_once
 
 MAX_INLINE_ROWS = 2_000
@@ -27,13 +28,11 @@ def pack_small(table: DataFrame, order: str, fields: list[str], max_rows: int) -
     """
     head = table.limit(max_rows + 1).select(_entry(order, fields).alias("entry"))
     fits = (F.col("rows") <= max_rows) & (F.octet_length("text") <= MAX_INLINE_BYTES)
-    text = (
-        head.agg(
-            F.count(F.lit(1)).alias("rows"), F.to_json(F.sort_array(F.collect_list("entry"))).alias("text")
-        )
-        .select(F.when(fits, F.col("text")))
-        .first()[0]
+    packed = head.agg(
+        F.count(F.lit(1)).alias("rows"), F.to_json(F.sort_array(F.collect_list("entry"))).alias("text")
     )
+    with shuffles_dropped(table.sparkSession):
+        text = packed.select(F.when(fits, F.col("text"))).first()[0]
     return None if text is None else (text, f"array<{head.schema['entry'].dataType.simpleString()}>")
 
 

@@ -3,6 +3,7 @@
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -49,6 +50,18 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Shuffle files of the queries run inside go when these end, not when the driver happens to collect its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def fresh_dir(spark: SparkSession, purpose: str) -> str:
     """A new path under the shared folder, used by one run only."""
     return os.path.join(shared_dir(spark), f"veilpost-{purpose}-{uuid.uuid4().hex}")
