@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from veilpost.operators import anchors, balls, retrieve, tfidf
+from veilpost.operators import anchors, balls, retrieve, semantic, tfidf
 
 
 def random_values(seed=2, n=1_500):
@@ -118,6 +118,24 @@ def test_gazetteer_and_texts_of_a_join_are_computed_once(spark):
     assert {name: counter.value for name, counter in made.items()} == {"entries": len(values), "texts": len(texts)}
 
 
+def test_items_lie_by_their_numbers_not_their_values(spark):
+    """Long item numbers, missing ones and entries that come twice, in several partitions."""
+    values = random_values(n=120)
+    numbers = [None if i % 17 == 0 else f"item {i * 7919 % 101:04d} with a long number" for i in range(len(values))]
+    rows = [(n, "KIND", v) for n, v in zip(numbers, values)] + [(numbers[3], "KIND", values[3])]
+    table = spark.createDataFrame(rows, "item_no string, type string, value string").repartition(4)
+    fields = ["item_no", "type", "value"]
+    got = anchors.numbered(table, fields, "item_no").collect()
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", *[x.encode() for x in r[1:]]))
+    assert [(r.type, r.value) for r in sorted(got, key=lambda r: r.item_no)] == [r[1:] for r in want]
+    assert len({r.item_no for r in got}) == len(got) - 1
+    texts = random_texts(values, n=20)
+    df = spark.createDataFrame(list(enumerate(texts)), "email_id int, masked_email string")
+    found = semantic.detect_with_gazetteer(df, table.distinct(), max_rows=1).collect()
+    once = list(dict.fromkeys(want))
+    assert {r.email_id: [i.value for i in r.semantic_items] for r in found} == {i: [v for _, _, v in once if t and v in t] for i, t in enumerate(texts)}
+
+
 def test_few_anchors_pass_the_filter_by_chance():
     r = np.random.default_rng(3)
     held, others = (r.integers(0, 2**64, n, np.uint64) for n in (40_000, 1_000_000))

@@ -10,7 +10,8 @@ from .. import fixed
 from ..functions import patterns as P
 from ..functions.text import count_literal, longest_first, once, strip
 from ..schemas import FINDING, SEMANTIC_ITEM
-from .anchors import match_values
+from ..session import ship_package
+from .anchors import match_values, numbered
 from .lookup import MAX_INLINE_ROWS, match_entries
 from .score import replies_or_errors
 from .stage import computed_once
@@ -35,9 +36,12 @@ def detect_with_gazetteer(
     def small(entries: Column) -> Column:
         return F.filter(entries, lambda e: F.contains(F.col(text), e["value"]))
 
-    matched = match_entries(
-        df, entries, "item_no", fields[1:], small, lambda: match_values(df, entries, text, out, fields, "value", key), out, max_rows
-    )
+    def large() -> DataFrame:
+        # Item numbers only order the items.
+        ship_package(df.sparkSession)
+        return match_values(df, numbered(entries, fields, "item_no"), text, out, fields, "value", key)
+
+    matched = match_entries(df, entries, "item_no", fields[1:], small, large, out, max_rows)
     items = F.transform(out, lambda e: F.struct(e["type"].alias("type"), e["value"].alias("value")))
     # A text that is missing has no items.
     return matched.withColumn(out, F.coalesce(items, F.array()).cast(f"array<{SEMANTIC_ITEM}>"))
