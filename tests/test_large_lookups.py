@@ -125,7 +125,7 @@ def test_items_lie_by_their_numbers_not_their_values(spark):
     rows = [(n, "KIND", v) for n, v in zip(numbers, values)] + [(numbers[3], "KIND", values[3])]
     table = spark.createDataFrame(rows, "item_no string, type string, value string").repartition(4)
     fields = ["item_no", "type", "value"]
-    got = anchors.numbered(table, fields, "item_no").collect()
+    got = anchors._with_anchors(table, fields, "value", True).collect()
     want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", *[x.encode() for x in r[1:]]))
     assert [(r.type, r.value) for r in sorted(got, key=lambda r: r.item_no)] == [r[1:] for r in want]
     assert len({r.item_no for r in got}) == len(got) - 1

@@ -37,7 +37,7 @@ FILTER_SHARE, FILTER_MOST = 24, 30
 _PROBES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _SLICE = 64
 #: Bytes of the texts of a block, and of entries that are packed together.
-BLOCK_BYTES, PACK_BYTES = 8 << 20, 64 << 20
+BLOCK_BYTES, PACK_BYTES = 8 << 20, 32 << 20
 _MULT = 0x9E3779B97F4A7C15
 _powers: dict[bool, np.ndarray] = {}
 
@@ -371,15 +371,30 @@ def _saved(df: DataFrame, purpose: str, compression: str = "none") -> tuple[str,
     return path, df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _with_anchors(table: DataFrame, fields: list[str], value: str) -> DataFrame:
+def _with_anchors(table: DataFrame, fields: list[str], value: str, by_number: bool) -> DataFrame:
+    """`fields` and the anchors of the entries; `by_number`, the first field is replaced by numbers in the order of rows by `fields`."""
+
     def anchored(batches):
+        # Rows that are equal share a number.
+        before, number = None, TaskContext.get().partitionId() << 40
         for batch in batches:
-            known = Anchored.of(batch.column(fields.index(value)))
-            rows = batch.take(pa.array(known.entry))
+            columns = list(batch.columns)
+            if by_number:
+                numbers = []
+                for row in zip(*(c.to_pylist() for c in columns)):
+                    number += row != before
+                    before = row
+                    numbers.append(number)
+                columns[0] = pa.array(numbers, pa.int64())
+            known = Anchored.of(columns[fields.index(value)])
+            rows = pa.RecordBatch.from_arrays(columns, fields).take(pa.array(known.entry))
             yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(known.anchor.view(np.int64))], [*fields, "__anchor"])
 
     named = table.select(*fields)
-    return named.mapInArrow(anchored, StructType([*named.schema.fields]).add("__anchor", "long"))
+    types = list(named.schema.fields)
+    if by_number:
+        named, types[0] = named.orderBy(*fields), StructField(fields[0], LongType())
+    return named.mapInArrow(anchored, StructType(types).add("__anchor", "long"))
 
 
 def _filter_over(entries: DataFrame) -> np.ndarray:
@@ -449,27 +464,6 @@ def _by_join(df: DataFrame, at: str, entries: DataFrame, text: str, out: str, fi
     return texts.groupBy("__block").cogroup(met.groupBy("__block")).applyInArrow(one, schema)
 
 
-def numbered(table: DataFrame, fields: list[str], first: str) -> DataFrame:
-    """`fields` of the table with `first` replaced by numbers in the order of rows by `fields`; rows that are equal share one.
-
-    A number takes less room than a long id, where only the order of the entries matters.
-    """
-
-    def work(batches):
-        before, number = None, TaskContext.get().partitionId() << 40
-        for batch in batches:
-            numbers = []
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                number += row != before
-                before = row
-                numbers.append(number)
-            yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()) if n == first else c for n, c in zip(fields, batch.columns)], fields)
-
-    named = table.select(*fields)
-    schema = StructType([StructField(f.name, LongType()) if f.name == first else f for f in named.schema.fields])
-    return named.orderBy(*fields).mapInArrow(work, schema)
-
-
 def match_values(
     df: DataFrame,
     table: DataFrame,
@@ -479,16 +473,18 @@ def match_values(
     value: str,
     key: str,
     max_bytes: int = MAX_BYTES,
+    by_number: bool = False,
 ) -> DataFrame:
     """Add `out`: the entries (structs of `fields`, ascending by them) whose `value` occurs in the text.
 
     The first field is unique.  An entry without a value, or with an empty one, occurs nowhere, and a null text
     holds none.  The order of `out` is that of the first field.  Rows go by blocks of neighbours, so `key` decides nothing.
+    `by_number`, entries have a number in their order in place of the first field, which takes less room than a long id.
     """
     spark = df.sparkSession
     ship_package(spark)
     # Saved first, as a gazetteer that is computed would be computed again for every step below.
-    path, entries = _saved(_with_anchors(table.where(F.octet_length(value) > 0), fields, value), "anchors", "zstd")
+    path, entries = _saved(_with_anchors(table.where(F.octet_length(value) > 0), fields, value, by_number), "anchors", "zstd")
     volume = entries.agg(F.sum(F.octet_length(F.to_json(F.struct(*fields))) + F.lit(48))).first()[0] or 0
     if volume > max_bytes:
         return _by_join(df, path, entries, text, out, fields, value)

@@ -10,8 +10,7 @@ from .. import fixed
 from ..functions import patterns as P
 from ..functions.text import count_literal, longest_first, once, strip
 from ..schemas import FINDING, SEMANTIC_ITEM
-from ..session import ship_package
-from .anchors import match_values, numbered
+from .anchors import match_values
 from .lookup import MAX_INLINE_ROWS, match_entries
 from .score import replies_or_errors
 from .stage import computed_once
@@ -38,8 +37,7 @@ def detect_with_gazetteer(
 
     def large() -> DataFrame:
         # Item numbers only order the items.
-        ship_package(df.sparkSession)
-        return match_values(df, numbered(entries, fields, "item_no"), text, out, fields, "value", key)
+        return match_values(df, entries, text, out, fields, "value", key, by_number=True)
 
     matched = match_entries(df, entries, "item_no", fields[1:], small, large, out, max_rows)
     items = F.transform(out, lambda e: F.struct(e["type"].alias("type"), e["value"].alias("value")))
